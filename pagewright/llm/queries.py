@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .p1_repeated import repeated_lines
+from .p2_lookalikes import disguised_terms
 from .tables import table
 
 
@@ -14,8 +15,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines(table(spark, d, "ocr_lines"), table(spark, d, "regions"), table(spark, d, "books")).select("line_id")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return disguised_terms(table(spark, d, "ocr_lines"), table(spark, d, "items"), table(spark, d, "terms"), table(spark, d, "lexicon"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found}
+    return {"p1_found": p1_found, "p2_found": p2_found}
 
 
 def oracle_sql() -> dict[str, str]:
