@@ -18,10 +18,11 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .glyphs import FOLD, number_value, shape_key
+from .tables import checkpointed
 
 MIN_PAGES = 6
 MIN_LETTERS = 8
@@ -162,10 +163,15 @@ def _bag_distance(a: str, b: str) -> Column:
     return F.expr(" + ".join(each))
 
 
-def _by_chunk(keys: DataFrame, reach: int) -> DataFrame:
-    """One row per chunk fingerprint and length class; `reach` classes to either side are added."""
-    lengths = F.explode(F.sequence(F.floor(F.col("n") / LENGTH_STEP) - reach, F.floor(F.col("n") / LENGTH_STEP) + reach)) if reach else F.floor(F.col("n") / LENGTH_STEP)
-    return keys.withColumn("length_class", lengths).withColumn("c", F.explode(F.array("c1", "c2", "c3"))).withColumn("chunk", F.expr("c ^ (length_class * 1000003)")).drop("c", "c1", "c2", "c3", "length_class")
+def _by_chunk(keys: DataFrame) -> DataFrame:
+    """(chunk, key, bag, weight): each line under its chunks and length class; lines on two pages or more also as
+    centres, with their number of rows as weight, and under both neighbouring length classes."""
+    step = F.floor(F.col("n") / LENGTH_STEP)
+    chunks = F.array("c1", "c2", "c3")
+    own = F.transform(chunks, lambda c: F.struct((c.bitwiseXOR(step * 1000003)).alias("chunk"), F.lit(0).cast("long").alias("weight")))
+    central = F.flatten(F.transform(F.sequence(step - 1, step + 1), lambda k: F.transform(chunks, lambda c: F.struct((c.bitwiseXOR(k * 1000003)).alias("chunk"), F.col("rows").alias("weight")))))
+    roles = F.when(F.col("low") < F.col("high"), F.concat(own, central)).otherwise(own)
+    return keys.select("key", "bag", F.explode(roles).alias("role")).select("role.chunk", "key", "bag", "role.weight")
 
 
 def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -175,20 +181,18 @@ def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_p
     A number at either end is taken off only where it is the page's printed number; where a book's offset is
     null or unknown, numbers are content. Null texts, ids, books and pages are no cases. Empty tables give none."""
     prints = line_fingerprints(lines)
-    keys = prints.groupBy("key").agg(F.count("*").alias("rows"), F.min("page").alias("low"), F.max("page").alias("high"), *(F.first(c).alias(c) for c in ("c1", "c2", "c3", "bag", "n")))
-    centres = keys.where("low < high")
-    best = _by_chunk(centres.select("key", "rows", "c1", "c2", "c3", "bag", "n"), 1).groupBy("chunk").agg(F.max(F.struct("rows", "key", "bag", "n")).alias("centre"))
+    keys = prints.groupBy("key").agg(F.count("*").alias("rows"), F.min("page").alias("low"), F.max("page").alias("high"), *(F.min(c).alias(c) for c in ("c1", "c2", "c3", "bag", "n")))
+    commonest = F.max(F.when(F.col("weight") > 0, F.struct("weight", "key", "bag"))).over(Window.partitionBy("chunk"))
     near = (
-        _by_chunk(keys.select("key", "rows", "c1", "c2", "c3", "bag", "n"), 0)
-        .join(best, "chunk")
-        .where("centre.rows > rows or (centre.rows = rows and centre.key >= key)")
+        _by_chunk(keys)
+        .withColumn("centre", commonest)
+        .where("weight = 0 and centre is not null")
         .where(_bag_distance("bag", "centre.bag") <= MAX_LETTER_CHANGES)
-        .where("abs(n - centre.n) <= 2")
-        .groupBy("key").agg(F.max(F.struct("centre.rows", "centre.key")).getField("key").alias("cluster"))
+        .groupBy("key").agg(F.max(F.struct("centre.weight", "centre.key")).getField("key").alias("cluster"))
     )
     offsets = books.select("book", F.col("page_number_offset").alias("offset")).where("offset is not null").groupBy("book").agg(F.min("offset").alias("offset"))
     tables = regions.where("kind = 'table'").select("region_id").distinct()
-    members = (
+    members = checkpointed(
         prints.select("line_id", "region_id", "book", "page", "moved", "key")
         .join(near, "key")
         .join(offsets, "book", "left")

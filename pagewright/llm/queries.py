@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .p1_repeated import repeated_lines
 from .p2_lookalikes import disguised_terms
+from .p3_quality import not_prose
 from .tables import table
 
 
@@ -19,8 +20,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return disguised_terms(table(spark, d, "ocr_lines"), table(spark, d, "items"), table(spark, d, "terms"), table(spark, d, "lexicon"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return not_prose(*(table(spark, d, t) for t in ("ocr_lines", "regions", "items", "books", "form_labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found}
 
 
 def oracle_sql() -> dict[str, str]:
