@@ -23,12 +23,12 @@ from .tables import checkpointed
 LEVELS = 1000
 MAX_LABELS = 5000
 #: Log odds above which a text is no prose; above 0 as the fit weighs both classes the same, but prose is far more common.
-THRESHOLD = 1.0
+THRESHOLD = 1.1
 MIN_LINES = 4
 #: Languages are codes of three letters a to z, so there are no more than this; others count as 'und'.
 MAX_LANGS = 26**3
-COUNTS = ("lines", "chars", "words", "latin", "odd", "greek", "devanagari", "arabic", "cjk", "thai", "digits", "commas", "ends", "symbols", "capitals", "common", "numbers", "voiceless", "short", "closed", "listed")
-STATS = ("own_script", "letters", "digits", "symbols", "capitals", "common", "commas", "ends", "numbers", "voiceless", "word_length", "closed", "listed", "short", "odd")
+COUNTS = ("lines", "chars", "words", "latin", "odd", "greek", "devanagari", "arabic", "cjk", "thai", "digits", "commas", "ends", "symbols", "capitals", "common", "numbers", "voiceless", "short", "closed", "listed", "raised", "repeats")
+STATS = ("own_script", "letters", "digits", "symbols", "capitals", "common", "commas", "ends", "numbers", "voiceless", "word_length", "closed", "listed", "short", "odd", "raised", "repeats")
 
 # Frequent function words of the languages of the books.
 COMMON_WORDS = """
@@ -123,6 +123,8 @@ def text_counts(texts: list[str]) -> np.ndarray:
     voiceless = all_latin & (vowels[last] == vowels[first]) & (size >= 2) & ~common
     short = all_latin & (size <= 2) & ~common
 
+    again = (hashes[1:] == hashes[:-1]) & (digits[last[1:]] == digits[first[1:]])
+
     # lines: the first and last visible character of each
     visible = np.flatnonzero(kind > 0)
     line = np.cumsum(codes == 10)[visible]
@@ -134,7 +136,7 @@ def text_counts(texts: list[str]) -> np.ndarray:
     quote = np.isin(codes[tails], [ord(c) for c in "”“»\"')’」』"])
     closed = (kind[tails] == 10) | quote
 
-    columns = {"lines": of(heads), "chars": per_kind[:, 1:].sum(1), "words": of(first), "capitals": of(first[tables["upper"][codes[first]]]), "common": of(first[common]), "numbers": of(first[numeric]), "voiceless": of(first[voiceless]), "short": of(first[short]), "closed": of(heads[closed]), "listed": of(heads[listed])}
+    columns = {"lines": of(heads), "chars": per_kind[:, 1:].sum(1), "words": of(first), "capitals": of(first[tables["upper"][codes[first]]]), "common": of(first[common]), "numbers": of(first[numeric]), "voiceless": of(first[voiceless]), "short": of(first[short]), "closed": of(heads[closed]), "listed": of(heads[listed]), "raised": of(heads[tables["upper"][codes[heads]]]), "repeats": of(first[1:][again])}
     columns |= {name: per_kind[:, 1 + i] for i, name in enumerate(_NAMES)}
     # a text set with a space after every letter is a running head, whose words cannot be told
     spaced = (columns["words"] >= 8) & (per_kind[:, 1:9].sum(1) < 1.4 * columns["words"]) & (per_kind[:, 1:4].sum(1) > 0.6 * columns["chars"])
@@ -165,6 +167,7 @@ def _with_stats(counts: DataFrame) -> DataFrame:
         "capitals": _share("capitals", "words"), "common": _share("common", "words"), "commas": _share("commas", "words"), "ends": _share("ends", "words"),
         "numbers": _share("numbers", "words"), "voiceless": _share("voiceless", "words"), "word_length": _share(letters, "words", 40.0),
         "closed": _share("closed", "lines"), "listed": _share("listed", "lines"), "short": _share("short", "words"), "odd": _share("odd", letters),
+        "raised": _share("raised", "lines"), "repeats": _share("repeats", "words"),
     }
     return counts.select("tbl", "id", "lang", "words", F.array(*(made[s] for s in STATS)).alias("stats"))
 
