@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .p1_repeated import repeated_lines
 from .p2_lookalikes import disguised_terms
 from .p3_quality import not_prose
+from .p4_sentences import sentence_ends, sidebar_lines, standalone_items
 from .tables import table
 
 
@@ -24,8 +25,13 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return not_prose(*(table(spark, d, t) for t in ("ocr_lines", "regions", "items", "books", "form_labels")))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    lines, regions, items, books = (table(spark, d, t) for t in ("ocr_lines", "regions", "items", "books"))
+    return sentence_ends(standalone_items(items, books).unionByName(sidebar_lines(lines, regions, books)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
 
 
 def oracle_sql() -> dict[str, str]:
