@@ -10,6 +10,7 @@ from .p1_repeated import repeated_lines
 from .p2_lookalikes import disguised_terms
 from .p3_quality import not_prose
 from .p4_sentences import sentence_ends, sidebar_lines, standalone_items
+from .p6_packing import fill_report, packed
 from .tables import table
 
 
@@ -30,8 +31,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return sentence_ends(standalone_items(items, books).unionByName(sidebar_lines(lines, regions, books)))
 
 
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packed(table(spark, d, "documents"), table(spark, d, "pack_sizes"))
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return fill_report(p6_containers(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_containers": p6_containers, "p6_report": p6_report}
 
 
 def oracle_sql() -> dict[str, str]:
