@@ -11,6 +11,7 @@ from .p2_lookalikes import disguised_terms
 from .p3_quality import not_prose
 from .p4_sentences import sentence_ends, sidebar_lines, standalone_items
 from .p6_packing import fill_report, packed
+from .p7_mixing import mixture, shares_reached
 from .tables import table
 
 
@@ -39,8 +40,16 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return fill_report(p6_containers(spark, d))
 
 
+def p7_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return shares_reached(p7_mixture(spark, d), table(spark, d, "mix_targets"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_containers": p6_containers, "p6_report": p6_report}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_shares": p7_shares}
 
 
 def oracle_sql() -> dict[str, str]:
