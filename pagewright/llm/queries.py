@@ -12,6 +12,7 @@ from .p3_quality import not_prose
 from .p4_sentences import sentence_ends, sidebar_lines, standalone_items
 from .p6_packing import fill_report, packed
 from .p7_mixing import mixture, shares_reached
+from .p8_levels import level_profile, reading_levels
 from .tables import table
 
 
@@ -48,8 +49,20 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares_reached(p7_mixture(spark, d), table(spark, d, "mix_targets"))
 
 
+def p8_levels(spark: SparkSession, d: str) -> DataFrame:
+    return reading_levels(table(spark, d, "documents"), table(spark, d, "level_labels"), table(spark, d, "lexicon"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_levels(spark, d).select("doc_id", "level")
+
+
+def p8_profile(spark: SparkSession, d: str) -> DataFrame:
+    return level_profile(p8_levels(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_shares": p7_shares}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_profile": p8_profile}
 
 
 def oracle_sql() -> dict[str, str]:
