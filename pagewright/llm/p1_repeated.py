@@ -175,7 +175,7 @@ def _by_chunk(keys: DataFrame) -> DataFrame:
 
 
 def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(line_id, cluster): lines that stand on `min_pages` or more different pages of their book.
+    """(line_id, region_id, cluster): lines that stand on `min_pages` or more different pages of their book.
 
     Rows delivered twice count once; regions of kind table are left out, lines without a known region are not.
     A number at either end is taken off only where it is the page's printed number; where a book's offset is
@@ -198,7 +198,7 @@ def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_p
         .join(offsets, "book", "left")
         .where("moved is null or moved = offset")
         .join(tables, "region_id", "left_anti")
-        .select("line_id", "page", "cluster")
+        .select("line_id", "region_id", "page", "cluster")
     )
     wide = members.select("cluster", "page").distinct().groupBy("cluster").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    return members.join(wide.select("cluster"), "cluster", "left_semi").groupBy("line_id").agg(F.min("cluster").alias("cluster"))
+    return members.join(wide.select("cluster"), "cluster", "left_semi").groupBy("line_id").agg(F.min("region_id").alias("region_id"), F.min("cluster").alias("cluster"))

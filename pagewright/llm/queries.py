@@ -10,6 +10,7 @@ from .p1_repeated import repeated_lines
 from .p2_lookalikes import disguised_terms
 from .p3_quality import not_prose
 from .p4_sentences import sentence_ends, sidebar_lines, standalone_items
+from .p5_repair import faults, repaired_paragraphs
 from .p6_packing import fill_report, packed
 from .p7_mixing import mixture, shares_reached
 from .p8_levels import level_profile, reading_levels
@@ -33,6 +34,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return sentence_ends(standalone_items(items, books).unionByName(sidebar_lines(lines, regions, books)))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return faults(*(table(spark, d, t) for t in ("ocr_lines", "regions", "books", "items", "lexicon", "form_labels")))
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return repaired_paragraphs(*(table(spark, d, t) for t in ("ocr_lines", "regions", "books", "items", "lexicon", "form_labels")))
+
+
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:
     return packed(table(spark, d, "documents"), table(spark, d, "pack_sizes"))
 
@@ -62,7 +71,7 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_profile": p8_profile}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_profile": p8_profile}
 
 
 def oracle_sql() -> dict[str, str]:
