@@ -116,7 +116,7 @@ def _finder(terms: list[tuple[int, str]], words: list[str]):
         if len(joined) != len(chars):
             return joined, []
         hits = []
-        for end, (term_id, form, term) in automaton.iter(joined):
+        for end, (term_id, form, term) in automaton.iter(joined) if terms else ():
             start = end - len(form) + 1
             if _border(chars, start - 1, -1) and _border(chars, end + 1, 1):
                 hits.append((start, end, term_id, term))

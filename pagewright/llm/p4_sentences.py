@@ -19,14 +19,16 @@ AHEAD = 80
 
 # Abbreviations that never end a sentence, and such that do where a capital follows.
 NEVER_LAST = (
-    "dr", "Dr", "özv", "ifj", "id", "ún", "ill", "ld", "pl", "kb", "vö", "Kr", "Sz", "Szt", "gr", "prof", "Prof", "No", "Nr", "no", "nr", "St", "Ste", "Mr", "Mrs", "Ms", "Mme", "Mlle", "MM",
-    "Capt", "Gen", "Lt", "Col", "Sir", "cf", "vgl", "Vgl", "approx", "ca", "bzw", "ch", "chap", "Bd", "vol", "fig", "Abb", "p", "pp", "vs", "env", "n", "S", "M", "i", "j", "z", "d", "c",
-    "e\\.g", "i\\.e", "u\\.a", "z\\.B", "d\\.h", "kap", "fej", "old", "szerk", "ford", "Hl", "hl", "Fr", "Hr", "sog", "bes", "gest", "geb", "éd", "av", "apr", "π", "π\\.χ", "δηλ", "βλ", "κ", "σ", "Δρ", "δρ", "Αγ", "د", "डॉ", "श्री",
+    "dr", "prof", "nr", "st", "ste", "mr", "mrs", "ms", "mme", "mlle", "mm", "capt", "gen", "lt", "cf", "vgl", "approx", "ca", "bzw", "ch", "chap", "bd", "vol", "fig", "abb", "p", "pp", "vs", "env",
+    "n", "s", "m", "i", "j", "z", "d", "c", "e\\.g", "i\\.e", "u\\.a", "z\\.B", "d\\.h", "kap", "hr", "fr", "sog", "bes", "geb", "éd", "av", "apr", "π", "π\\.χ", "δηλ", "βλ", "κ", "σ", "δρ", "αγ", "د", "डॉ", "श्री",
 )
+HUNGARIAN_NEVER_LAST = ("özv", "ifj", "id", "ún", "ill", "ld", "pl", "kb", "vö", "kr", "sz", "szt", "gr", "fej", "old", "szerk", "ford", "hl")
 BRACKETED = r"[.!?…](?=[^()\[\]]{0,80}[)\]])"
 # every pattern begins with the full stop itself, so that the look-behind is only tried there
 _NUMBERED = r"\.(?<=\p{Nd}\.)(?=\s*\p{Nd})"
-_ABBREVIATED = r"\.(?<=(?<![\p{L}\p{M}\p{Nd}])(?:" + "|".join(sorted(NEVER_LAST, key=len, reverse=True)) + r")\.)"
+_SHORT = r"\.(?<=(?<![\p{L}\p{M}\p{Nd}])(?iu:%s)\.)"
+_ABBREVIATED = _SHORT % "|".join(sorted(NEVER_LAST, key=len, reverse=True)) + r"|\.(?<=(?<!\p{L})No\.)(?=\s*\p{Nd})"
+_HUNGARIAN = _SHORT % "|".join(sorted(HUNGARIAN_NEVER_LAST, key=len, reverse=True))
 _ERA = r"\.(?<=\bKr[.\x{E000}]\s{0,2}[eu]\.)"
 _TWO_LETTER = r"\.(?<=(?<!\p{L})[zduiec]\.)(?=[\s\x{A0}]?-?(?:B|h|a|e|g|à)\b)"
 _INITIAL = r"\.(?<=(?<![\p{L}\p{M}\p{Nd}])\p{Lu}\.)(?=[\s-]*\p{Lu})"
@@ -65,8 +67,9 @@ def with_ends(rows: DataFrame, text: Column, lang: Column) -> DataFrame:
     dotted = F.col("_bracketed").contains(".")
     out = out.withColumn("_masked1", F.when(dotted, _replaced(F.col("_bracketed"), _NUMBERED, _ABBREVIATED)).otherwise(F.col("_bracketed")))
     out = out.withColumn("_masked2", F.when(dotted, _replaced(F.col("_masked1"), _ERA, _TWO_LETTER, _INITIAL, _ADDRESS)).otherwise(F.col("_masked1")))
+    hungarian = F.when(dotted, _replaced(F.col("_masked2"), _HUNGARIAN)).otherwise(F.col("_masked2"))
     german = F.regexp_replace(_replaced(F.col("_masked2"), _GERMAN_ORDINAL, _GERMAN_ELLIPSIS), _GERMAN_DOTS, MASK * 3)
-    out = out.withColumn("_masked3", F.when(F.col("_lang") == "deu", german).otherwise(F.col("_masked2")))
+    out = out.withColumn("_masked3", F.when(F.col("_lang") == "hun", hungarian).when(F.col("_lang") == "deu", german).otherwise(F.col("_masked2")))
     safe = F.col("_masked3")
     other = F.when(F.col("_lang") == "ell", F.regexp_replace(safe, _GREEK_END, "$1" + CUT))
     for code, pattern, kept in (("fra", _FRENCH_END, "$1" + CUT), ("hin", _DEVANAGARI_END, both), ("ara", _ARABIC_END, both), ("jpn", _CJK_END, both), ("zho", _CHINESE_END, both), ("tha", _THAI_END, "$1" + CUT)):
