@@ -70,8 +70,9 @@ def sheared(marks: np.ndarray, degrees: float) -> np.ndarray:
 def skew(marks: np.ndarray, most: float = 3.0) -> float:
     """The angle at which the text rows stand out best, first in quarters of a degree and then in twentieths."""
     clear = lambda a: float(sheared(marks, a).sum(1).astype(np.float64).var())
-    coarse = max(np.arange(-most, most + 0.01, 0.25), key=clear)
-    return round(float(max(np.arange(coarse - 0.25, coarse + 0.251, 0.05), key=clear)), 2)
+    rated = lambda a: (clear(a), -abs(a))
+    coarse = max(np.arange(-most, most + 0.01, 0.25), key=rated)
+    return round(float(max(np.arange(coarse - 0.25, coarse + 0.251, 0.05), key=rated)), 2)
 
 
 def rotated(gray: np.ndarray, degrees: float) -> np.ndarray:

@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagewright.operators import geometry as g
+from pagewright.operators import ordering, paragraphs, regions as rg
+from pagewright.operators.assemble import heading_levels, render
+
+BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
+CONTENT = (100.0, 100.0, 1100.0, 1500.0)
+
+
+def page_regions(spark, rows):
+    """rows: (id, kind, box, grp)"""
+    return spark.createDataFrame([("b", 1, i, k, tuple(map(float, b)), grp, None) for i, k, b, grp in rows], f"book string, page int, id int, kind string, box {BOX}, grp int, dropped string")
+
+
+def sheet(spark, columns=None):
+    return spark.createDataFrame([("b", 1, CONTENT, columns, 1200, 1600)], f"book string, page int, content {BOX}, columns int, width int, height int")
+
+
+def test_geometry(spark):
+    rows = [((0.0, 0.0, 10.0, 10.0), (5.0, 5.0, 20.0, 20.0)), ((0.0, 0.0, 0.0, 5.0), (0.0, 0.0, 9.0, 9.0)), ((0.0, 0.0, 1.0, 1.0), (3.0, 3.0, 4.0, 4.0)), (None, (0.0, 0.0, 1.0, 1.0))]
+    df = spark.createDataFrame(rows, f"a {BOX}, b {BOX}")
+    a, b = F.col("a"), F.col("b")
+    made = df.select(g.area(a), g.area(g.intersection(a, b)), g.overlap_ratio(a, b), g.union(a, b)["x1"]).collect()
+    assert [tuple(r) for r in made] == [(100.0, 25.0, 0.25, 20.0), (0.0, 0.0, 0.0, 9.0), (1.0, 0.0, 0.0, 4.0), (None, None, 0.0, None)]
+    half = spark.createDataFrame([((0.5, 1.5, 2.5, 3.5),)], f"a {BOX}").select(g.rounded(F.col("a")).alias("r")).first().r
+    assert tuple(half) == (0, 2, 2, 4)
+    with pytest.raises(ValueError):
+        g.Margins(top=0.5)
+
+
+def test_filter_regions_marks_in_order(spark):
+    rows = page_regions(spark, [(0, "header", (300, 300, 500, 400), None), (1, "text", (2, 300, 500, 400), None), (2, "text", (1101, 300, 1150, 400), None), (3, "text", (300, 300, 310, 310), None), (4, "text", (90, 300, 500, 400), None)])
+    made = {r.id: (r.dropped, r.box.x0) for r in rg.filter_regions(rows, sheet(spark)).collect()}
+    assert {k: v[0] for k, v in made.items()} == {0: "kind:header", 1: "edge", 2: "margin", 3: "tiny", 4: None}
+    assert made[4][1] == 100.0
+
+
+def test_dedupe():
+    outer, a, b = ("title", 0, 0, 100, 100), ("title", 0, 0, 100, 50), ("title", 0, 50, 100, 100)
+    assert rg.nested_reasons([outer, a, b]) == ["container", None, None]
+    assert rg.nested_reasons([outer, a]) == [None, "duplicate"]
+    assert rg.nested_reasons([outer, outer, outer]) == ["container"] * 3
+    assert rg.nested_reasons([outer, ("text", 0, 0, 100, 50)]) == [None, None]
+    assert rg.nested_reasons([]) == []
+
+
+def test_merged_boxes_grow():
+    assert rg.merged_boxes([(0, 0, 2, 2), (1, 1, 5, 5), (4, 0, 6, 2), (9, 9, 10, 10)]) == [(0, 0, 6, 5), (9, 9, 10, 10)]
+    assert rg.merged_boxes([(0, 0, 1, 1), (1, 0, 2, 1)]) == [(0, 0, 1, 1), (1, 0, 2, 1)]
+
+
+def read(spark, rows, columns=None, **kw):
+    return [r.id for r in ordering.order_regions(page_regions(spark, rows), sheet(spark, columns), **kw).orderBy("ord").collect()]
+
+
+def test_two_columns_between_full_widths(spark):
+    rows = [(0, "text", (620, 300, 1100, 600), None), (1, "title", (100, 100, 1100, 200), None), (2, "text", (100, 300, 580, 600), None), (3, "text", (100, 650, 580, 900), None), (4, "text", (620, 650, 1100, 900), None), (5, "text", (100, 1000, 1100, 1100), None), (6, "text", (620, 1200, 1100, 1300), None), (7, "text", (100, 1200, 580, 1300), None)]
+    assert read(spark, rows) == [1, 2, 3, 0, 4, 5, 7, 6]
+    assert read(spark, rows, 2) == [1, 2, 3, 0, 4, 5, 7, 6]
+
+
+def test_one_column_and_groups(spark):
+    rows = [(0, "text", (100, 500, 1100, 600), None), (1, "text", (100, 100, 1100, 200), None), (2, "sidebar", (100, 300, 500, 350), 0), (3, "sidebar", (100, 250, 500, 290), 0)]
+    assert read(spark, rows, 1) == [1, 3, 2, 0]
+    assert read(spark, rows, 1, placement="page_end") == [1, 0, 3, 2]
+
+
+def brute_gutters(boxes, content):
+    cw = content[2] - content[0]
+    narrow = [b for b in boxes if b[2] - b[0] < 0.6 * cw]
+    busy = []
+    for k in range(400):
+        n = sum(int((max(b[0], content[0]) - content[0]) / cw * 400) <= k <= int((min(b[2], content[2]) - content[0]) / cw * 400) for b in narrow)
+        busy.append(n > len(narrow) // 10)
+    out, k = [], 40
+    while k < 360:
+        if busy[k]:
+            k += 1
+            continue
+        j = k
+        while j < 360 and not busy[j]:
+            j += 1
+        if j - k >= 2 and any(busy[:k]) and any(busy[j:]):
+            out.append(content[0] + (k + j) / 2 / 400 * cw)
+        k = j
+    return out
+
+
+def test_gutters_against_brute_force(spark):
+    rng = random.Random(7)
+    rows, want = [], {}
+    for page in range(40):
+        boxes = []
+        for _ in range(rng.randint(1, 14)):
+            x0 = rng.choice([100, 110, 430, 620, 640, 800]) + rng.randint(0, 30)
+            boxes.append((float(x0), 0.0, float(min(1100, x0 + rng.choice([150, 280, 440, 700]))), 10.0))
+        want[page] = brute_gutters(boxes, CONTENT)
+        rows += [(page, b, CONTENT) for b in boxes]
+    made = {r.page: list(r.bounds) for r in ordering.gutters(spark.createDataFrame(rows, f"page int, box {BOX}, content {BOX}"), ["page"]).collect()}
+    for page, bounds in want.items():
+        assert made.get(page, []) == pytest.approx(bounds), page
+
+
+def test_rows_of():
+    assert ordering.rows_of([(300, 0, 500, 30), (0, 2, 250, 31), (0, 40, 400, 70)]) == [[1, 0], [2]]
+
+
+def lines(spark, rows):
+    return spark.createDataFrame([(1, i, text, box, par) for i, (text, box, par) in enumerate(rows)], f"r int, line_no int, text string, box {BOX}, par int")
+
+
+def test_paragraph_breaks_by_place(spark):
+    at = lambda k, x0=0.0, x1=1000.0: (x0, 40.0 * k, x1, 40.0 * k + 30)
+    rows = [("Első sor", at(0), 0), ("vége.", at(1, x1=300.0), 0), ("Új bekezdés", at(2), 0), ("tovább.", at(3), 0), ("Behúzva", at(4, x0=60.0), 0), ("• pont", at(5), 0)]
+    made = paragraphs.paragraph_breaks(lines(spark, rows), ["r"]).orderBy("line_no").collect()
+    assert [r.breaks for r in made] == [False, False, True, False, True, True]
+    without = [(t, None, p) for t, p in (("Első sor és", 0), ("Új bekezdés.", 1), ("Harmadik", 2))]
+    assert [r.breaks for r in paragraphs.paragraph_breaks(lines(spark, without), ["r"]).orderBy("line_no").collect()] == [False, False, True]
+    texts = paragraphs.paragraphs(lines(spark, rows), ["r"]).orderBy("par_no").collect()
+    assert [r.text for r in texts] == ["Első sor vége.", "Új bekezdés tovább.", "Behúzva", "• pont"]
+
+
+def items(spark, rows):
+    schema = "book string, seq int, type string, text string, grp struct<page:int,frame:int>, height double, printed int, page int, level int, standalone boolean"
+    return spark.createDataFrame([("b", i, *r) for i, r in enumerate(rows)], schema)
+
+
+def test_render_and_continue(spark):
+    rows = [("marker", None, None, 0.0, 7, 3, 2, False), ("heading", "Cím", None, 60.0, None, 3, 1, False), ("para", "Első fél-", None, 0.0, None, 3, 2, False), ("para", "Sáv", (3, 0), 0.0, None, 3, 2, False), ("caption", "kép", (3, 0), 0.0, None, 3, 2, False), ("marker", None, None, 0.0, None, 4, 2, False), ("para", "mondat vége.", None, 0.0, None, 4, 2, False)]
+    merged = paragraphs.merge_continuations(items(spark, rows))
+    text = render(merged).first().markdown
+    assert text == "<!-- page 7 (pdf 3) -->\n\n# Cím\n\nElső félmondat vége.\n\n> Sáv\n>\n> *kép*\n\n<!-- page 4 -->\n"
+
+
+def test_heading_levels(spark):
+    rows = [("heading", "a", None, h, None, 1, 2, False) for h in (60.0, 40.0, 41.0, 0.0)]
+    assert [r.level for r in heading_levels(items(spark, rows)).orderBy("seq").collect()] == [1, 2, 2, 2]
