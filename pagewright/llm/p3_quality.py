@@ -23,7 +23,7 @@ from .tables import checkpointed
 LEVELS = 1000
 MAX_LABELS = 5000
 #: Log odds above which a text is no prose; above 0 as the fit weighs both classes the same, but prose is far more common.
-THRESHOLD = 1.1
+THRESHOLD = 0.95
 MIN_LINES = 4
 #: Languages are codes of three letters a to z, so there are no more than this; others count as 'und'.
 MAX_LANGS = 26**3
@@ -61,6 +61,8 @@ def _kind(code: int) -> int:
     if category[0] in "LM":
         if char in _LATIN or "\u0300" <= char <= "\u036f":
             return 1
+        if 0x400 <= code <= 0x52F or 0xFB00 <= code <= 0xFB06:  # look-alikes and ligatures: no book is in Cyrillic
+            return 1
         for kind, low, high in ((3, 0x370, 0x3FF), (3, 0x1F00, 0x1FFF), (4, 0x900, 0x97F), (5, 0x600, 0x6FF), (5, 0x750, 0x77F), (6, 0x3040, 0x30FF), (6, 0x3400, 0x9FFF), (7, 0xE00, 0xE7F)):
             if low <= code <= high:
                 return kind
@@ -78,6 +80,7 @@ def _tables() -> dict[str, np.ndarray]:
     if not _TABLE:
         codes = range(0x10000)
         _TABLE["kind"] = np.array([_kind(c) if not 0xD800 <= c < 0xE000 else 11 for c in codes], np.uint8)
+        _TABLE["hidden"] = np.array([unicodedata.category(chr(c)) == "Cf" for c in codes])
         _TABLE["upper"] = np.array([chr(c).isupper() for c in codes])
         _TABLE["vowel"] = np.zeros(0x10000, bool)
         _TABLE["vowel"][[ord(c) for c in _VOWELS]] = True
@@ -100,6 +103,8 @@ def text_counts(texts: list[str]) -> np.ndarray:
     tables, n = _tables(), len(texts)
     codes = np.minimum(np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "replace"), np.uint32), 0xFFFF)
     owner = np.repeat(np.arange(n), np.fromiter(map(len, texts), np.int64, n) + 1)
+    shown = ~tables["hidden"][codes]  # invisible characters part no words
+    codes, owner = codes[shown], owner[shown]
     kind = tables["kind"][codes]
     per_kind = np.bincount(owner * 12 + kind, minlength=12 * n).reshape(n, 12)
     of = lambda where: np.bincount(owner[where], minlength=n)
@@ -163,18 +168,20 @@ def _with_stats(counts: DataFrame) -> DataFrame:
     letters = "(latin + odd + greek + devanagari + arabic + cjk + thai)"
     own = "case lang when 'ell' then greek when 'hin' then devanagari when 'ara' then arabic when 'jpn' then cjk when 'zho' then cjk when 'tha' then thai else latin end"
     made = {
-        "own_script": _share(own, letters), "letters": _share(letters, "chars"), "digits": _share("digits", "chars"), "symbols": _share("symbols", "chars"),
+        # in steps of a twentieth: single foreign letters say nothing
+        "own_script": F.least(F.lit(LEVELS), (F.ceil((_share(own, letters) + 40) / 50) * 50)).cast("int"), "letters": _share(letters, "chars"), "digits": _share("digits", "chars"), "symbols": _share("symbols", "chars"),
         "capitals": _share("capitals", "words"), "common": _share("common", "words"), "commas": _share("commas", "words"), "ends": _share("ends", "words"),
         "numbers": _share("numbers", "words"), "voiceless": _share("voiceless", "words"), "word_length": _share(letters, "words", 40.0),
-        "closed": _share("closed", "lines"), "listed": _share("listed", "lines"), "short": _share("short", "words"), "odd": _share("odd", letters),
+        "closed": _share("closed", "lines"), "listed": _share("listed", "lines"), "short": _share("short", "words"), "odd": (F.floor(_share("odd", letters) / 50) * 50).cast("int"),
         "raised": _share("raised", "lines"), "repeats": _share("repeats", "words"),
     }
-    return counts.select("tbl", "id", "lang", "words", F.array(*(made[s] for s in STATS)).alias("stats"))
+    return counts.select("tbl", "id", "lang", "chars", F.array(*(made[s] for s in STATS)).alias("stats"))
 
 
-def text_statistics(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(tbl, id, lang, words, stats): STATS of each para item that is not standalone and of each text region with
-    `min_lines` lines or more, as whole numbers from 0 to LEVELS.
+def text_statistics(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, furniture: DataFrame | None = None, min_lines: int = MIN_LINES) -> DataFrame:
+    """(tbl, id, lang, chars, stats): STATS of each para item that is not standalone and of each text region with
+    `min_lines` lines or more, as whole numbers from 0 to LEVELS. Lines in `furniture` (line_id, region_id) are among
+    the lines, but their text does not count.
 
     Lines and regions delivered twice count once. A null text counts as empty, a null or unknown language as
     'und'. Empty texts have all statistics 0."""
@@ -184,6 +191,11 @@ def text_statistics(lines: DataFrame, regions: DataFrame, items: DataFrame, book
     types = ", ".join(f"{c} int" for c in COUNTS)
     per_line = lines.where("region_id is not null").select(*line_keys, "text").mapInArrow(_counted(line_keys), f"region_id long, line_id long, {types}")
     once = per_line.repartition("region_id").groupBy(*line_keys).agg(*(F.max(c).alias(c) for c in COUNTS))
+    if furniture is not None:
+        of_region = furniture.where("region_id is not null").groupBy("region_id").agg(F.collect_set("line_id").alias("_out"))  # no more than the lines of a region
+        once = once.join(of_region, "region_id", "left")
+        counts_in = F.coalesce(~F.array_contains("_out", F.col("line_id")), F.lit(True))
+        once = once.select("region_id", "line_id", *(F.when(counts_in, F.col(c)).otherwise(0).alias(c) for c in COUNTS))
     per_region = once.groupBy("region_id").agg(F.count("*").alias("n_lines"), *(F.sum(c).cast("int").alias(c) for c in COUNTS)).where(F.col("n_lines") >= min_lines)
     wanted = regions.where("region_id is not null").groupBy("region_id").agg(F.min("kind").alias("kind"), F.min("book").alias("book")).where("kind = 'text'")
     of_regions = per_region.join(wanted, "region_id").select(F.lit("region").alias("tbl"), F.col("region_id").alias("id"), "book", *COUNTS)
@@ -241,9 +253,10 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, steps: int
     return w, b
 
 
-def outliers(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """(tbl, id, lang, words, stats, score): the statistics and an outlier score, above 0 for what is no prose."""
-    stats = checkpointed(text_statistics(lines, regions, items, books))
+def outliers(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame, furniture: DataFrame | None = None, max_labels: int = MAX_LABELS) -> DataFrame:
+    """(tbl, id, lang, chars, stats, score): the statistics and an outlier score, above THRESHOLD for what is no
+    prose."""
+    stats = checkpointed(text_statistics(lines, regions, items, books, furniture))
     tails = exact_tails(stats).collect()  # at most MAX_LANGS x len(STATS) x (LEVELS + 1) rows
     langs = sorted({t.lang for t in tails})
     table = tail_table(tails, langs)
@@ -260,9 +273,10 @@ def outliers(lines: DataFrame, regions: DataFrame, items: DataFrame, books: Data
             score = tail_features(values, lang, table) @ w + b if len(lang) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
 
-    return stats.mapInArrow(scored, "tbl string, id long, lang string, words int, stats array<int>, score double")
+    return stats.mapInArrow(scored, "tbl string, id long, lang string, chars int, stats array<int>, score double")
 
 
-def not_prose(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame) -> DataFrame:
-    """(tbl, id) of the items and regions whose text is no running prose."""
-    return outliers(lines, regions, items, books, labels).where(F.col("score") > THRESHOLD).select("tbl", "id")
+def not_prose(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame, furniture: DataFrame | None = None) -> DataFrame:
+    """(tbl, id) of the items and regions whose text is no running prose; without any text they are no case."""
+    scored = outliers(lines, regions, items, books, labels, furniture)
+    return scored.where((F.col("score") > THRESHOLD) & (F.col("chars") > 0)).select("tbl", "id")

@@ -26,7 +26,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return not_prose(*(table(spark, d, t) for t in ("ocr_lines", "regions", "items", "books", "form_labels")))
+    lines, regions, items, books, labels = (table(spark, d, t) for t in ("ocr_lines", "regions", "items", "books", "form_labels"))
+    return not_prose(lines, regions, items, books, labels, repeated_lines(lines, regions, books))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
