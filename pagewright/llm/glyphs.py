@@ -53,14 +53,15 @@ SHAPES = str.maketrans(SHAPE_FOLDS)
 DIGITS = str.maketrans(DIGIT_FOLDS)
 
 
-def shape_key(word: str) -> str:
-    """The word with all letters that scanners confuse drawn alike; digits only beside letters."""
+def pair_key(word: str) -> str:
+    """The word with letter pairs that scanners take for one letter as that letter, and digits beside letters as
+    letters; single letters are folded by SHAPES."""
     if not word.isalpha() and not word.isdigit():
         word = word.translate(DIGITS)
     for pair, one in PAIR_FOLDS:
         if pair in word:
             word = word.replace(pair, one)
-    return word.translate(SHAPES)
+    return word
 
 
 # Roman numerals by value.

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .glyphs import FOLD, number_value, shape_key
+from .glyphs import FOLD, ROMAN, SHAPE_FOLDS, number_value, pair_key
 from .tables import checkpointed
 
 MIN_PAGES = 6
@@ -54,22 +54,29 @@ def _end_number(word: str) -> int | None:
     return value
 
 
+_SHAPES = np.arange(128, dtype=np.uint64)
+_SHAPES[[ord(c) for c in SHAPE_FOLDS]] = [ord(c) for c in SHAPE_FOLDS.values()]
+_NUMERIC = frozenset(ROMAN) | frozenset("0123456789")
+
+
 def _drawn(words: list[str]) -> tuple[str, str]:
-    """The words run together with misread shapes folded; their digits."""
-    joined = "".join(words)
-    if joined.isalpha() or not _DIGIT.search(joined):
-        return shape_key(joined), ""
-    parts = ["".join(run) if digits else shape_key("".join(run)) for digits, run in groupby(words, str.isdigit)]
+    """The words run together with misread pairs folded; their digits."""
+    parts = ["".join(run) if digits else pair_key("".join(run)) for digits, run in groupby(words, str.isdigit)]
     return "".join(parts), " ".join(w for w in words if w.isdigit())
 
 
 def _variants(text: str, page: int) -> list[tuple[int | None, str, str]]:
     """(number minus page, letters and digits of the line, its digits): the line as it is, and where
     it begins or ends with a number also the line without that number."""
-    words = text.translate(FOLD).split()
-    if not words or sum(map(len, words)) < 2 * MIN_LETTERS and sum(map(str.isalpha, text)) < MIN_LETTERS:
+    folded = text.translate(FOLD).strip(" ")
+    joined = folded.replace(" ", "")
+    if len(joined) < 2 * MIN_LETTERS and sum(map(str.isalpha, text)) < MIN_LETTERS:
         return []
-    out = [(None, *_drawn(words))]
+    plain = joined.isalpha() or not _DIGIT.search(joined)
+    if plain and folded[0] not in _NUMERIC and folded[-1] not in _NUMERIC:
+        return [(None, pair_key(joined), "")]
+    words = folded.split()
+    out = [(None, pair_key(joined), "") if plain else (None, *_drawn(words))]
     if len(words) > 1:
         if (value := _end_number(words[0])) is not None:
             out.append((value - page, *_drawn(words[1:])))
@@ -88,6 +95,7 @@ def chunk_fingerprints(keys: list[str], salts: np.ndarray) -> tuple[np.ndarray,
     `salts` enter every hash, so equal chunks of two books differ."""
     lengths = np.fromiter(map(len, keys), np.int64, len(keys))
     codes = np.frombuffer("".join(keys).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    codes = np.where(codes < 128, _SHAPES[np.minimum(codes, np.uint64(127)).astype(np.int64)], codes)  # letters misread for each other
     n, starts = len(codes), np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     ends = starts + lengths
     line_of = np.repeat(np.arange(len(keys)), lengths)
