@@ -286,6 +286,26 @@ def read_png(data: bytes) -> np.ndarray:
     return grey.mean(2).round().astype(np.uint8)
 
 
+# Colours of an overlay, red, green and blue.
+COLOURS = {"text": (0, 90, 200), "title": (200, 0, 0), "table": (0, 140, 0), "figure": (150, 0, 150), "sidebar": (220, 130, 0), "caption": (0, 150, 150)}
+
+
+def overlay(gray: np.ndarray, regions: list[tuple[str, Box, str | None]]) -> np.ndarray:
+    """The page in colour with a frame round each region (kind, box, reason it was dropped); dropped ones are grey and
+    crossed out."""
+    out = np.repeat(gray[:, :, None], 3, 2)
+    h, w = gray.shape
+    for kind, b, dropped in regions:
+        x0, y0, x1, y1 = (int(min(max(0, v), m - 1)) for v, m in zip(map(round, b), (w, h, w, h)))
+        colour = (150, 150, 150) if dropped else COLOURS.get(kind, (90, 90, 90))
+        out[y0, x0 : x1 + 1] = out[y1, x0 : x1 + 1] = colour
+        out[y0 : y1 + 1, x0] = out[y0 : y1 + 1, x1] = colour
+        if dropped:
+            n = max(1, x1 - x0, y1 - y0)
+            out[np.linspace(y0, y1, n).round().astype(int), np.linspace(x0, x1, n).round().astype(int)] = colour
+    return out
+
+
 def drawn(layouts: DataFrame, regions: DataFrame, scale: float = 0.1) -> DataFrame:
     """(book, page, height, width, data): pages with their regions drawn as bars for text and lines for frames."""
     boxes = regions.where("dropped is null").groupBy("book", "page").agg(F.sort_array(F.collect_list("box")).alias("boxes"))

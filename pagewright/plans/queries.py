@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as t
-from ..operators import assemble, geometry as g, lines as ln, ordering, paragraphs as pg, pixels, regions as rg
+from ..operators import assemble, geometry as g, layout, lines as ln, ordering, paragraphs as pg, pixels, regions as rg
 from ..sources import config, engines, pagejson
 from ..streaming import pages as stream
 from . import oracles
@@ -157,6 +157,13 @@ def two_column_order(spark: SparkSession, d: str) -> DataFrame:
     return ordering.order_regions(_two_columns(spark, d).withColumn("grp", F.lit(None).cast("int")), pages)
 
 
+@query
+def page_layout(spark: SparkSession, d: str) -> DataFrame:
+    """All layout steps over the regions set in two columns, with margin notes last."""
+    made = layout.build_layout(_two_columns(spark, d), pages_of(spark, d), _frames(spark, d), notes=True)
+    return made.select(*PAGE, "id", "dropped", "grp", "ord")
+
+
 @query
 def label_kinds(spark: SparkSession, d: str) -> DataFrame:
     label = F.element_at(F.split("source", ":"), -1)

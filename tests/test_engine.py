@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 from pagewright.functions import lexicon as lx
 from pagewright.operators import lines as ln
 from pagewright.operators import pixels as px
-from pagewright.sources import config, engines, pagejson
+from pagewright.sources import config, engines, images, pagejson
 from pagewright.streaming import pages as stream
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
@@ -112,10 +112,23 @@ def test_pixels():
     framed[100, 60:200] = framed[200, 60:200] = framed[100:201, 60] = framed[100:201, 199] = 0
     assert px.ruled_frames(px.ink(framed), (0, 0, 300, 400)) == [(60.0, 100.0, 200.0, 201.0)]
     assert px.components(np.zeros((3, 3), bool)) == [] and len(px.components(np.eye(4, dtype=bool))) == 1
+    shown = px.overlay(page, [("text", (10, 10, 50, 50), None), ("text", (60, 60, 90, 90), "edge")])
+    assert shown.shape == (400, 300, 3) and tuple(shown[10, 20]) == px.COLOURS["text"] and tuple(shown[75, 75]) == (150, 150, 150)
     flat = np.full((10, 10), 200, np.uint8)
     assert (px.stretched(flat) == flat).all() and not px.ink(flat).any()
 
 
+def test_images_in_files(spark, tmp_path):
+    page = np.full((60, 40), 255, np.uint8)
+    page[20:24, 5:35:2] = 0
+    rows = [("b", 1, 60, 40, bytearray(page.tobytes())), ("b", 2, 60, 40, None)]
+    images.write_images(spark.createDataFrame(rows, "book string, page int, height int, width int, data binary"), str(tmp_path))
+    (tmp_path / "b" / "0003.png").write_bytes(b"no image")
+    back = {r.page: r for r in images.read_images(spark, str(tmp_path)).collect()}
+    assert bytes(back[1].data) == page.tobytes() and back[3].error.startswith("ValueError") and 2 not in back
+    assert images.prepared_pages(images.read_images(spark, str(tmp_path))).count() == 1
+
+
 def test_contract(spark):
     queries, oracles = contract.queries(), contract.oracle_sql()
     assert set(oracles) <= set(queries) and len(queries) > 40

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagewright.operators import geometry as g
-from pagewright.operators import ordering, paragraphs, regions as rg
+from pagewright.operators import layout, ordering, paragraphs, regions as rg
 from pagewright.operators.assemble import heading_levels, render
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
@@ -141,3 +141,10 @@ def test_render_and_continue(spark):
 def test_heading_levels(spark):
     rows = [("heading", "a", None, h, None, 1, 2, False) for h in (60.0, 40.0, 41.0, 0.0)]
     assert [r.level for r in heading_levels(items(spark, rows)).orderBy("seq").collect()] == [1, 2, 2, 2]
+
+
+def test_build_layout(spark):
+    rows = page_regions(spark, [(0, "text", (300, 200, 1050, 600), None), (1, "text", (120, 250, 240, 300), None), (2, "sidebar", (350, 700, 700, 900), None), (3, "header", (300, 110, 900, 130), None), (4, "text", (300, 1000, 1050, 1200), None), (5, "text", (310, 210, 900, 400), None)])
+    frames = spark.createDataFrame([], f"book string, page int, frame_id int, box {BOX}")
+    made = {r.id: (r.dropped, r.ord) for r in layout.build_layout(rows, sheet(spark, 1), frames, notes=True).collect()}
+    assert made == {0: (None, 0), 1: (None, 3), 2: (None, 1), 3: ("kind:header", None), 4: (None, 2), 5: ("duplicate", None)}
