@@ -183,7 +183,8 @@ def _by_chunk(keys: DataFrame) -> DataFrame:
 
 
 def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(line_id, region_id, cluster): lines that stand on `min_pages` or more different pages of their book.
+    """(line_id, region_id, book, cluster, bag): lines that stand on `min_pages` or more different pages of their book;
+    cluster and bag are the fingerprints of the line that they were gathered round.
 
     Rows delivered twice count once; regions of kind table are left out, lines without a known region are not.
     A number at either end is taken off only where it is the page's printed number; where a book's offset is
@@ -196,7 +197,8 @@ def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_p
         .withColumn("centre", commonest)
         .where("weight = 0 and centre is not null")
         .where(_bag_distance("bag", "centre.bag") <= MAX_LETTER_CHANGES)
-        .groupBy("key").agg(F.max(F.struct("centre.weight", "centre.key")).getField("key").alias("cluster"))
+        .groupBy("key").agg(F.max("centre").alias("centre"))
+        .select("key", F.col("centre.key").alias("cluster"), F.col("centre.bag").alias("bag"))
     )
     offsets = books.select("book", F.col("page_number_offset").alias("offset")).where("offset is not null").groupBy("book").agg(F.min("offset").alias("offset"))
     tables = regions.where("kind = 'table'").select("region_id").distinct()
@@ -206,7 +208,9 @@ def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_p
         .join(offsets, "book", "left")
         .where("moved is null or moved = offset")
         .join(tables, "region_id", "left_anti")
-        .select("line_id", "region_id", "page", "cluster")
+        .select("line_id", "region_id", "book", "page", "cluster", "bag")
     )
     wide = members.select("cluster", "page").distinct().groupBy("cluster").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    return members.join(wide.select("cluster"), "cluster", "left_semi").groupBy("line_id").agg(F.min("region_id").alias("region_id"), F.min("cluster").alias("cluster"))
+    kept = members.join(wide.select("cluster"), "cluster", "left_semi")
+    one = kept.groupBy("line_id").agg(F.min(F.struct("cluster", "bag", "book", "region_id")).alias("one"))
+    return one.select("line_id", "one.region_id", "one.book", "one.cluster", "one.bag")
