@@ -33,6 +33,7 @@ LENGTH_STEP = 4
 MAX_LETTER_CHANGES = 5
 
 FINGERPRINTS = "line_id long, region_id long, book string, page int, moved int, key long, c1 long, c2 long, c3 long, bag long, n int"
+WHOLE = "line_id long, region_id long, book string, page int, moved int, key long"
 _DIGIT = re.compile(r"\d")
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -90,7 +91,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def chunk_fingerprints(keys: list[str], salts: np.ndarray) -> tuple[np.ndarray, ...]:
+def chunk_fingerprints(keys: list[str], salts: np.ndarray, whole_only: bool = False) -> tuple[np.ndarray, ...]:
     """Of each key: hash of the whole, of its first, last and middle chunk, its letter bag and its length.
     `salts` enter every hash, so equal chunks of two books differ."""
     lengths = np.fromiter(map(len, keys), np.int64, len(keys))
@@ -105,6 +106,12 @@ def chunk_fingerprints(keys: list[str], salts: np.ndarray) -> tuple[np.ndarray,
         powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n, 1), _ODD)]))
         back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n, 1), _INVERSE)]))
         sums = np.concatenate([[np.uint64(0)], np.cumsum(values * powers[:n], dtype=np.uint64)])
+        def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return (sums[b] - sums[a]) * back[a]
+
+        whole = _mixed(part(starts, ends) + salts)
+        if whole_only:
+            return (whole,)
         rolling = np.zeros(n, np.uint64)
         for k in range(WINDOW):
             rolling[k:] += values[: n - k] * powers[k] if n > k else 0
@@ -115,10 +122,6 @@ def chunk_fingerprints(keys: list[str], salts: np.ndarray) -> tuple[np.ndarray,
         late = np.flatnonzero(cut & (place + WINDOW >= 2 * WINDOW - 1) & (ends[line_of] - np.arange(n) - 1 >= MIN_CHUNK))
         last_cut[line_of[late]] = late + 1
 
-        def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return (sums[b] - sums[a]) * back[a]
-
-        whole = _mixed(part(starts, ends) + salts)
         middle_from, middle_to = np.minimum(first_cut, last_cut), np.maximum(first_cut, last_cut)
         chunks = [_mixed(part(a, b) * np.uint64(3) + salts + np.uint64(tag)) for tag, a, b in ((1, starts, first_cut), (2, last_cut, ends), (3, middle_from, middle_to))]
         bins = np.bincount(line_of * 16 + ((values >> np.uint64(20)) % np.uint64(16)).astype(np.int64), minlength=16 * len(keys))
@@ -133,7 +136,7 @@ def _hash_text(text: str) -> int:
     return value
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fingerprint(batches: Iterator[pa.RecordBatch], whole_only: bool = False) -> Iterator[pa.RecordBatch]:
     books: dict[str, int] = {}
     for batch in batches:
         columns = {name: batch.column(name) for name in batch.schema.names}
@@ -149,19 +152,29 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     salts.append(books[book] ^ _hash_text(digits) if digits else books[book])
         if not rows:
             continue
-        whole, c1, c2, c3, bag, n = chunk_fingerprints(keys, np.array(salts, np.uint64))
         taken = pa.array(rows)
         long = lambda a: pa.array(a.view(np.int64))
+        if whole_only:
+            (whole,) = chunk_fingerprints(keys, np.array(salts, np.uint64), True)
+            yield pa.RecordBatch.from_arrays([*(columns[c].take(taken) for c in ("line_id", "region_id", "book", "page")), pa.array(moved, pa.int32()), long(whole)], names=["line_id", "region_id", "book", "page", "moved", "key"])
+            continue
+        whole, c1, c2, c3, bag, n = chunk_fingerprints(keys, np.array(salts, np.uint64))
         yield pa.RecordBatch.from_arrays(
             [*(columns[c].take(taken) for c in ("line_id", "region_id", "book", "page")), pa.array(moved, pa.int32()), long(whole), long(c1), long(c2), long(c3), long(bag), pa.array(n.astype(np.int32))],
             names=["line_id", "region_id", "book", "page", "moved", "key", "c1", "c2", "c3", "bag", "n"],
         )
 
 
-def line_fingerprints(lines: DataFrame) -> DataFrame:
+def _whole_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _fingerprint(batches, True)
+
+
+def line_fingerprints(lines: DataFrame, whole_only: bool = False) -> DataFrame:
     """Fingerprints of all lines with at least MIN_LETTERS letters; a second row without the number for
     lines that begin or end with one. Lines with a null book, page, text or line_id count as none."""
     kept = lines.select("line_id", "region_id", "book", F.col("page").cast("int").alias("page"), "text").where(F.col("line_id").isNotNull() & F.col("book").isNotNull() & F.col("page").isNotNull() & F.col("text").isNotNull())
+    if whole_only:
+        return kept.mapInArrow(_whole_lines, WHOLE)
     return kept.mapInArrow(_fingerprint, FINGERPRINTS)
 
 
@@ -203,7 +216,7 @@ def repeated_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, min_p
     offsets = books.select("book", F.col("page_number_offset").alias("offset")).where("offset is not null").groupBy("book").agg(F.min("offset").alias("offset"))
     tables = regions.where("kind = 'table'").select("region_id").distinct()
     members = checkpointed(
-        prints.select("line_id", "region_id", "book", "page", "moved", "key")
+        line_fingerprints(lines, whole_only=True)
         .join(near, "key")
         .join(offsets, "book", "left")
         .where("moved is null or moved = offset")
