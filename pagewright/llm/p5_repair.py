@@ -36,10 +36,16 @@ MAX_LEXICON = 2_000_000
 #: An unknown word that is at least so frequent, beside what it would be repaired to, is right.
 RIGHT_SHARE = 0.04
 MOST_EDITS = 3
+#: What a paragraph's end costs behind a full line, and what is gained by it at any line.
+FULL_COST, BREAK_GAIN = 6.0, 4.5
+#: A text region of fewer lines has no length of a full line of its own.
+FEW_LINES = 3
 NO_TEXT = ("table", "title", "caption")
 _WORD = re.compile(r"[^\W_]+")
-_TAIL = re.compile(r"([^\W\d_][^\W_]*|[^\W_]*[^\W\d_])(\s?[-‐­¬–.,:;\s]*)$")
-_HEAD = re.compile(r"[^\W_]+")
+_ENDED = re.compile("[.!?…。！？।؟][\"'”’»“«)\\]」』]*$")
+# Languages whose words are not parted by spaces, and those whose sentences have no mark at their end.
+UNSPACED = ("jpn", "zho", "tha")
+UNMARKED = ("tha",)
 # What may stand behind a word at a line's end that goes on in the next line.
 BEHIND = "-\u2010\u00ad\u00ac\u2013.,:; \u00a0"
 _HYPHEN = re.compile("[-‐­¬]")
@@ -260,13 +266,16 @@ def number_lines(lines: DataFrame, books: DataFrame) -> DataFrame:
     return likely.join(offsets, "book").where(stated("text") == F.col("page") + F.col("offset")).select("line_id", "region_id").distinct()
 
 
-def region_streams(lines: DataFrame, regions: DataFrame, books: DataFrame, furniture: DataFrame, excluded: DataFrame) -> DataFrame:
+def region_streams(lines: DataFrame, regions: DataFrame, books: DataFrame, furniture: DataFrame, excluded: DataFrame, every_lang: bool = False) -> DataFrame:
     """Lines, without furniture, with what their region brings (kind, order, language), sorted by region and line;
-    excluded regions and those of kinds without running text are left out."""
-    langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang")).where(F.col("lang").isin(*LANGS))
+    excluded regions and those of kinds without running text are left out, and unless `every_lang` is set also books
+    in languages without a lexicon."""
+    langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
+    if not every_lang:
+        langs = langs.where(F.col("lang").isin(*LANGS))
     of_region = furniture.groupBy("region_id").agg(F.collect_set("line_id").alias("furniture"))
     kept = regions.where("region_id is not null").groupBy("region_id").agg(F.min("kind").alias("kind"), F.min("book").alias("book"), F.min("page").alias("page"), F.min("id").alias("ord"))
-    kept = kept.where(~F.coalesce(F.col("kind").isin(*NO_TEXT), F.lit(False))).join(langs, "book").join(excluded, "region_id", "left_anti").join(of_region, "region_id", "left")
+    kept = kept.where(~F.coalesce(F.col("kind").isin(*NO_TEXT), F.lit(False))).join(langs, "book", "left" if every_lang else "inner").join(excluded, "region_id", "left_anti").join(of_region, "region_id", "left")
     # partitioned once, before the join, which keeps it so; a region is a few lines, so no partition is skewed
     text = lines.where("line_id is not null and text is not null").select("region_id", "line_id", "line_no", "text").repartition("region_id")
     joined = text.join(kept.select("region_id", "kind", "lang", "book", "page", "ord", "furniture"), "region_id")
@@ -274,8 +283,9 @@ def region_streams(lines: DataFrame, regions: DataFrame, books: DataFrame, furni
     return joined.sortWithinPartitions("region_id", "line_no", "line_id")
 
 
-def decoded_lines(streams: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame:
-    """DECODED rows of all streams: faults, counts of words, and the open ends of text regions."""
+def decoded_lines(streams: DataFrame, lexicon: dict[str, set[str]], runs: bool = False) -> DataFrame:
+    """DECODED rows of all streams: faults, counts of words, and the open ends of text regions; with `runs` also what
+    chains() needs of each text region."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = {lang: Words(lang, w) for lang, w in lexicon.items()}
@@ -283,13 +293,17 @@ def decoded_lines(streams: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame
         rows: list[tuple] = []
         for region, lines in _streams(source):
             lang = region["lang"]
-            found = decode(lines, words[lang], counts[lang], region["kind"] == "text")
-            rows += [(fault, "line", at, lang, token, fixed, None, None, None, None, None) for at, fault, token, fixed in found.faults]
+            found = decode(lines, words[lang], counts[lang], region["kind"] == "text") if lang in words else Found([])
+            rows += [(fault, "line", at, lang, token, fixed, None, None, None, None, region["region_id"]) for at, fault, token, fixed in found.faults]
             place = (region["book"], region["page"], region["ord"], region["region_id"])
             if region["kind"] == "text" and lines:
                 head, tail = found.head or (None, None), found.tail or (None, None, None)
                 rows.append(("head", None, head[0], lang, head[1], None, None, *place))
                 rows.append(("tail", None, tail[0], lang, tail[1], tail[2], None, *place))
+                if runs:
+                    texts = [text for _, text in lines]
+                    of = {"begins": int(begin_cost(texts[0])), "ends": int(mark_cost(texts[-1], lang)), "length": len(texts[-1]), "usual": usual_length(texts), "lines": len(texts)}
+                    rows += [(kind, None, None, lang, None, None, n, *place) for kind, n in of.items()]
             if len(rows) >= 20_000:
                 yield _batch(rows)
                 rows = []
@@ -303,46 +317,54 @@ def decoded_lines(streams: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame
 
 def _over_regions(decoded: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame:
     """Faults at the ends of text regions: the tail of each with the head of the next text region of its page, or of the
-    next page that has one."""
+    next page that has one. The region whose head is the end of a cut word has a row 'joined'."""
     ends = decoded.where("kind in ('head', 'tail')").groupBy("book", "page", "ord", "region_id", "lang").agg(
         *(F.max(F.when(F.col("kind") == k, F.col(c))).alias(f"{k}_{c}") for k, c in (("head", "id"), ("head", "token"), ("tail", "id"), ("tail", "token"), ("tail", "fixed")))
     )
     here = Window.partitionBy("book", "page").orderBy("ord", "region_id")
-    head = F.struct(F.col("head_id").alias("id"), F.col("head_token").alias("token"))
+    head = F.struct(F.col("head_id").alias("id"), F.col("head_token").alias("token"), "region_id")
     linked = ends.withColumn("after", F.lead(head).over(here)).withColumn("at", F.row_number().over(here)).withColumn("last", F.lead("region_id").over(here).isNull())
     firsts = linked.where("at = 1").select("book", "page", head.alias("first"))  # a row per page
     following = firsts.select("book", "page", F.lead("first").over(Window.partitionBy("book").orderBy("page")).alias("next_page"))
     linked = linked.join(following, ["book", "page"]).withColumn("after", F.when(F.col("last"), F.col("next_page")).otherwise(F.col("after")))
     # the first text region of a book has a head that nothing goes before
-    starts = firsts.withColumn("k", F.row_number().over(Window.partitionBy("book").orderBy("page"))).where("k = 1").select("book", F.col("first.id").alias("id"), F.col("first.token").alias("token"))
+    starts = firsts.withColumn("k", F.row_number().over(Window.partitionBy("book").orderBy("page"))).where("k = 1").select("book", F.col("first.id").alias("id"), F.col("first.token").alias("token"), F.col("first.region_id").alias("head_region"))
     langs = ends.groupBy("book").agg(F.first("lang").alias("lang"))
-    opening = starts.join(langs, "book").select("lang", F.lit(None).cast("long").alias("tail_id"), F.lit(None).cast("string").alias("tail_token"), F.lit(None).cast("string").alias("tail_fixed"), "id", "token")
-    pairs = linked.select("lang", "tail_id", "tail_token", "tail_fixed", F.col("after.id").alias("id"), F.col("after.token").alias("token")).unionByName(opening)
+    opening = starts.join(langs, "book").select("lang", F.lit(None).cast("long").alias("tail_id"), F.lit(None).cast("string").alias("tail_token"), F.lit(None).cast("string").alias("tail_fixed"), F.lit(None).cast("long").alias("region_id"), "id", "token", "head_region")
+    pairs = linked.select("lang", "tail_id", "tail_token", "tail_fixed", "region_id", F.col("after.id").alias("id"), F.col("after.token").alias("token"), F.col("after.region_id").alias("head_region")).unionByName(opening)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = {lang: Words(lang, w) for lang, w in lexicon.items()}
         for batch in source:
             rows = []
-            for lang, tail_id, tail, between, head_id, head in zip(*(batch.column(c).to_pylist() for c in ("lang", "tail_id", "tail_token", "tail_fixed", "id", "token"))):
+            names = ("lang", "tail_id", "tail_token", "tail_fixed", "region_id", "id", "token", "head_region")
+            for lang, tail_id, tail, between, tail_region, head_id, head, head_region in zip(*(batch.column(c).to_pylist() for c in names)):
+                if lang not in words:
+                    continue
                 whole = words[lang].joined(tail, between or "", head) if tail and head else None
                 if whole is not None:
-                    rows.append(("hyphen", "line", tail_id, lang, tail + "|" + head, whole, None, None, None, None, None))
+                    rows.append(("hyphen", "line", tail_id, lang, tail + "|" + head, whole, None, None, None, None, tail_region))
+                    rows.append(("joined", "line", head_id, lang, None, None, None, None, None, None, head_region))
                     continue
                 if tail and not _HYPHEN.search(between or "") and (fixed := words[lang].repair(tail)) is not None:
-                    rows.append(("misread", "line", tail_id, lang, tail, fixed, None, None, None, None, None))
+                    rows.append(("misread", "line", tail_id, lang, tail, fixed, None, None, None, None, tail_region))
                 if head and (fixed := words[lang].repair(head)) is not None:
-                    rows.append(("misread", "line", head_id, lang, head, fixed, None, None, None, None, None))
+                    rows.append(("misread", "line", head_id, lang, head, fixed, None, None, None, None, head_region))
             yield _batch(rows)
 
     return pairs.mapInArrow(run, DECODED)
 
 
+def prose_items(items: DataFrame, excluded: DataFrame) -> DataFrame:
+    """(id, book, page, text): paragraphs that are not standalone."""
+    return items.where("type = 'para' and not coalesce(standalone, false) and text is not null").select(F.col("item_id").alias("id"), "book", "page", "text").join(excluded, "id", "left_anti")
+
+
 def decoded_items(items: DataFrame, books: DataFrame, heads: DataFrame, excluded: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame:
     """DECODED rows of the paragraphs that are not standalone: faults, furniture, counts. `heads` (book, heads) are
     the fingerprints (key, bag) of each book's repeated lines."""
     of_book = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"), F.min("page_number_offset").alias("offset"))
-    kept = items.where("type = 'para' and not coalesce(standalone, false) and text is not null").select(F.col("item_id").alias("id"), "book", "page", "text").join(excluded, "id", "left_anti")
-    full = kept.join(of_book, "book", "left").join(heads, "book", "left")
+    full = prose_items(items, excluded).join(of_book, "book", "left").join(heads, "book", "left")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = {lang: Words(lang, w) for lang, w in lexicon.items()}
@@ -353,7 +375,7 @@ def decoded_items(items: DataFrame, books: DataFrame, heads: DataFrame, excluded
             split = [t.split("\n") for t in texts]
             for item, lang, lines, out in zip(ids, langs, split, item_furniture(split, books_, pages, offsets, heads_)):
                 if out:
-                    rows.append(("furniture", "item", item, lang, None, "", None, None, None, None, None))
+                    rows.append(("furniture", "item", item, lang, ",".join(map(str, sorted(out))), "", None, None, None, None, None))
                     lines = [line for k, line in enumerate(lines) if k not in out]
                 if lang in words:
                     found = decode([(item, line) for line in lines], words[lang], counts[lang])
@@ -413,19 +435,30 @@ def repeated_heads(repeated: DataFrame) -> DataFrame:
     return per_cluster.groupBy("book").agg(F.collect_list(F.struct("key", "bag")).alias("heads"))
 
 
-def faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float = RIGHT_SHARE) -> DataFrame:
-    """(tbl, id, fault, fixed), each once: words cut at line ends, misread words, and furniture.
+@dataclass
+class Judged:
+    """What is found in the whole corpus: furniture, regions and items that are no prose, streams of lines, DECODED rows
+    with those over regions, and of these the faults that the counts bear out."""
 
-    Lines and regions delivered twice count once. Regions and items that are no prose are left out; tables, titles
-    and captions have furniture only, and so has text in languages without a lexicon. Null texts hold nothing."""
+    furniture: DataFrame
+    bad_regions: DataFrame
+    bad_items: DataFrame
+    streams: DataFrame
+    decoded: DataFrame
+    over: DataFrame
+    faults: DataFrame
+
+
+def judged_faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float, every_lang: bool = False) -> Judged:
     found = repeated_lines(lines, regions, books).unionByName(number_lines(lines, books), allowMissingColumns=True)
     furniture = checkpointed(found.groupBy("line_id", "region_id").agg(F.max(F.struct("cluster", "bag", "book")).alias("_f")).select("line_id", "region_id", "_f.cluster", "_f.bag", "_f.book"))
     excluded = checkpointed(not_prose(lines, regions, items, books, form_labels, furniture))
     bad_regions, bad_items = (excluded.where(F.col("tbl") == t).select(F.col("id").alias(c)) for t, c in (("region", "region_id"), ("item", "id")))
     known = _lexicons(lexicon)
-    streams = region_streams(lines, regions, books, furniture, bad_regions)
-    decoded = checkpointed(decoded_lines(streams, known).unionByName(decoded_items(items, books, repeated_heads(furniture.where("cluster is not null")), bad_items, known)))
-    seen = decoded.where("kind in ('hyphen', 'misread', 'furniture')").unionByName(_over_regions(decoded, known))
+    streams = region_streams(lines, regions, books, furniture, bad_regions, every_lang)
+    decoded = checkpointed(decoded_lines(streams, known, every_lang).unionByName(decoded_items(items, books, repeated_heads(furniture.where("cluster is not null")), bad_items, known)))
+    over = checkpointed(_over_regions(decoded, known))
+    seen = decoded.where("kind in ('hyphen', 'misread', 'furniture')").unionByName(over)
     counts = decoded.where("kind = 'count'").groupBy("lang", "token").agg(F.sum("n").alias("n"))
     misread = seen.where("kind = 'misread'").withColumn("low", F.lower("token")).withColumn("meant", F.lower("fixed"))
     tried = misread.select("lang", "low", "meant").distinct()
@@ -433,76 +466,207 @@ def faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFr
     to = counts.select("lang", F.col("token").alias("meant"), F.col("n").alias("other"))
     judged = tried.join(of, ["lang", "low"], "left").join(to, ["lang", "meant"], "left")
     right = judged.where(F.coalesce("own", F.lit(0)) > F.greatest(F.lit(2.0), right_share * F.coalesce("other", F.lit(0)))).select("lang", "low")
-    wrong = misread.join(right, ["lang", "low"], "left_anti").select("tbl", "id", F.col("kind").alias("fault"), "fixed")
-    others = seen.where("kind in ('hyphen', 'furniture')").select("tbl", "id", F.col("kind").alias("fault"), "fixed")
-    of_lines = furniture.join(bad_regions, "region_id", "left_anti").select(F.lit("line").alias("tbl"), F.col("line_id").alias("id"), F.lit("furniture").alias("fault"), F.lit("").alias("fixed"))
-    return wrong.unionByName(others).unionByName(of_lines).distinct()
+    columns = ("tbl", "id", "region_id", F.col("kind").alias("fault"), "token", "fixed")
+    wrong = misread.join(right, ["lang", "low"], "left_anti").select(*columns)
+    others = seen.where("kind in ('hyphen', 'furniture')").select(*columns)
+    return Judged(furniture, bad_regions, bad_items, streams, decoded, over, wrong.unionByName(others))
+
+
+def faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float = RIGHT_SHARE) -> DataFrame:
+    """(tbl, id, fault, fixed), each once: words cut at line ends, misread words, and furniture.
+
+    Lines and regions delivered twice count once. Regions and items that are no prose are left out; tables, titles
+    and captions have furniture only, and so has text in languages without a lexicon. Null texts hold nothing."""
+    made = judged_faults(lines, regions, books, items, lexicon, form_labels, right_share)
+    of_lines = made.furniture.join(made.bad_regions, "region_id", "left_anti").select(F.lit("line").alias("tbl"), F.col("line_id").alias("id"), F.lit("furniture").alias("fault"), F.lit("").alias("fixed"))
+    return made.faults.select("tbl", "id", "fault", "fixed").unionByName(of_lines).distinct()
+
+
+def usual_length(lines: list[str]) -> int:
+    """The length that a full line of these has."""
+    return sorted(map(len, lines))[(9 * len(lines)) // 10]
+
+
+def mark_cost(line: str, lang: str | None = None) -> float:
+    """What a paragraph's end behind a line costs for want of the mark of a sentence's end."""
+    return 2.0 if lang in UNMARKED else 0.0 if _ENDED.search(line.rstrip()) else 4.0
+
+
+def begin_cost(line: str) -> float:
+    """What a paragraph's beginning with a line costs; letters without case tell nothing."""
+    first = line.lstrip("„“«»–- \"")[:1]
+    return 0.0 if first.isupper() or first.isalpha() and first.lower() == first.upper() else 2.0
 
 
-def paragraph_starts(lines: list[str]) -> list[int]:
+def paragraph_starts(lines: list[str], usual: list[int] | None = None, whole: set[int] | frozenset[int] = frozenset(), lang: str | None = None) -> list[int]:
     """Where paragraphs begin, by dynamic programming: a break costs less behind a finished sentence and a short
-    line, more inside a sentence, and paragraphs of a single line cost extra."""
+    line, more inside a sentence, and paragraphs of a single line cost extra. `usual` is the length of a full line where
+    each line stands; no paragraph begins at the lines of `whole`."""
     n = len(lines)
-    usual = sorted(map(len, lines))[(9 * n) // 10] if n else 0
-    cost = [0.0]
-    for before, line in zip(lines, lines[1:]):
-        ended = bool(re.search("[.!?…][\"'”’»)\\]]*$", before.rstrip()))
-        begins = line.lstrip("„“«»–- \"")[:1].isupper()
-        cost.append((0.0 if ended else 4.0) + (0.0 if begins else 2.0) + 6.0 * min(1.0, len(before) / max(1, usual)) - 4.5)
-    # least cost up to line k with a paragraph beginning there, and with one going on, and the breaks so far
-    begun: tuple[float, list[int]] = (0.0, [0])
-    going: tuple[float, list[int]] | None = None
+    if not n:
+        return []
+    usual = usual or [usual_length(lines)] * n
+    cost = [0.0] + [mark_cost(a, lang) + begin_cost(b) + FULL_COST * min(1.0, len(a) / max(1, u)) - BREAK_GAIN + (1e6 if k in whole else 0.0) for k, (a, b, u) in enumerate(zip(lines, lines[1:], usual), 1)]
+    # least cost up to line k with a paragraph beginning there, and with one going on, and the breaks so far, last first
+    begun: tuple[float, tuple] = (0.0, (0, None))
+    going: tuple[float, tuple] | None = None
     for k in range(1, n):
-        breaks = [(begun[0] + cost[k] + 1.5, begun[1] + [k])]
+        breaks = [(begun[0] + cost[k] + 1.5, (k, begun[1]))]
         if going:
-            breaks.append((going[0] + cost[k], going[1] + [k]))
+            breaks.append((going[0] + cost[k], (k, going[1])))
         going = min([begun] + ([going] if going else []), key=lambda o: o[0])
         begun = min(breaks, key=lambda o: o[0])
-    return min([begun] + ([going] if going else []), key=lambda o: o[0])[1] if n else []
+    at: tuple | None = min([begun] + ([going] if going else []), key=lambda o: o[0])[1]
+    out = []
+    while at:
+        out.append(at[0])
+        at = at[1]
+    return out[::-1]
 
 
-def repaired_text(lines: list[tuple[int, str]], words: Words | None) -> list[str]:
-    """The paragraphs of a region's lines, with cut words whole and misread words right."""
-    if not lines:
-        return []
-    breaks = set(paragraph_starts([t for _, t in lines]))
-    out: list[str] = []
-    for k, (_, text) in enumerate(lines):
-        mend = (lambda m: words.repair(m.group()) or m.group()) if words else (lambda m: m.group())
-        tail = _TAIL.search(out[-1]) if out and k not in breaks else None
-        head = _HEAD.match(text)
-        whole = words.joined(tail.group(1), tail.group(2), head.group()) if words and tail and head else None
-        if whole is not None and tail and head:
-            out[-1] = out[-1][: tail.start()] + whole + _WORD.sub(mend, text[head.end() :])
-        elif out and k not in breaks:
-            out[-1] = f"{out[-1]} {_WORD.sub(mend, text)}"
+#: Of a line: misread words with what was meant, and cut words, (left, right), with the whole.
+Fixes = tuple[dict[str, str], dict[tuple[str, str], str]]
+
+
+def fixes_of(faults: list[tuple[str, str, str]]) -> Fixes:
+    """`faults` are (fault, token, fixed)."""
+    cut = {tuple(token.split("|", 1)): fixed for fault, token, fixed in faults if fault == "hyphen"}
+    return {token: fixed for fault, token, fixed in faults if fault == "misread"}, cut
+
+
+def whole_paragraphs(texts: list[str], fixes: list[Fixes], usual: list[int] | None = None, lang: str | None = None) -> list[tuple[int, str]]:
+    """The paragraphs of lines that run on, each with the place of the line in which it begins; cut words are whole and
+    misread words right."""
+    starts, ends, wholes = [0] * len(texts), [len(t) for t in texts], [""] * len(texts)
+    inside: set[int] = set()
+    held: tuple[int, str] | None = None  # the line before that has words, and its last word
+    for k, text in enumerate(texts):
+        tokens = _WORD.findall(text)
+        if not tokens:
+            continue
+        if held is not None and text.startswith(tokens[0]) and (whole := fixes[held[0]][1].get((held[1], tokens[0]))) is not None:
+            ends[held[0]], wholes[held[0]], starts[k] = texts[held[0]].rindex(held[1]), whole, len(tokens[0])
+            inside.update(range(held[0] + 1, k + 1))
+        held = (k, tokens[-1]) if len(tokens) > 1 or not starts[k] else None
+    breaks = set(paragraph_starts(texts, usual, inside, lang))
+    out: list[tuple[int, list[str]]] = []
+    for k, text in enumerate(texts):
+        mended = _WORD.sub(lambda m, known=fixes[k][0]: known.get(m.group(), m.group()), text[starts[k] : ends[k]]) + wholes[k]
+        if k in breaks:
+            out.append((k, [mended]))
         else:
-            out.append(_WORD.sub(mend, text))
-    return [unicodedata.normalize("NFC", re.sub(r"\s+", " ", p)).strip() for p in out]
+            out[-1][1].append(mended if starts[k] or lang in UNSPACED else " " + mended)
+    made = [(k, unicodedata.normalize("NFC", re.sub(r"\s+", " ", "".join(parts))).strip()) for k, parts in out]
+    return [(k, text) for k, text in made if text]
 
 
-def repaired_paragraphs(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame) -> DataFrame:
-    """(book, page, region_id, par_no, text): the continuous paragraphs of each region of running text, without
-    furniture."""
-    furniture = checkpointed(repeated_lines(lines, regions, books).select("line_id", "region_id").unionByName(number_lines(lines, books)).distinct())
-    excluded = not_prose(lines, regions, items, books, form_labels, furniture)
-    known = _lexicons(lexicon)
-    streams = region_streams(lines, regions, books, furniture, excluded.where("tbl = 'region'").select(F.col("id").alias("region_id")))
+def repaired_text(lines: list[tuple[int, str]], words: Words | None) -> list[str]:
+    """The paragraphs of lines (id, text), with every fault that is decoded put right."""
+    found = decode(lines, words, Counter()).faults if words else []
+    of = [fixes_of([f[1:] for f in found if f[0] == at]) for at, _ in lines]
+    return [text for _, text in whole_paragraphs([t for _, t in lines], of)]
+
+
+def chains(decoded: DataFrame, over: DataFrame) -> DataFrame:
+    """(region_id, chain, usual): each text region with the region in which the run of text begins that it goes on with,
+    and the length of a full line, which short regions take from their page. A run ends where a paragraph does, so a region
+    begins one if a break costs nothing there and no cut word spans it."""
+    kinds = ("begins", "ends", "length", "usual", "lines")
+    ends = decoded.where(F.col("kind").isin(*kinds)).groupBy("book", "page", "ord", "region_id").agg(*(F.max(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in kinds))
+    of_page = F.max("usual").over(Window.partitionBy("book", "page"))
+    ends = ends.withColumn("usual", F.when(F.col("lines") < FEW_LINES, of_page).otherwise(F.col("usual")))
+    ends = ends.withColumn("ends", F.col("ends") + FULL_COST * F.least(F.lit(1.0), F.col("length") / F.greatest(F.lit(1), F.col("usual"))) - BREAK_GAIN)
+    joined = over.where("kind = 'joined'").select("region_id", F.lit(True).alias("joined")).distinct()
+    here = Window.partitionBy("book", "page").orderBy("ord", "region_id")
+    placed = ends.join(joined, "region_id", "left").withColumn("before", F.lag("ends").over(here)).withColumn("at", F.row_number().over(here))
+    by_page = Window.partitionBy("book").orderBy("page")  # a row per page
+    pages = placed.groupBy("book", "page").agg(F.max_by("ends", "at").alias("ends"))
+    placed = placed.join(pages.select("book", "page", F.lag("ends").over(by_page).alias("page_before")), ["book", "page"])
+    before = F.when(F.col("at") == 1, F.col("page_before")).otherwise(F.col("before"))
+    opens = F.col("joined").isNull() & (before.isNull() | (before + F.col("begins") < 0))
+    opened = placed.withColumn("chain", F.last(F.when(opens, F.col("region_id")), ignorenulls=True).over(here))
+    last = opened.groupBy("book", "page").agg(F.max_by("chain", "at").alias("last"))
+    earlier = last.select("book", "page", F.last("last", ignorenulls=True).over(by_page.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
+    return opened.join(earlier, ["book", "page"]).select("region_id", F.coalesce("chain", "earlier").alias("chain"), "usual")
+
+
+PARAGRAPHS = "book string, page int, region_id long, item_id long, par_no int, text string"
+_PARAGRAPH_TYPES = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+
+
+def _paragraph_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(_PARAGRAPH_TYPES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PARAGRAPH_TYPES)], names=[f.split()[0] for f in PARAGRAPHS.split(", ")])
+
+
+def _fix_list(rows: list[dict] | None) -> Fixes:
+    return fixes_of([(r["fault"], r["token"], r["fixed"]) for r in rows or ()])
+
+
+def line_paragraphs(made: Judged) -> DataFrame:
+    """PARAGRAPHS of the streams of lines; a paragraph stands at the region in which it begins."""
+    fixes = made.faults.where("tbl = 'line' and fault in ('hyphen', 'misread')").groupBy("region_id").agg(F.collect_set(F.struct("id", "fault", "token", "fixed")).alias("fixes"))
+    of_region = chains(made.decoded, made.over).join(fixes, "region_id", "full_outer")
+    text = made.streams.join(of_region, "region_id", "left").withColumn("fixes", F.expr("filter(fixes, f -> f.id = line_id)")).withColumn("chain", F.coalesce("chain", "region_id"))
+    text = text.repartition("chain").sortWithinPartitions("chain", "page", "ord", "region_id", "line_no", "line_id")
+    columns = ("chain", "region_id", "line_id", "book", "page", "lang", "text", "fixes", "usual")
+
+    def of_chain(chain: list[dict]) -> list[tuple]:
+        lengths: dict[int, list[str]] = {}
+        for line in chain:
+            lengths.setdefault(line["region_id"], []).append(line["text"])
+        own = {region: usual_length(texts) for region, texts in lengths.items()}
+        usual = [x["usual"] or own[x["region_id"]] for x in chain]
+        begun: Counter = Counter()
+        rows = []
+        for k, paragraph in whole_paragraphs([x["text"] for x in chain], [_fix_list(x["fixes"]) for x in chain], usual, chain[0]["lang"]):
+            region = chain[k]["region_id"]
+            rows.append((chain[k]["book"], chain[k]["page"], region, None, begun[region], paragraph))
+            begun[region] += 1
+        return rows
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {lang: Words(lang, w) for lang, w in known.items()}
-        names = ["book", "page", "region_id", "par_no", "text"]
-        types = (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string())
         rows: list[tuple] = []
-
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)], names=names)
-
-        for region, region_lines in _streams(source):
-            rows += [(region["book"], region["page"], region["region_id"], k, p) for k, p in enumerate(repaired_text(region_lines, words[region["lang"]]))]
+        chain: list[dict] = []
+        for batch in source:
+            for line in batch.to_pylist():
+                if chain and chain[-1]["chain"] != line["chain"]:
+                    rows += of_chain(chain)
+                    chain = []
+                if line["text"] and not (chain and (chain[-1]["region_id"], chain[-1]["line_id"]) == (line["region_id"], line["line_id"])):
+                    chain.append(line)
             if len(rows) > 5000:
-                yield batch()
+                yield _paragraph_batch(rows)
                 rows = []
-        yield batch()
+        yield _paragraph_batch(rows + (of_chain(chain) if chain else []))
+
+    return text.select(*columns).mapInArrow(run, PARAGRAPHS)
 
-    return streams.select("region_id", "line_id", "text", "kind", "lang", "book", "page", "ord").mapInArrow(run, "book string, page int, region_id long, par_no int, text string")
+
+def item_paragraphs(made: Judged, items: DataFrame, books: DataFrame) -> DataFrame:
+    """PARAGRAPHS of the items that are not standalone, each one paragraph."""
+    langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
+    fixes = made.faults.where("tbl = 'item'").groupBy("id").agg(F.collect_set(F.struct("fault", "token", "fixed")).alias("fixes"))
+    full = prose_items(items, made.bad_items).join(langs, "book", "left").join(fixes, "id", "left")
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            rows = []
+            for item in batch.to_pylist():
+                out = {int(k) for f in item["fixes"] or () if f["fault"] == "furniture" for k in f["token"].split(",")}
+                texts = [line for k, line in enumerate(item["text"].split("\n")) if k not in out]
+                made_ = whole_paragraphs(texts, [_fix_list(item["fixes"])] * len(texts), lang=item["lang"])
+                glue = "" if item["lang"] in UNSPACED else " "
+                if made_:
+                    rows.append((item["book"], item["page"], None, item["id"], 0, glue.join(t for _, t in made_)))
+            yield _paragraph_batch(rows)
+
+    return full.select("id", "book", "page", "text", "lang", "fixes").mapInArrow(run, PARAGRAPHS)
+
+
+def repaired_paragraphs(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float = RIGHT_SHARE) -> DataFrame:
+    """(book, page, region_id, item_id, par_no, text): the continuous paragraphs of lines, going on over text regions and
+    pages, and of items, without furniture, in every language; words are repaired where p5_found has a fault."""
+    made = judged_faults(lines, regions, books, items, lexicon, form_labels, right_share, every_lang=True)
+    made.faults = checkpointed(made.faults)
+    return line_paragraphs(made).unionByName(item_paragraphs(made, items, books))

@@ -188,3 +188,31 @@ def test_faults(spark, tables):
     heads = {(("line"), i, "furniture", "") for i, _, _, r, _, _ in rows if r % 10 == 0}
     cut = next(i for i, _, _, _, _, t in rows if t.endswith("fá-"))
     assert made == heads | {("line", cut, "hyphen", "fáradt"), ("line", cut, "misread", "nehéz"), ("item", 1, "hyphen", "kutya"), ("item", 1, "furniture", "")}
+
+
+def test_paragraphs_go_on_over_regions_and_pages(spark, tables):
+    rows = [
+        (1, "b", 1, 11, 0, "A szép kutya és a nchéz ház,"), (2, "b", 1, 11, 1, "a kutya ment a fá-"), (3, "b", 1, 12, 0, "radt ház és a szép"), (4, "b", 2, 21, 0, "kutya ment."),
+        (5, "b", 2, 22, 0, "A szép kutya ment a ház és a kutya,"), (6, "b", 2, 22, 1, "a nehéz."), (7, "b", 2, 23, 0, "a sáv"), (8, "g", 1, 31, 0, "Ο μικρός κήπος"), (9, "g", 2, 32, 0, "είναι εδώ."), (9, "g", 2, 32, 0, "είναι εδώ."),
+    ]
+    regions = [(11, "b", 1, 0, "text"), (12, "b", 1, 1, "text"), (21, "b", 2, 0, "text"), (22, "b", 2, 1, "text"), (23, "b", 2, 2, "sidebar"), (31, "g", 1, 0, "text"), (32, "g", 2, 0, "text")]
+    items = tables.items([(1, "b", 9, "A szép ku-\ntya és a nchéz\nház.", False), (2, "g", 9, "Ο κήπος\nεδώ.", False), (3, "b", 9, None, False), (4, "b", 9, "A ház.", True)])
+    lexicon = spark.createDataFrame([(w, "hun") for w in LEXICON], "word string, lang string")
+    labels = spark.createDataFrame([], "tbl string, id long, form string")
+    made = p5.repaired_paragraphs(tables.lines(rows), tables.regions(regions), tables.books([("b", "hun", 3), ("g", "ell", 0)]), items, lexicon, labels).collect()
+    assert sorted((r.book, r.page, r.region_id or 0, r.item_id or 0, r.par_no, r.text) for r in made) == [
+        ("b", 1, 11, 0, 0, "A szép kutya és a nehéz ház, a kutya ment a fáradt ház és a szép kutya ment."),
+        ("b", 2, 22, 0, 0, "A szép kutya ment a ház és a kutya, a nehéz."),
+        ("b", 2, 23, 0, 0, "a sáv"),
+        ("b", 9, 0, 1, 0, "A szép kutya és a nehéz ház."),
+        ("g", 1, 31, 0, 0, "Ο μικρός κήπος είναι εδώ."),
+        ("g", 9, 0, 2, 0, "Ο κήπος εδώ."),
+    ]
+
+
+def test_right_words_stay_in_paragraphs(spark, tables):
+    rows = [(n, "b", n, n, 0, "A szép kutya és a nchéz ház.") for n in range(1, 6)]
+    regions = [(n, "b", n, 0, "sidebar") for n in range(1, 6)]
+    lexicon = spark.createDataFrame([(w, "hun") for w in LEXICON], "word string, lang string")
+    made = p5.repaired_paragraphs(tables.lines(rows), tables.regions(regions), tables.books([("b", "hun", 3)]), tables.items([]), lexicon, spark.createDataFrame([], "tbl string, id long, form string")).collect()
+    assert [r.text for r in made] == ["A szép kutya és a nchéz ház."] * 5
