@@ -1,12 +1,12 @@
 """Problem 5: words cut at line ends, misread words and page furniture in scanned text, and the text without them.
 
-A region's lines, without its furniture, are one stream of characters. Every place where the stream could be cut
-into words differently than by its white space is decoded at least cost: two pieces at a line end are two words, one
-word, one word with a doubled digraph or one word with misread characters, whatever sign stands between them; a word
-inside a line is itself or a word of the lexicon that looks like it. Words that look alike share a shape key, so all
-confusions are tried by one look-up. Where paragraphs begin is chosen by dynamic programming over a region's lines.
+A region's lines, without its furniture, are one stream of characters. White space inside a line is trusted; at a
+line end rules over the lexicon tell whether two pieces are two words, one word, one word with a doubled digraph or one
+word with misread characters, whatever sign stands between them. A word is itself or the word of the lexicon that fewest
+confusions lead to. Words that any mixture of confusions leads to share a key of strokes, so one look-up finds them all;
+those that only share a folded shape are tried too. Where paragraphs begin is chosen by dynamic programming over lines.
 
-Lines are brought together once, by region. What a text region leaves open at its ends goes on in a row per region
+Lines are brought together by region, for paragraphs once more by run of regions. What a text region leaves open at its ends goes on in a row per region
 and is decoded against the next text region of the book. Which unknown words are misread and which are right but
 missing in the lexicon is told by counts over the whole corpus: a word that is not rare beside the word that it would be
 repaired to is right.
@@ -56,7 +56,10 @@ DIGRAPHS = ("dzs", "sz", "zs", "cs", "ny", "gy", "ty", "ly", "dz")
 _DIGIT_SHAPES = str.maketrans("ilosb", "11058")
 CLASSES = ("oöóőòôõ0aáàâä6", "lií1ìîïj|", "nuüúűùûñ", "ceéèêëæ", "hb8", "tf", "s5", "z2", "yvý", "gq9")
 PAIRS = (("rn", "m"), ("cl", "d"), ("lc", "k"), ("ll", "h"), ("nn", "m"))
+_PAIR_SET = {*PAIRS, ("ii", "u")}
 _SHAPE = {ord(c): group[0] for group in CLASSES for c in group}
+# Folded letters by their strokes, so that each pair and the letter it is taken for are drawn alike.
+_STROKES = str.maketrans({"n": "ll", "r": "ll", "h": "ll", "m": "llll", "d": "cl", "k": "lc"})
 
 
 def shape(word: str) -> str:
@@ -68,6 +71,32 @@ def shape(word: str) -> str:
     return out
 
 
+def strokes(word: str) -> str:
+    """A key that is the same for all lower-case words that any mixture of confusions turns into each other."""
+    return word.translate(_SHAPE).translate(_STROKES)
+
+
+def confusion_cost(seen: str, meant: str, most: int = MOST_EDITS) -> int:
+    """How many confusions, single letters and pairs, turn one word into the other; most + 1 beyond or without any."""
+    a, b = seen.translate(_SHAPE), meant.translate(_SHAPE)
+    never = most + 1
+    cost = [[never] * (len(b) + 1) for _ in range(len(a) + 1)]
+    cost[0][0] = 0
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            now = cost[i][j]
+            if now > most:
+                continue
+            if i < len(a) and j < len(b) and a[i] == b[j]:
+                cost[i + 1][j + 1] = min(cost[i + 1][j + 1], now + (seen[i] != meant[j]))
+            for x, y, raw_x, raw_y, di, dj in ((a[i : i + 2], b[j : j + 1], seen[i : i + 2], meant[j : j + 1], 2, 1), (b[j : j + 2], a[i : i + 1], meant[j : j + 2], seen[i : i + 1], 1, 2)):
+                if (raw_x, raw_y) in _PAIR_SET:
+                    cost[i + di][j + dj] = min(cost[i + di][j + dj], now + 1)
+                elif (x, y) in _PAIR_SET or raw_x == "ii" and y == "n":
+                    cost[i + di][j + dj] = min(cost[i + di][j + dj], now + 2)
+    return min(cost[-1][-1], never)
+
+
 def edits(a: str, b: str, most: int = MOST_EDITS) -> int:
     """Edit distance, or most + 1 beyond it."""
     if abs(len(a) - len(b)) > most:
@@ -96,13 +125,18 @@ class Words:
     def __init__(self, lang: str, words: set[str]):
         self.lang, self.words = lang, words
         self.by_shape: dict[str, list[str]] = {}
+        self.by_strokes: dict[str, list[str]] = {}
         for word in sorted(words):
             self.by_shape.setdefault(shape(word), []).append(word)
+            self.by_strokes.setdefault(strokes(word), []).append(word)
         self.meant: dict[str, str | None] = {}
 
     def nearest(self, word: str) -> str | None:
         """The lexicon word that a lower-case word looks like, if one is nearest."""
-        found = sorted((edits(word, w), w) for w in self.by_shape.get(shape(word), ()))
+        cost = {w: edits(word, w) for w in self.by_shape.get(shape(word), ())}
+        for w in self.by_strokes.get(strokes(word), ()):
+            cost[w] = min(cost.get(w, MOST_EDITS + 1), confusion_cost(word, w))
+        found = sorted((n, w) for w, n in cost.items())
         if not found or found[0][0] > min(MOST_EDITS, (len(word) + 1) // 2) or len(found) > 1 and found[1][0] == found[0][0]:
             return None
         return found[0][1]

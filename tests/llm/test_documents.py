@@ -216,3 +216,11 @@ def test_right_words_stay_in_paragraphs(spark, tables):
     lexicon = spark.createDataFrame([(w, "hun") for w in LEXICON], "word string, lang string")
     made = p5.repaired_paragraphs(tables.lines(rows), tables.regions(regions), tables.books([("b", "hun", 3)]), tables.items([]), lexicon, spark.createDataFrame([], "tbl string, id long, form string")).collect()
     assert [r.text for r in made] == ["A szép kutya és a nchéz ház."] * 5
+
+
+def test_confusions_that_make_a_pair():
+    pairs = {"eng": [("iight", "light"), ("intelligibiiity", "intelligibility")], "fra": [("iivre", "livre"), ("iives", "lives")], "hun": [("távoii", "távoli"), ("közeii", "közeli"), ("örege", "öreg")], "deu": [("schiief", "schlief"), ("rnarkt", "markt")]}
+    for lang, of in pairs.items():
+        words = p5.Words(lang, {w for _, w in of})
+        assert [words.repair(seen) for seen, _ in of] == [None if seen == "örege" else w for seen, w in of]
+    assert p5.Words("eng", {"corn", "torn"}).repair("com") == "corn" and p5.confusion_cost("bor", "bon") > p5.MOST_EDITS
