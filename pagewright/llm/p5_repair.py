@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .glyphs import FOLD, number_value
+from .glyphs import FOLD, INVISIBLE, number_value
 from .p1_repeated import MAX_LETTER_CHANGES, _hash_text, _variants, chunk_fingerprints, repeated_lines
 from .p3_quality import not_prose
 from .tables import checkpointed
@@ -41,7 +41,10 @@ FULL_COST, BREAK_GAIN = 6.0, 4.5
 #: A text region of fewer lines has no length of a full line of its own.
 FEW_LINES = 3
 NO_TEXT = ("table", "title", "caption")
-_WORD = re.compile(r"[^\W_]+")
+# one or two letters that a hyphen, an accent of its own or an invisible character ties to other letters are no word
+_TIES = f"-‐‑\u0300-\u036f{INVISIBLE}"
+_WORD = re.compile(rf"[^\W_]{{3,}}|(?<![^\W_])(?<![^\W_][{_TIES}])(?<![{_TIES}][{_TIES}])[^\W_]{{1,2}}(?![^\W_]|[\u0300-\u036f]|[{_TIES}]+[^\W_])")
+_NUMERAL = re.compile("[IVX]{2}")
 _ENDED = re.compile("[.!?…。！？।؟][\"'”’»“«)\\]」』]*$")
 # Languages whose words are not parted by spaces, and those whose sentences have no mark at their end.
 UNSPACED = ("jpn", "zho", "tha")
@@ -147,7 +150,7 @@ class Words:
         if token in self.meant:
             return self.meant[token]
         lower, out = token.lower(), None
-        if len(token) >= 3 and lower not in self.words and any(c.isalpha() for c in lower):
+        if lower not in self.words and not _NUMERAL.fullmatch(token) and any(c.isalpha() for c in lower):
             near = self.nearest(lower)
             out = near and cased(near, token)
         if len(self.meant) < 1_000_000:

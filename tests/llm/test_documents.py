@@ -224,3 +224,9 @@ def test_confusions_that_make_a_pair():
         words = p5.Words(lang, {w for _, w in of})
         assert [words.repair(seen) for seen, _ in of] == [None if seen == "örege" else w for seen, w in of]
     assert p5.Words("eng", {"corn", "torn"}).repair("com") == "corn" and p5.confusion_cost("bor", "bon") > p5.MOST_EDITS
+
+
+def test_short_words():
+    words = p5.Words("hun", set(LEXICON) | {"és", "kő"})
+    found = p5.decode([(1, "A vár es a ház áll, a k6 is, II. Béla Yso\u2060sáp\ufeffo és Hexa-o, Eixa\u0301o\u0301p úr, szép")], words, Counter()).faults
+    assert [(token, fixed) for _, _, token, fixed in found] == [("es", "és"), ("k6", "kő")]
