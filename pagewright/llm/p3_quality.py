@@ -18,6 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .codes import CodeTable, Rolling, code_points, spans
+from .glyphs import LOOKALIKES
+from .streams import LANGS as LANGS_OF_BOOKS
+from .streams import UNSPACED, Block, book_facts, region_blocks, region_lines
 from .tables import checkpointed
 
 LEVELS = 1000
@@ -25,44 +29,28 @@ MAX_LABELS = 5000
 #: Log odds above which a text is no prose; above 0 as the fit weighs both classes the same, but prose is far more common.
 THRESHOLD = 0.95
 MIN_LINES = 4
-#: Languages are codes of three letters a to z, so there are no more than this; others count as 'und'.
-MAX_LANGS = 26**3
+#: Words of each language that count as common ones.
+COMMON_TOP = 50
+#: Texts that are looked at together, so that their arrays stay in the processor's cache.
+TOGETHER = 2500
+#: Partitions of the range-partitioned counts.
+RANGES = 4
 COUNTS = ("lines", "chars", "words", "latin", "odd", "greek", "devanagari", "arabic", "cjk", "thai", "digits", "commas", "ends", "symbols", "capitals", "common", "numbers", "voiceless", "short", "closed", "listed", "raised", "repeats")
 STATS = ("own_script", "letters", "digits", "symbols", "capitals", "common", "commas", "ends", "numbers", "voiceless", "word_length", "closed", "listed", "short", "odd", "raised", "repeats")
 
-# Frequent function words of the languages of the books.
-COMMON_WORDS = """
-a az és de hogy nem is egy ez volt van meg már csak el ki be le fel mert amikor majd miközben ha mint vagy még ott itt most
-noha minthogy ellenben amennyiben jóllehet ugyanakkor következésképp együtt hamar lassan gyakran néha mindig újra régen csendben ma alig
-the and of to in is was under behind near beside beyond from but when then because although while whereas inasmuch notwithstanding
-provided with on at by that this it as or not there here now still often always soon today again together slowly
-der die das den dem des und in mit von zu bei unter hinter vor neben aus auf aber doch denn dann weil wenn als obgleich wenngleich
-wohingegen indessen sofern insofern ist war ein eine einer einem nicht sich im am heute dort hier bald wieder oft immer langsam noch jetzt zusammen
-le la les l un une des du de et à au aux en sous sur dans avec vers près derrière devant mais car quand puisque quoique alors
-néanmoins ici là bientôt souvent toujours encore maintenant ensemble lentement est était ne pas que qui d s il elle
-ο η το οι τα του της τον την στο στη στον στην και αλλά σε με από πίσω κοντά δίπλα κάτω που όταν
-में पर के की का और है हैं था थी से को ने पास नीचे पीछे लेकिन
-في من على إلى و تحت خلف قرب أمام وراء عند فوق
-""".split()
-
 _LATIN = set("abcdefghijklmnopqrstuvwxyzáéíóöőúüűäßàâçèêëîïôùûœæÿñABCDEFGHIJKLMNOPQRSTUVWXYZÁÉÍÓÖŐÚÜŰÄÀÂÇÈÊËÎÏÔÙÛŒÆ")
 _VOWELS = set("aeiouyáéíóöőúüűäàâèêëîïôùûœæAEIOUYÁÉÍÓÖŐÚÜŰÄÀÂÈÊËÎÏÔÙÛŒÆ")
 _NAMES = ("latin", "odd", "greek", "devanagari", "arabic", "cjk", "thai", "digits", "commas", "ends", "symbols")
-LETTERS = range(1, 8)
-_TABLE: dict[str, np.ndarray] = {}
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_QUOTES = "”“»\"')’」』"
+_OPENING = "„“«–"
 
 
-def _kind(code: int) -> int:
+def _kind(char: str) -> int:
     """1 + position in _NAMES of a character's kind; 0 for white space and invisible characters."""
-    char = chr(code)
-    category = unicodedata.category(char)
+    code, category = ord(char), unicodedata.category(char)
     if category[0] in "LM":
-        if char in _LATIN or "\u0300" <= char <= "\u036f":
-            return 1
-        if 0x400 <= code <= 0x52F or 0xFB00 <= code <= 0xFB06:  # look-alikes and ligatures: no book is in Cyrillic
-            return 1
+        if char in _LATIN or "\u0300" <= char <= "\u036f" or 0xFB00 <= code <= 0xFB06 or char in LOOKALIKES and not 0x370 <= code <= 0x3FF:
+            return 1  # Latin letters, ligatures, and letters of other scripts drawn as one; Greek ones may be Greek text
         for kind, low, high in ((3, 0x370, 0x3FF), (3, 0x1F00, 0x1FFF), (4, 0x900, 0x97F), (5, 0x600, 0x6FF), (5, 0x750, 0x77F), (6, 0x3040, 0x30FF), (6, 0x3400, 0x9FFF), (7, 0xE00, 0xE7F)):
             if low <= code <= high:
                 return kind
@@ -76,53 +64,47 @@ def _kind(code: int) -> int:
     return 0 if category in ("Zs", "Zl", "Zp", "Cc", "Cf") else 11
 
 
-def _tables() -> dict[str, np.ndarray]:
-    if not _TABLE:
-        codes = range(0x10000)
-        _TABLE["kind"] = np.array([_kind(c) if not 0xD800 <= c < 0xE000 else 11 for c in codes], np.uint8)
-        _TABLE["hidden"] = np.array([unicodedata.category(chr(c)) == "Cf" for c in codes])
-        _TABLE["upper"] = np.array([chr(c).isupper() for c in codes])
-        _TABLE["vowel"] = np.zeros(0x10000, bool)
-        _TABLE["vowel"][[ord(c) for c in _VOWELS]] = True
-        lower = [chr(c).lower() if not 0xD800 <= c < 0xE000 else "x" for c in codes]
-        _TABLE["lower"] = np.array([ord(x) if len(x) == 1 and ord(x) < 0x10000 else c for c, x in zip(codes, lower)], np.uint64)
-        with np.errstate(over="ignore"):
-            hashed = []
-            for word in COMMON_WORDS:
-                power, total = np.uint64(1), np.uint64(0)
-                for char in word:
-                    total += (np.uint64(ord(char)) + np.uint64(7)) * power
-                    power *= _ODD
-                hashed.append(total)
-        _TABLE["common"] = np.unique(np.array(hashed, np.uint64))
-    return _TABLE
-
-
-def text_counts(texts: list[str]) -> np.ndarray:
-    """One row of COUNTS per text."""
-    tables, n = _tables(), len(texts)
-    codes = np.minimum(np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "replace"), np.uint32), 0xFFFF)
-    owner = np.repeat(np.arange(n), np.fromiter(map(len, texts), np.int64, n) + 1)
-    shown = ~tables["hidden"][codes]  # invisible characters part no words
-    codes, owner = codes[shown], owner[shown]
-    kind = tables["kind"][codes]
+def _row(char: str) -> tuple:
+    lower = char.lower()
+    return _kind(char), unicodedata.category(char) == "Cf", char.isupper(), char in _VOWELS, ord(lower) if len(lower) == 1 else ord(char), char in _QUOTES, char in _OPENING
+
+
+_CHARS = CodeTable({"kind": np.uint8, "hidden": bool, "upper": bool, "vowel": bool, "lower": np.uint32, "quote": bool, "opening": bool}, _row)
+
+
+def word_keys(hashes: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """Hashes with the number of a language in the lowest four bits."""
+    return hashes << np.uint64(4) | langs.astype(np.uint64)
+
+
+def _is_in(known: np.ndarray, sought: np.ndarray) -> np.ndarray:
+    """Which of the values are in a sorted array."""
+    return known[np.minimum(np.searchsorted(known, sought), len(known) - 1)] == sought if len(known) else np.zeros(len(sought), bool)
+
+
+def word_hashes(codes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words, runs of letters and digits, begin and end, and their hashes in lower case."""
+    first, last = spans((kind >= 1) & (kind <= 8))
+    return first, last, Rolling(_CHARS["lower"][codes] + np.uint32(7)).of(first, last)
+
+
+def text_counts(codes: np.ndarray, lengths: np.ndarray, common_words: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """One row of COUNTS per text; `codes` are the texts' code points with a line break behind each. `common_words` are
+    sorted keys of frequent words, `langs` the numbers of the texts' languages."""
+    n = len(lengths)
+    _CHARS.meet(codes)
+    owner = np.repeat(np.arange(n, dtype=np.int32), lengths + 1)
+    shown = ~_CHARS["hidden"][codes]  # invisible characters part no words
+    if not shown.all():
+        codes, owner = codes[shown], owner[shown]
+    kind = _CHARS["kind"][codes]
     per_kind = np.bincount(owner * 12 + kind, minlength=12 * n).reshape(n, 12)
     of = lambda where: np.bincount(owner[where], minlength=n)
-
-    in_word = (kind >= 1) & (kind <= 8)
-    before = np.concatenate([[False], in_word[:-1]])
-    first = np.flatnonzero(in_word & ~before)
-    last = np.flatnonzero(~in_word & before)  # the closing newline ends the last word
-    with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(codes), _ODD)]))
-        back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(codes), _BACK)]))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((tables["lower"][codes] + np.uint64(7)) * powers[: len(codes)], dtype=np.uint64)])
-        hashes = (sums[last] - sums[first]) * back[first]
-    place = np.searchsorted(tables["common"], hashes)
-    common = tables["common"][np.minimum(place, len(tables["common"]) - 1)] == hashes
+    first, last, hashes = word_hashes(codes, kind)
+    common = _is_in(common_words, word_keys(hashes, langs[owner[first]]))
     size = last - first
-    total = lambda flags: np.concatenate([[0], np.cumsum(flags)])
-    digits, vowels, latin = total(kind == 8), total(tables["vowel"][codes]), total((kind == 1) | (kind == 2))
+    total = lambda flags: np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+    digits, vowels, latin = total(kind == 8), total(_CHARS["vowel"][codes]), total((kind == 1) | (kind == 2))
     numeric = digits[last] > digits[first]
     all_latin = latin[last] - latin[first] == size
     voiceless = all_latin & (vowels[last] == vowels[first]) & (size >= 2) & ~common
@@ -132,16 +114,20 @@ def text_counts(texts: list[str]) -> np.ndarray:
 
     # lines: the first and last visible character of each
     visible = np.flatnonzero(kind > 0)
-    line = np.cumsum(codes == 10)[visible]
+    line = np.cumsum(codes == 10, dtype=np.int32)[visible]
     begins = np.concatenate([[True], line[1:] != line[:-1]]) if len(line) else np.zeros(0, bool)
     stops = np.concatenate([line[1:] != line[:-1], [True]]) if len(line) else np.zeros(0, bool)
     heads, tails = visible[begins], visible[stops]
     after = np.minimum(heads + 1, len(codes) - 1)
-    listed = (kind[heads] == 11) & (codes[heads] != 0x201E) & (codes[heads] != 0x201C) & (codes[heads] != 0xAB) & (codes[heads] != 0x2013) | (kind[heads] == 8) | ((kind[heads] == 1) & (codes[after] == ord(")")))
-    quote = np.isin(codes[tails], [ord(c) for c in "”“»\"')’」』"])
-    closed = (kind[tails] == 10) | quote
-
-    columns = {"lines": of(heads), "chars": per_kind[:, 1:].sum(1), "words": of(first), "capitals": of(first[tables["upper"][codes[first]]]), "common": of(first[common]), "numbers": of(first[numeric]), "voiceless": of(first[voiceless]), "short": of(first[short]), "closed": of(heads[closed]), "listed": of(heads[listed]), "raised": of(heads[tables["upper"][codes[heads]]]), "repeats": of(first[1:][again])}
+    listed = (kind[heads] == 11) & ~_CHARS["opening"][codes[heads]] | (kind[heads] == 8) | ((kind[heads] == 1) & (codes[after] == ord(")")))
+    closed = (kind[tails] == 10) | _CHARS["quote"][codes[tails]]
+
+    columns = {"lines": of(heads), "chars": per_kind[:, 1:].sum(1), "words": of(first), "capitals": of(first[_CHARS["upper"][codes[first]]]), "common": of(first[common]), "numbers": of(first[numeric]), "voiceless": of(first[voiceless]), "short": of(first[short]), "closed": of(heads[closed]), "listed": of(heads[listed]), "raised": of(heads[_CHARS["upper"][codes[heads]]]), "repeats": of(first[1:][again])}
+    single = _SINGLE[langs]
+    if single.any():  # where words are not parted, characters stand for them
+        at = np.flatnonzero(((kind == 6) | (kind == 7)) & single[owner])
+        known = at[_is_in(common_words, word_keys(codes[at].astype(np.uint64) + np.uint64(7), langs[owner[at]]))]
+        columns["common"] = np.where(single, of(known), columns["common"])
     columns |= {name: per_kind[:, 1 + i] for i, name in enumerate(_NAMES)}
     # a text set with a space after every letter is a running head, whose words cannot be told
     spaced = (columns["words"] >= 8) & (per_kind[:, 1:9].sum(1) < 1.4 * columns["words"]) & (per_kind[:, 1:4].sum(1) > 0.6 * columns["chars"])
@@ -150,13 +136,65 @@ def text_counts(texts: list[str]) -> np.ndarray:
     return made
 
 
-def _counted(keys: list[str]):
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            made = text_counts([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *(pa.array(np.ascontiguousarray(made[:, i])) for i in range(len(COUNTS)))], names=[*keys, *COUNTS])
+_NUMBER = {lang: i for i, lang in enumerate((*LANGS_OF_BOOKS, "und"))}
+_SINGLE = np.array([lang in UNSPACED for lang in _NUMBER])
+
 
-    return batches
+def lang_numbers(langs: list[str]) -> np.ndarray:
+    return np.array([_NUMBER[x] for x in langs], np.int64)
+
+
+def common_words(lines: DataFrame, items: DataFrame, books: DataFrame, top: int = COMMON_TOP) -> np.ndarray:
+    """Keys of the `top` most frequent words of each language over all lines and items, sorted; of languages that do not
+    part words, of characters. The driver gets `top` keys per language of a fixed list."""
+    texts = lines.select("book", "text").unionByName(items.select("book", "text")).where("text is not null")
+    texts = texts.join(book_facts(books).select("book", "lang"), "book", "left").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+
+    def counted(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, int] = {}
+        for batch in source:
+            for k in range(0, len(batch), TOGETHER):
+                part = batch.slice(k, TOGETHER)
+                _, codes, lengths = code_points(part.column("text").to_numpy(zero_copy_only=False).tolist())
+                _CHARS.meet(codes)
+                langs = lang_numbers(part.column("lang").to_pylist())
+                owner = np.repeat(np.arange(len(part), dtype=np.int32), lengths + 1)
+                shown = ~_CHARS["hidden"][codes]
+                codes, owner = codes[shown], owner[shown]
+                kind = _CHARS["kind"][codes]
+                first, _, hashes = word_hashes(codes, kind)
+                spaced = ~_SINGLE[langs[owner[first]]]
+                at = np.flatnonzero(((kind == 6) | (kind == 7)) & _SINGLE[langs[owner]])
+                found = np.concatenate([word_keys(hashes, langs[owner[first]])[spaced], word_keys(codes[at].astype(np.uint64) + np.uint64(7), langs[owner[at]])])
+                for key, n in zip(*(x.tolist() for x in np.unique(found, return_counts=True))):
+                    sums[key] = sums.get(key, 0) + n
+            if len(sums) > 500_000:
+                yield _sums(sums)
+                sums = {}
+        yield _sums(sums)
+
+    counts = texts.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    best = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+    rows = counts.withColumn("lang", F.col("key").bitwiseAND(15)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("key").collect()
+    return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
+
+
+def _sums(sums: dict[int, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.array(list(sums), np.uint64).view(np.int64)), pa.array(np.array(list(sums.values()), np.int64))], names=["key", "n"])
+
+
+def _int_lists(rows: np.ndarray) -> pa.Array:
+    n, width = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, max(1, width), dtype=np.int32)[: n + 1] if width else np.zeros(n + 1, np.int32)), pa.array(np.ascontiguousarray(rows, np.int32).ravel()))
+
+
+def region_counts(block: Block, codes: np.ndarray, lengths: np.ndarray, common_words: np.ndarray, min_lines: int = MIN_LINES) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a block's text regions of `min_lines` lines or more, and their COUNTS without the lines left out."""
+    made = text_counts(codes, lengths, common_words, lang_numbers(block.facts["lang"])[block.region])
+    made[block.out] = 0
+    n_lines = np.diff(np.concatenate([block.starts, [len(block.texts)]]))
+    wanted = np.flatnonzero((n_lines >= min_lines) & np.array([k == "text" for k in block.facts["kind"]], bool))
+    return wanted, np.add.reduceat(made, block.starts, axis=0)[wanted]
 
 
 def _share(a: str, b: str, most: float = 1.0) -> Column:
@@ -164,13 +202,15 @@ def _share(a: str, b: str, most: float = 1.0) -> Column:
     return F.least(F.lit(LEVELS), F.floor(F.coalesce(F.try_divide(F.expr(a), F.expr(b)), F.lit(0.0)) * LEVELS / most)).cast("int")
 
 
-def _with_stats(counts: DataFrame) -> DataFrame:
+def with_stats(rows: DataFrame) -> DataFrame:
+    """(tbl, id, lang, chars, stats) of rows with an array of COUNTS."""
+    counts = rows.select("tbl", "id", "lang", *(F.get("counts", F.lit(i)).alias(c) for i, c in enumerate(COUNTS)))
     letters = "(latin + odd + greek + devanagari + arabic + cjk + thai)"
     own = "case lang when 'ell' then greek when 'hin' then devanagari when 'ara' then arabic when 'jpn' then cjk when 'zho' then cjk when 'tha' then thai else latin end"
     made = {
         # in steps of a twentieth: single foreign letters say nothing
         "own_script": F.least(F.lit(LEVELS), (F.ceil((_share(own, letters) + 40) / 50) * 50)).cast("int"), "letters": _share(letters, "chars"), "digits": _share("digits", "chars"), "symbols": _share("symbols", "chars"),
-        "capitals": _share("capitals", "words"), "common": _share("common", "words"), "commas": _share("commas", "words"), "ends": _share("ends", "words"),
+        "capitals": _share("capitals", "words"), "common": _share("common", f"if(lang in {UNSPACED}, chars, words)"), "commas": _share("commas", "words"), "ends": _share("ends", "words"),
         "numbers": _share("numbers", "words"), "voiceless": _share("voiceless", "words"), "word_length": _share(letters, "words", 40.0),
         "closed": _share("closed", "lines"), "listed": _share("listed", "lines"), "short": _share("short", "words"), "odd": (F.floor(_share("odd", letters) / 50) * 50).cast("int"),
         "raised": _share("raised", "lines"), "repeats": _share("repeats", "words"),
@@ -178,39 +218,45 @@ def _with_stats(counts: DataFrame) -> DataFrame:
     return counts.select("tbl", "id", "lang", "chars", F.array(*(made[s] for s in STATS)).alias("stats"))
 
 
-def text_statistics(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, furniture: DataFrame | None = None, min_lines: int = MIN_LINES) -> DataFrame:
-    """(tbl, id, lang, chars, stats): STATS of each para item that is not standalone and of each text region with
-    `min_lines` lines or more, as whole numbers from 0 to LEVELS. Lines in `furniture` (line_id, region_id) are among
-    the lines, but their text does not count.
-
-    Lines and regions delivered twice count once. A null text counts as empty, a null or unknown language as
-    'und'. Empty texts have all statistics 0."""
-    known = F.col("lang").rlike("^[a-z]{3}$")
-    langs = books.select("book", F.when(known, F.col("lang")).otherwise("und").alias("lang")).where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
-    line_keys, item_keys = ["region_id", "line_id"], ["id", "book"]
-    types = ", ".join(f"{c} int" for c in COUNTS)
-    per_line = lines.where("region_id is not null").select(*line_keys, "text").mapInArrow(_counted(line_keys), f"region_id long, line_id long, {types}")
-    once = per_line.repartition("region_id").groupBy(*line_keys).agg(*(F.max(c).alias(c) for c in COUNTS))
-    if furniture is not None:
-        of_region = furniture.where("region_id is not null").groupBy("region_id").agg(F.collect_set("line_id").alias("_out"))  # no more than the lines of a region
-        once = once.join(of_region, "region_id", "left")
-        counts_in = F.coalesce(~F.array_contains("_out", F.col("line_id")), F.lit(True))
-        once = once.select("region_id", "line_id", *(F.when(counts_in, F.col(c)).otherwise(0).alias(c) for c in COUNTS))
-    per_region = once.groupBy("region_id").agg(F.count("*").alias("n_lines"), *(F.sum(c).cast("int").alias(c) for c in COUNTS)).where(F.col("n_lines") >= min_lines)
-    wanted = regions.where("region_id is not null").groupBy("region_id").agg(F.min("kind").alias("kind"), F.min("book").alias("book")).where("kind = 'text'")
-    of_regions = per_region.join(wanted, "region_id").select(F.lit("region").alias("tbl"), F.col("region_id").alias("id"), "book", *COUNTS)
-    paras = items.where("type = 'para' and not coalesce(standalone, false)").select(F.col("item_id").alias("id"), "book", "text")
-    of_items = paras.mapInArrow(_counted(item_keys), f"id long, book string, {types}").select(F.lit("item").alias("tbl"), "id", "book", *COUNTS)
-    both = of_items.unionByName(of_regions).join(langs, "book", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
-    return _with_stats(both)
+COUNTED = "tbl string, id long, lang string, counts array<int>"
+
+
+def prose_items(items: DataFrame, books: DataFrame) -> DataFrame:
+    """(id, book, page, text, lang, offset): paragraphs that are not standalone; a null text counts as empty."""
+    kept = items.where("type = 'para' and not coalesce(standalone, false) and item_id is not null").select(F.col("item_id").alias("id"), "book", "page", F.coalesce("text", F.lit("")).alias("text"))
+    return kept.join(book_facts(books), "book", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
+
+
+def counted_texts(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, common_words: np.ndarray, furniture: DataFrame | None = None, min_lines: int = MIN_LINES) -> DataFrame:
+    """COUNTED rows of each para item that is not standalone and of each text region with `min_lines` lines or more.
+    Lines in `furniture` (line_id, region_id) are among the lines, but their text does not count.
+
+    Lines and regions delivered twice count once. A null text counts as empty, a null or unknown language as 'und'. Empty
+    texts have all statistics 0."""
+
+    def of_regions(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in region_blocks(source):
+            _, codes, lengths = code_points(block.texts)
+            wanted, made = region_counts(block, codes, lengths, common_words, min_lines)
+            facts = [pa.array([block.facts[c][k] for k in wanted], t) for c, t in (("region_id", pa.int64()), ("lang", pa.string()))]
+            yield pa.RecordBatch.from_arrays([pa.array(["region"] * len(wanted), pa.string()), *facts, _int_lists(made)], names=["tbl", "id", "lang", "counts"])
+
+    def of_items(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            _, codes, lengths = code_points(batch.column("text").to_pylist())
+            made = text_counts(codes, lengths, common_words, lang_numbers(batch.column("lang").to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(["item"] * len(batch), pa.string()), batch.column("id"), batch.column("lang"), _int_lists(made)], names=["tbl", "id", "lang", "counts"])
+
+    per_region = region_lines(lines, regions, books, furniture, "text").mapInArrow(of_regions, COUNTED)
+    return per_region.unionByName(prose_items(items, books).select("id", "text", "lang").mapInArrow(of_items, COUNTED))
 
 
 def exact_tails(stats: DataFrame) -> DataFrame:
     """(lang, stat, level, below, above): for each level that occurs, the share of rows of the language at or
     below it and at or above it, from exact ranks."""
     counts = stats.select("lang", F.posexplode("stats").alias("stat", "level")).groupBy("lang", "stat", "level").agg(F.count("*").alias("n"))
-    parts = counts.repartitionByRange("lang", "stat", "level").sortWithinPartitions("lang", "stat", "level")
-    parts = parts.withColumn("part", F.spark_partition_id())
+    parts = counts.repartitionByRange(RANGES, "lang", "stat", "level").sortWithinPartitions("lang", "stat", "level")
+    parts = checkpointed(parts.withColumn("part", F.spark_partition_id()))  # both branches must see the same partitions
     offsets = parts.groupBy("lang", "stat", "part").agg(F.sum("n").alias("in_part"))
     by_part = Window.partitionBy("lang", "stat").orderBy("part")
     offsets = offsets.select("lang", "stat", "part", (F.sum("in_part").over(by_part) - F.col("in_part")).alias("offset"), F.sum("in_part").over(Window.partitionBy("lang", "stat")).alias("total"))
@@ -253,11 +299,11 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, steps: int
     return w, b
 
 
-def outliers(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame, furniture: DataFrame | None = None, max_labels: int = MAX_LABELS) -> DataFrame:
-    """(tbl, id, lang, chars, stats, score): the statistics and an outlier score, above THRESHOLD for what is no
-    prose."""
-    stats = checkpointed(text_statistics(lines, regions, items, books, furniture))
-    tails = exact_tails(stats).collect()  # at most MAX_LANGS x len(STATS) x (LEVELS + 1) rows
+def outliers(counted: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
+    """(tbl, id, lang, chars, stats, score) of checkpointed COUNTED rows: the statistics and an outlier score, above
+    THRESHOLD for what is no prose."""
+    stats = with_stats(counted)
+    tails = exact_tails(stats).collect()  # at most languages x len(STATS) x (LEVELS + 1) rows, and the languages are a fixed list
     langs = sorted({t.lang for t in tails})
     table = tail_table(tails, langs)
     place = {lang: i for i, lang in enumerate(langs)}
@@ -276,7 +322,11 @@ def outliers(lines: DataFrame, regions: DataFrame, items: DataFrame, books: Data
     return stats.mapInArrow(scored, "tbl string, id long, lang string, chars int, stats array<int>, score double")
 
 
+def bad_texts(counted: DataFrame, labels: DataFrame) -> DataFrame:
+    """(tbl, id) of the COUNTED rows whose text is no running prose; without any text they are no case."""
+    return outliers(counted, labels).where((F.col("score") > THRESHOLD) & (F.col("chars") > 0)).select("tbl", "id")
+
+
 def not_prose(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame, furniture: DataFrame | None = None) -> DataFrame:
     """(tbl, id) of the items and regions whose text is no running prose; without any text they are no case."""
-    scored = outliers(lines, regions, items, books, labels, furniture)
-    return scored.where((F.col("score") > THRESHOLD) & (F.col("chars") > 0)).select("tbl", "id")
+    return bad_texts(checkpointed(counted_texts(lines, regions, items, books, common_words(lines, items, books), furniture)), labels)

@@ -1,21 +1,27 @@
 """Problem 5: words cut at line ends, misread words and page furniture in scanned text, and the text without them.
 
-A region's lines, without its furniture, are one stream of characters. White space inside a line is trusted; at a
-line end rules over the lexicon tell whether two pieces are two words, one word, one word with a doubled digraph or one
-word with misread characters, whatever sign stands between them. A word is itself or the word of the lexicon that fewest
-confusions lead to. Words that any mixture of confusions leads to share a key of strokes, so one look-up finds them all;
-those that only share a folded shape are tried too. Where paragraphs begin is chosen by dynamic programming over lines.
-
-Lines are brought together by region, for paragraphs once more by run of regions. What a text region leaves open at its ends goes on in a row per region
-and is decoded against the next text region of the book. Which unknown words are misread and which are right but
-missing in the lexicon is told by counts over the whole corpus: a word that is not rare beside the word that it would be
-repaired to is right.
+The lines of a region, without its furniture, are one stream of characters, and their words are decoded jointly on a
+lattice over it. Its nodes are the places between tokens; its edges, each with a cost, are: a token as it is, nothing for a
+word of the lexicon and UNKNOWN for any other; a token as the word that fewest confusions lead to; two neighbouring
+tokens merged into one word over what stands between them (nothing over a hyphen, little over a bare line end, more over
+other signs, most over a space inside a line), with confusions or a doubled digraph if need be; a token split into two
+words. As no edge costs less than nothing, a stretch of known words with spaces between is its own best path; only the
+stretches round unknown words and line ends are searched (`Words.best`), the rest is array arithmetic on hashes of
+words. Words that any mixture of confusions leads to share a key of strokes, so one look-up finds them all; those that
+only share a folded shape are tried too. Where paragraphs begin is chosen by dynamic programming over lines.
+
+Lines are brought together by region, for paragraphs once more by run of regions, and the same pass over them counts for
+problem 3. What a text region leaves open at its ends goes on in a row per region and is decoded against the next text
+region of the book. Which unknown words are misread, or two words run together, and which are right but missing in the
+lexicon is told by counts over the whole corpus: a word that is not rare beside the word that it would be repaired to is
+right.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .codes import CodeTable, Rolling, code_points, powers, spans
 from .glyphs import FOLD, INVISIBLE, number_value
-from .p1_repeated import MAX_LETTER_CHANGES, _hash_text, _variants, chunk_fingerprints, repeated_lines
-from .p3_quality import not_prose
+from .p1_repeated import repeated_lines
+from .p3_quality import _int_lists, bad_texts, common_words, lang_numbers, prose_items, region_counts, text_counts
+from .streams import UNSPACED, region_blocks, region_lines
 from .tables import checkpointed
 
 LANGS = ("hun", "eng", "deu", "fra")
@@ -44,15 +52,24 @@ NO_TEXT = ("table", "title", "caption")
 # one or two letters that a hyphen, an accent of its own or an invisible character ties to other letters are no word
 _TIES = f"-‐‑\u0300-\u036f{INVISIBLE}"
 _WORD = re.compile(rf"[^\W_]{{3,}}|(?<![^\W_])(?<![^\W_][{_TIES}])(?<![{_TIES}][{_TIES}])[^\W_]{{1,2}}(?![^\W_]|[\u0300-\u036f]|[{_TIES}]+[^\W_])")
+_TIE = re.compile(f"[{_TIES}]")
 _NUMERAL = re.compile("[IVX]{2}")
 _ENDED = re.compile("[.!?…。！？।؟][\"'”’»“«)\\]」』]*$")
-# Languages whose words are not parted by spaces, and those whose sentences have no mark at their end.
-UNSPACED = ("jpn", "zho", "tha")
+# Languages whose sentences have no mark at their end.
 UNMARKED = ("tha",)
 # What may stand behind a word at a line's end that goes on in the next line.
 BEHIND = "-\u2010\u00ad\u00ac\u2013.,:; \u00a0"
 _HYPHEN = re.compile("[-‐­¬]")
-_NUMBER_ONLY = re.compile(r"[\W_]*(?:[0-9IlOoSB]{1,5}|[ivxlcdmIVXLCDM]{1,9})[\W_]*")
+_NUMBER_ONLY = re.compile(r"[\W_]*(?:[0-9IlOoSB]+|[ivxlcdmIVXLCDM]+)[\W_]*")
+#: Costs of the lattice's edges: an unknown word as it is; a hyphen at a line's end that stays; merging over a hyphen, a bare
+#: line end, other signs and a space; a doubled digraph; confusions in a merged word; a token as two words.
+UNKNOWN, HYPHEN_STAYS = 8.0, 4.0
+OVER = {"hyphen": 0.0, "bare": 1.0, "signs": 3.0, "space": 6.0}
+#: What merging costs more for each part that is a word by itself, without and with confusions in the whole.
+PART_KNOWN = {"hyphen": (0.0, 0.0), "bare": (0.0, 6.0), "signs": (8.0, 8.0), "space": (0.0, 100.0)}
+DIGRAPH_COST, INEXACT, SPLIT = 0.5, 1.0, 7.0
+#: Fewest letters of a part that a token is split into.
+SPLIT_PART = 3
 # Hungarian letters of several characters, of which a hyphen doubles the first.
 DIGRAPHS = ("dzs", "sz", "zs", "cs", "ny", "gy", "ty", "ly", "dz")
 # Characters that scanners take for each other, each class by its first one, and pairs.
@@ -133,6 +150,8 @@ class Words:
             self.by_shape.setdefault(shape(word), []).append(word)
             self.by_strokes.setdefault(strokes(word), []).append(word)
         self.meant: dict[str, str | None] = {}
+        self.cut: dict[tuple[str, str, str], str | None] = {}
+        self.halves: dict[str, str | None] = {}
 
     def nearest(self, word: str) -> str | None:
         """The lexicon word that a lower-case word looks like, if one is nearest."""
@@ -157,78 +176,282 @@ class Words:
             self.meant[token] = out
         return out
 
-    def joined(self, left: str, between: str, right: str) -> str | None:
-        """The word that a line end cuts in two, or None where it stands between two words."""
-        hyphen, l, r = bool(_HYPHEN.search(between)), left.lower(), right.lower()  # noqa: E741
+    def confusions(self, seen: str, meant: str) -> float:
+        """What so many confusions cost, less in longer words, in which they are less likely another word."""
+        n = min(edits(seen, meant), confusion_cost(seen, meant))
+        return n * UNKNOWN / max(len(seen), 1)
+
+    def one_word(self, parts: tuple[str, ...], over: str) -> tuple[float, str | None]:
+        """The cost of the edge that makes one word of one or two tokens, and the word; None where there is none."""
+        if len(parts) == 1:
+            token = parts[0]
+            if token.lower() in self.words:
+                return 0.0, token
+            fixed = self.repair(token)
+            return (UNKNOWN, token) if fixed is None else (self.confusions(token.lower(), fixed.lower()), fixed)
+        left, right = parts
+        l, r = left.lower(), right.lower()  # noqa: E741
         if not right[0].islower() and not (left.isupper() and right.isupper()):
-            return None
-        if not hyphen and l in self.words and r in self.words:
-            return None
-        if not hyphen and between.strip() not in ("", ".") and not (l not in self.words and r not in self.words):
-            return None
-        whole = l + r
-        if whole in self.words:
-            return cased(whole, left + right)
-        if hyphen:
-            for d in DIGRAPHS if self.lang == "hun" else ():
-                if l.endswith(d) and r.startswith(d) and len(l) > len(d) and l[: -len(d)] + d[0] + r in self.words:
-                    return cased(l[: -len(d)] + d[0] + r, left + right)
-        if (hyphen or (l not in self.words and r not in self.words)) and len(whole) >= 5:
-            near = self.nearest(whole)
-            if near is None and hyphen and self.lang == "hun":
-                near = next((n for d in DIGRAPHS if l.endswith(d) and r.startswith(d) and (n := self.nearest(l[: -len(d)] + d[0] + r))), None)
-            return near and cased(near, left + right)
+            return UNKNOWN, None
+        known = (l in self.words) + (r in self.words)
+        exact, inexact = (OVER[over] + known * PART_KNOWN[over][k] for k in (0, 1))
+        found = [(exact, l + r)] if l + r in self.words else []
+        if not found and over == "hyphen":
+            found = [(exact + DIGRAPH_COST, w) for w in self._digraphs(l, r) if w in self.words][:1]
+        if not found:
+            for whole in (l + r, *(self._digraphs(l, r) if over == "hyphen" else ())):
+                near = self.nearest(whole)
+                if near is not None:
+                    found = [(inexact + INEXACT + self.confusions(whole, near), near)]
+                    break
+        return (found[0][0], cased(found[0][1], left + right)) if found else (UNKNOWN, None)
+
+    def _digraphs(self, l: str, r: str) -> list[str]:  # noqa: E741
+        """The words that come of a doubled digraph at a line's end."""
+        return [l[: -len(d)] + d[0] + r for d in DIGRAPHS if l.endswith(d) and r.startswith(d) and len(l) > len(d)] if self.lang == "hun" else []
+
+    def two_words(self, token: str) -> tuple[float, str] | None:
+        """The edge that splits a token into two words of the lexicon."""
+        low = token.lower()
+        for k in range(SPLIT_PART, len(low) - SPLIT_PART + 1):
+            if low[:k] in self.words and low[k:] in self.words:
+                return SPLIT, f"{token[:k]} {token[k:]}"
         return None
 
+    def best(self, tokens: tuple[str, ...], between: tuple[str, ...]) -> list[tuple[int, int, str]]:
+        """The best path over a stretch of tokens with what stands between them: (first token, tokens, text) per edge. Of
+        paths at one cost the one that changes less is taken."""
+        n = len(tokens)
+        cost: list[float] = [0.0] + [float("inf")] * n
+        by: list[tuple[int, str] | None] = [None] * (n + 1)
+        for i in range(n):
+            stays = i + 1 < n and over_of(between[i]) == "hyphen"
+            one, text = self.one_word(tokens[i : i + 1], "")
+            if stays:  # before a hyphen stands a part of a word, which is not repaired by itself
+                one, text = (0.0 if tokens[i].lower() in self.words else UNKNOWN) + HYPHEN_STAYS, tokens[i]
+            edges = [(1, one, text)]
+            if one >= UNKNOWN and not stays and (two := self.two_words(tokens[i])):
+                edges.append((1, *two))
+            if i + 1 < n:
+                over = over_of(between[i])
+                price, whole = self.one_word(tokens[i : i + 2], over)
+                if whole is not None:
+                    edges.append((2, price, whole))
+            for span, price, text in edges:
+                if cost[i] + price < cost[i + span]:
+                    cost[i + span], by[i + span] = cost[i] + price, (i, text)
+        out, at = [], n
+        while at:
+            i, text = by[at]
+            out.append((i, at - i, text))
+            at = i
+        return out[::-1]
+
+    def split(self, token: str) -> str | None:
+        """The two words that an unknown token is, if its best path is to split it."""
+        if token not in self.halves:
+            if len(self.halves) >= 1_000_000:
+                self.halves.clear()
+            path = self.best((token,), ())
+            self.halves[token] = path[0][2] if " " in path[0][2] else None
+        return self.halves[token]
+
+    def joined(self, left: str, between: str, right: str) -> str | None:
+        """The word that a line end cuts in two, or None where it stands between two words."""
+        at = (left, between, right)
+        if at not in self.cut:
+            path = self.best((left, right), (between,))
+            if len(self.cut) >= 1_000_000:
+                self.cut.clear()
+            self.cut[at] = path[0][2] if len(path) == 1 else None
+        return self.cut[at]
+
+
+def over_of(between: str) -> str:
+    """What kind of gap two tokens have between them: at a line's end by the signs that stand there."""
+    if between == " ":
+        return "space"
+    if _HYPHEN.search(between):
+        return "hyphen"
+    return "bare" if between.strip() in ("", ".") else "signs"
+
+
+def _char_row(char: str) -> tuple:
+    lower = char.lower()
+    return char.isalnum(), bool(_TIE.match(char)), "\u0300" <= char <= "\u036f", char in BEHIND, bool(_HYPHEN.match(char)), char.isdigit(), ord(lower) if len(lower) == 1 else ord(char)
+
+
+_CHARS = CodeTable({"word": bool, "tie": bool, "accent": bool, "behind": bool, "hyphen": bool, "digit": bool, "lower": np.uint32}, _char_row)
+
 
 @dataclass
-class Found:
-    """What a stream of lines holds: faults (line, fault, word, fixed) and its open ends."""
+class Tokens:
+    """The words of lines: where they stand, their line, and hashes of them in lower case."""
+
+    begin: np.ndarray
+    end: np.ndarray
+    line: np.ndarray
+    hashes: np.ndarray
+    rolled: Rolling
+
+
+def tokens_of(codes: np.ndarray, lengths: np.ndarray) -> Tokens:
+    """The same words that _WORD finds, of all lines at once."""
+    _CHARS.meet(codes)
+    word, tie = _CHARS["word"][codes], _CHARS["tie"][codes]
+    begin, end = spans(word)
+    short = np.flatnonzero(end - begin <= 2)
+    if len(short):
+        b, e = begin[short], end[short]
+        one, two = np.maximum(b - 1, 0), np.maximum(b - 2, 0)
+        tied = (b > 1) & tie[one] & (word[two] | tie[two]) | _CHARS["accent"][codes[e]]
+        at = e.copy()
+        while (on := tie[at]).any():
+            at = np.where(on, at + 1, at)
+        tied |= (at > e) & word[at]
+        kept = np.ones(len(begin), bool)
+        kept[short[tied]] = False
+        begin, end = begin[kept], end[kept]
+    line = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)[begin]
+    rolled = Rolling(_CHARS["lower"][codes] + np.uint32(7))
+    return Tokens(begin, end, line, rolled.of(begin, end), rolled)
+
+
+def word_hash(word: str) -> int:
+    """The hash that tokens_of gives a lower-case word."""
+    values = np.array([ord(c) for c in word], np.uint64) + np.uint64(7)
+    return int(Rolling(values).of(np.zeros(1, np.int64), np.array([len(word)]))[0])
+
+
+class Lexicon:
+    """The words of all languages, by language and as a sorted table of hashes."""
+
+    def __init__(self, lexicon: dict[str, set[str]]):
+        self.of = {lang: Words(lang, w) for lang, w in lexicon.items()}
+        self.langs = sorted(lexicon)
+        listed = [(word_hash(w) << 2 & 0xFFFFFFFFFFFFFFFF | k, lang, w) for k, lang in enumerate(self.langs) for w in sorted(lexicon[lang])]
+        listed.sort()
+        self.keys = np.array([x[0] for x in listed], np.uint64)
+        self.words = [(lang, w) for _, lang, w in listed]
+        self.counts = np.zeros(len(listed), np.int64)
+
+    def find(self, hashes: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """The place of each word in the table, -1 for unknown ones and languages without a lexicon (-1)."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        sought = hashes << np.uint64(2) | np.maximum(lang, 0).astype(np.uint64)
+        place = np.minimum(np.searchsorted(self.keys, sought), len(self.keys) - 1)
+        return np.where((self.keys[place] == sought) & (lang >= 0), place, -1)
+
+    def count_rows(self) -> list[dict]:
+        """How often each word was met, and from now on from nothing."""
+        rows = [{"kind": "count", "lang": self.words[k][0], "token": self.words[k][1], "n": int(self.counts[k])} for k in np.flatnonzero(self.counts)]
+        self.counts[:] = 0
+        return rows
 
-    faults: list[tuple[int, str, str, str]]
-    head: tuple[int, str] | None = None
-    tail: tuple[int, str, str] | None = None
 
+_LEXICONS: dict[str, Lexicon] = {}
 
-def decode(lines: list[tuple[int, str]], words: Words, counts: Counter, open_ends: bool = False) -> Found:
-    """Decode lines (id, text) in order. With `open_ends` the first and last word are left to the neighbours."""
-    out = Found([])
-    repair = words.repair
-    held: tuple[int, str, str] | None = None  # the last word of the line before, and what stands behind it
-    for n, (line_id, text) in enumerate(lines):
-        tokens = _WORD.findall(text)
-        if not tokens:
-            continue
-        counts.update(tokens)
-        first, last = 0, len(tokens)
-        starts = text.startswith(tokens[0])
-        if held is not None or (open_ends and n == 0):
-            if starts and held is not None:
-                whole = words.joined(held[1], held[2], tokens[0])
-                if whole is not None:
-                    out.faults.append((held[0], "hyphen", held[1] + "|" + tokens[0], whole))
-                    first = 1
-                elif not _HYPHEN.search(held[2]) and (fixed := repair(held[1])) is not None:
-                    out.faults.append((held[0], "misread", held[1], fixed))
-            elif held is not None:
-                if not _HYPHEN.search(held[2]) and (fixed := repair(held[1])) is not None:
-                    out.faults.append((held[0], "misread", held[1], fixed))
-            elif starts:
-                out.head = (line_id, tokens[0])
-                first = 1
-        held = None
-        behind = text[text.rindex(tokens[-1]) + len(tokens[-1]) :]
-        if last > first and not behind.strip(BEHIND) and not tokens[-1].isdigit():
-            held = (line_id, tokens[-1], behind)
-            last -= 1
-        for token in tokens[first:last]:
-            if (fixed := repair(token)) is not None:
-                out.faults.append((line_id, "misread", token, fixed))
-    if held is not None:
-        if open_ends:
-            out.tail = held
-        elif not _HYPHEN.search(held[2]) and (fixed := repair(held[1])) is not None:
-            out.faults.append((held[0], "misread", held[1], fixed))
+
+def loaded(name: str, lexicon: dict[str, set[str]]) -> Lexicon:
+    """The lexicon, made once per Python worker."""
+    if name not in _LEXICONS:
+        _LEXICONS.clear()
+        _LEXICONS[name] = Lexicon(lexicon)
+    return _LEXICONS[name]
+
+
+@dataclass
+class Found:
+    """Faults (line, fault, token, word) and, per stream with open ends, its head (line, token) and tail (line, token,
+    what stands behind it)."""
+
+    faults: list[tuple[int, str, str, str]]
+    heads: dict[int, tuple[int, str]]
+    tails: dict[int, tuple[int, str, str]]
+
+
+def decode(whole: str, codes: np.ndarray, lengths: np.ndarray, stream: np.ndarray, lang: np.ndarray, open_ends: np.ndarray, lexicon: Lexicon) -> Found:
+    """Decode the lines of `whole`, each with a line break behind it; `stream` numbers the streams that they are in, `lang` are
+    the lines' languages (-1 for none that has a lexicon, whose lines are passed over), and of streams in `open_ends` the
+    first and last word are left to the neighbours."""
+    out = Found([], {}, {})
+    t = tokens_of(codes, lengths)
+    mine = lang[t.line] >= 0
+    if not mine.any():
+        return out
+    begin, end, line, hashes = t.begin[mine], t.end[mine], t.line[mine], t.hashes[mine]
+    place = lexicon.find(hashes, lang[line])
+    known = place >= 0
+    lexicon.counts += np.bincount(place[known], minlength=len(lexicon.counts))
+    words = [lexicon.of[x] for x in lexicon.langs]
+    left_out = np.zeros(len(begin), bool)  # tokens that are no misread words of their own
+
+    # lines with words: their first and last one, and what stands behind that
+    first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    last = np.concatenate([first[1:], [len(line)]]) - 1
+    of_line, of_stream = line[first], stream[line[first]]
+    line_begin = np.cumsum(lengths + 1) - lengths - 1
+    starts = begin[first] == line_begin[of_line]
+    stop = line_begin[of_line] + lengths[of_line]
+    upto = lambda flags: np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
+    others, hyphens, digits = upto(~_CHARS["behind"][codes]), upto(_CHARS["hyphen"][codes]), upto(_CHARS["digit"][codes])
+    held = (others[stop] == others[end[last]]) & (digits[end[last]] - digits[begin[last]] < end[last] - begin[last])
+    hyphen = hyphens[stop] > hyphens[end[last]]
+    opens = np.concatenate([[True], of_stream[1:] != of_stream[:-1]])
+    closes = np.concatenate([opens[1:], [True]])
+    ends_open = open_ends[of_stream]
+    text = lambda k: whole[begin[k] : end[k]]
+    behind = lambda i: whole[end[last[i]] : stop[i]]
+
+    head = opens & ends_open & starts
+    left_out[first[head]] = True
+    for i in np.flatnonzero(head).tolist():
+        out.heads[int(of_stream[i])] = (int(of_line[i]), text(first[i]))
+    # line ends inside a stream: only those with a hyphen or an unknown word beside them have more than one path
+    held &= ~(head & (first == last))
+    inner = np.flatnonzero(held & ~closes)
+    if len(inner):
+        left, right = last[inner], first[inner + 1]
+        left_out[left[hyphen[inner]]] = True
+        for i, a, b in zip(*(x[starts[inner + 1] & (hyphen[inner] | ~known[left] | ~known[right])].tolist() for x in (inner, left, right))):
+            if not held[i]:
+                continue
+            joined = words[lang[of_line[i]]].joined(text(a), behind(i), text(b))
+            if joined is not None:
+                out.faults.append((int(of_line[i]), "hyphen", text(a) + "|" + text(b), joined))
+                left_out[a] = left_out[b] = True
+                if first[i + 1] == last[i + 1]:
+                    held[i + 1] = False  # all of the next line is in this word
+    for i in np.flatnonzero(held & closes).tolist():
+        if ends_open[i]:
+            out.tails[int(of_stream[i])] = (int(of_line[i]), text(last[i]), behind(i))
+            left_out[last[i]] = True
+        elif hyphen[i]:
+            left_out[last[i]] = True
+
+    # inside lines: unknown words beside a word with which they are one, and such that are two words
+    unknown = ~known & ~left_out
+    pair = np.flatnonzero((line[1:] == line[:-1]) & (begin[1:] == end[:-1] + 1) & (codes[end[:-1]] == 32) & (unknown[1:] | unknown[:-1]) & ~left_out[1:] & ~left_out[:-1])
+    if len(pair):
+        power, _ = powers(int((end - begin).max()))
+        with np.errstate(over="ignore"):
+            both = hashes[pair] + hashes[pair + 1] * power[end[pair] - begin[pair]]
+        taken = -1
+        for k in pair[lexicon.find(both, lang[line[pair]]) >= 0].tolist():
+            if k <= taken:
+                continue
+            path = words[lang[line[k]]].best((text(k), text(k + 1)), (" ",))
+            if len(path) == 1:
+                out.faults.append((int(line[k]), "merge", text(k) + "|" + text(k + 1), path[0][2]))
+                left_out[k] = left_out[k + 1] = True
+                taken = k + 1
+    for k in np.flatnonzero(~known & ~left_out).tolist():
+        token, of = text(k), words[lang[line[k]]]
+        if (fixed := of.repair(token)) is not None:
+            out.faults.append((int(line[k]), "misread", token, fixed))
+        elif (split := of.split(token)) is not None:
+            out.faults.append((int(line[k]), "split", token, split))
     return out
 
 
@@ -242,45 +465,28 @@ def _lexicons(lexicon: DataFrame) -> dict[str, set[str]]:
     return out
 
 
-DECODED = "kind string, tbl string, id long, lang string, token string, fixed string, n long, book string, page int, ord int, region_id long"
-_FIELDS = [f.split()[0] for f in DECODED.split(", ")]
-_TYPES = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64())
+DECODED = "kind string, tbl string, id long, lang string, token string, fixed string, n long, book string, page int, ord int, region_id long, id2 long, token2 string, counts array<int>"
+_TYPES = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<int>": pa.list_(pa.int32())}
+_FIELDS = {name: _TYPES[kind] for name, kind in (f.split() for f in DECODED.split(", "))}
+#: Kinds of DECODED rows that are faults of words.
+WORD_FAULTS = ("hyphen", "misread", "merge", "split")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(_FIELDS)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], names=_FIELDS)
+def _rows(size: int, **columns) -> pa.RecordBatch:
+    """DECODED rows with the columns that are given: lists, arrays, or one value for all rows."""
 
+    def column(name: str, kind: pa.DataType) -> pa.Array:
+        value = columns.get(name)
+        if value is None or isinstance(value, str):
+            return pa.array([value] * size, kind)
+        return value if isinstance(value, pa.Array) else pa.array(value, kind)
 
-def _count_rows(counts: dict[str, Counter], words: dict[str, Words]) -> list[tuple]:
-    """Of each language the words that are known or could be repaired, in lower case, with their number."""
-    out = []
-    for lang, seen in counts.items():
-        lower: Counter = Counter()
-        for token, n in seen.items():
-            low = token.lower()
-            if low in words[lang].words or words[lang].repair(token) is not None:
-                lower[low] += n
-        out += [("count", None, None, lang, token, None, n, None, None, None, None) for token, n in lower.items()]
-    return out
+    return pa.RecordBatch.from_arrays([column(*f) for f in _FIELDS.items()], names=list(_FIELDS))
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[tuple[int, str]]]]:
-    """Regions one after another with their lines; the rows come sorted by region and line, repeated ones once."""
-    region: dict | None = None
-    lines: list[tuple[int, str]] = []
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("region_id", "line_id", "text", "kind", "lang", "book", "page", "ord")]
-        for region_id, line_id, text, kind, lang, book, page, order in zip(*columns):
-            if region is None or region["region_id"] != region_id:
-                if region is not None:
-                    yield region, lines
-                region = {"region_id": region_id, "kind": kind, "lang": lang, "book": book, "page": page, "ord": order}
-                lines = []
-            if text and not (lines and lines[-1][0] == line_id):
-                lines.append((line_id, text))
-    if region is not None:
-        yield region, lines
+def _count_rows(lexicon: Lexicon) -> pa.RecordBatch:
+    rows = lexicon.count_rows()
+    return _rows(len(rows), kind="count", lang=[r["lang"] for r in rows], token=[r["token"] for r in rows], n=[r["n"] for r in rows])
 
 
 def stated_number(text: str) -> int | None:
@@ -291,222 +497,188 @@ def stated_number(text: str) -> int | None:
     return number_value(word)
 
 
-def number_lines(lines: DataFrame, books: DataFrame) -> DataFrame:
-    """(line_id, region_id): lines that only state their page's printed number."""
-    offsets = books.where("page_number_offset is not null and book is not null").groupBy("book").agg(F.min("page_number_offset").alias("offset"))
-    likely = lines.where(F.length("text") <= 24).where(F.col("text").rlike(r"^[\W_]*(?:[0-9IlOoSB]{1,5}|[ivxlcdmIVXLCDM]{1,9})[\W_]*$")).select("line_id", "region_id", "book", "page", "text")
+def lines_of_one_word(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of the lines that hold a single run of letters and digits."""
+    _CHARS.meet(codes)
+    begin, _ = spans(_CHARS["word"][codes])
+    line = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)[begin]
+    return np.flatnonzero(np.bincount(line, minlength=len(lengths)) == 1)
 
-    @F.pandas_udf("int")
-    def stated(texts):
-        return texts.map(lambda t: stated_number(t) if t else None).astype("Int32")
 
-    return likely.join(offsets, "book").where(stated("text") == F.col("page") + F.col("offset")).select("line_id", "region_id").distinct()
+def is_page_number(text: str, page: int | None, offset: int | None, after: int = 0) -> bool:
+    """Whether a line only states its page's printed number, or that of one of the `after` pages behind it."""
+    if page is None or offset is None or not _NUMBER_ONLY.fullmatch(text):
+        return False
+    value = stated_number(text)
+    return value is not None and page + offset <= value <= page + offset + after
 
 
-def region_streams(lines: DataFrame, regions: DataFrame, books: DataFrame, furniture: DataFrame, excluded: DataFrame, every_lang: bool = False) -> DataFrame:
-    """Lines, without furniture, with what their region brings (kind, order, language), sorted by region and line;
-    excluded regions and those of kinds without running text are left out, and unless `every_lang` is set also books
-    in languages without a lexicon."""
-    langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
-    if not every_lang:
-        langs = langs.where(F.col("lang").isin(*LANGS))
-    of_region = furniture.groupBy("region_id").agg(F.collect_set("line_id").alias("furniture"))
-    kept = regions.where("region_id is not null").groupBy("region_id").agg(F.min("kind").alias("kind"), F.min("book").alias("book"), F.min("page").alias("page"), F.min("id").alias("ord"))
-    kept = kept.where(~F.coalesce(F.col("kind").isin(*NO_TEXT), F.lit(False))).join(langs, "book", "left" if every_lang else "inner").join(excluded, "region_id", "left_anti").join(of_region, "region_id", "left")
-    # partitioned once, before the join, which keeps it so; a region is a few lines, so no partition is skewed
-    text = lines.where("line_id is not null and text is not null").select("region_id", "line_id", "line_no", "text").repartition("region_id")
-    joined = text.join(kept.select("region_id", "kind", "lang", "book", "page", "ord", "furniture"), "region_id")
-    joined = joined.where(~F.coalesce(F.array_contains("furniture", F.col("line_id")), F.lit(False))).drop("furniture")
-    return joined.sortWithinPartitions("region_id", "line_no", "line_id")
+def _fault_rows(found: Found, tbl: str, ids: list[int], lang: list[str], regions: list[int] | None) -> pa.RecordBatch:
+    at = [f[0] for f in found.faults]
+    return _rows(len(at), kind=[f[1] for f in found.faults], tbl=tbl, id=[ids[k] for k in at], lang=[lang[k] for k in at], token=[f[2] for f in found.faults], fixed=[f[3] for f in found.faults], region_id=regions and [regions[k] for k in at])
 
 
-def decoded_lines(streams: DataFrame, lexicon: dict[str, set[str]], runs: bool = False) -> DataFrame:
-    """DECODED rows of all streams: faults, counts of words, and the open ends of text regions; with `runs` also what
-    chains() needs of each text region."""
+def decoded_lines(streams: DataFrame, lexicon: dict[str, set[str]], name: str, common: np.ndarray, runs: bool = False) -> DataFrame:
+    """DECODED rows of all regions: counts for problem 3, lines that state their page's number, faults, counts of words, and
+    the open ends of text regions; with `runs` also what chains() needs of each text region."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {lang: Words(lang, w) for lang, w in lexicon.items()}
-        counts: dict[str, Counter] = {lang: Counter() for lang in lexicon}
-        rows: list[tuple] = []
-        for region, lines in _streams(source):
-            lang = region["lang"]
-            found = decode(lines, words[lang], counts[lang], region["kind"] == "text") if lang in words else Found([])
-            rows += [(fault, "line", at, lang, token, fixed, None, None, None, None, region["region_id"]) for at, fault, token, fixed in found.faults]
-            place = (region["book"], region["page"], region["ord"], region["region_id"])
-            if region["kind"] == "text" and lines:
-                head, tail = found.head or (None, None), found.tail or (None, None, None)
-                rows.append(("head", None, head[0], lang, head[1], None, None, *place))
-                rows.append(("tail", None, tail[0], lang, tail[1], tail[2], None, *place))
-                if runs:
-                    texts = [text for _, text in lines]
-                    of = {"begins": int(begin_cost(texts[0])), "ends": int(mark_cost(texts[-1], lang)), "length": len(texts[-1]), "usual": usual_length(texts), "lines": len(texts)}
-                    rows += [(kind, None, None, lang, None, None, n, *place) for kind, n in of.items()]
-            if len(rows) >= 20_000:
-                yield _batch(rows)
-                rows = []
-            if sum(map(len, counts.values())) > 500_000:
-                rows += _count_rows(counts, words)
-                counts = {c: Counter() for c in lexicon}
-        yield _batch(rows + _count_rows(counts, words))
-
-    return streams.select("region_id", "line_id", "text", "kind", "lang", "book", "page", "ord").mapInArrow(run, DECODED)
+        known = loaded(name, lexicon)
+        known.count_rows()
+        number = {lang: k for k, lang in enumerate(known.langs)}
+        for block in region_blocks(source):
+            whole, codes, lengths = code_points(block.texts)
+            facts, region, ids = block.facts, block.region.tolist(), block.line_ids.tolist()
+            stated = [k for k in lines_of_one_word(codes, lengths).tolist() if not block.out[k] and is_page_number(block.texts[k], facts["page"][region[k]], facts["offset"][region[k]])]
+            yield _rows(len(stated), kind="furniture", tbl="line", id=[ids[k] for k in stated], fixed="", region_id=[facts["region_id"][region[k]] for k in stated])
+            block.out[stated] = True
+            wanted, counts = region_counts(block, codes, lengths, common)
+            yield _rows(len(wanted), kind="counted", tbl="region", id=[facts["region_id"][k] for k in wanted], lang=[facts["lang"][k] or "und" for k in wanted], counts=_int_lists(counts))
+            is_text = np.array([k == "text" for k in facts["kind"]], bool)
+            running = np.array([b is not None and k not in NO_TEXT for b, k in zip(facts["book"], facts["kind"])], bool)
+            of_region = np.array([number.get(x, -1) for x in facts["lang"]])
+            found = decode(whole, codes, lengths, block.region, np.where(running[block.region] & ~block.out, of_region[block.region], -1), is_text, known)
+            line_lang = [facts["lang"][k] for k in region]
+            yield _fault_rows(found, "line", ids, line_lang, [facts["region_id"][k] for k in region])
+            shown = ~block.out & (lengths > 0)
+            first = np.flatnonzero(shown & is_text[block.region] & running[block.region])
+            open_ones = [k for k in np.unique(block.region[first]).tolist() if runs or of_region[k] >= 0]
+            heads, tails = [found.heads.get(k, (None, None)) for k in open_ones], [found.tails.get(k, (None, None, None)) for k in open_ones]
+            ends = np.concatenate([block.starts[1:], [len(region)]]) if len(region) else block.starts
+            place = {c: [facts[c][k] for k in open_ones] for c in ("book", "page", "ord", "region_id", "lang")}
+            of_run = None
+            if runs:
+                texts = [[block.texts[i] for i in range(block.starts[k], ends[k]) if shown[i]] for k in open_ones]
+                of_run = pa.array([[int(begin_cost(t[0])), int(mark_cost(t[-1], lang)), len(t[-1]), usual_length(t), len(t)] for t, lang in zip(texts, place["lang"])], pa.list_(pa.int32()))
+            yield _rows(len(open_ones), kind="ends", id=[ids[h[0]] if h[0] is not None else None for h in heads], token=[h[1] for h in heads], id2=[ids[t[0]] if t[0] is not None else None for t in tails], token2=[t[1] for t in tails], fixed=[t[2] for t in tails], counts=of_run, **place)
+        yield _count_rows(known)
+
+    return streams.mapInArrow(run, DECODED)
+
+
+def decoded_items(items: DataFrame, books: DataFrame, heads: DataFrame, lexicon: dict[str, set[str]], name: str, common: np.ndarray) -> DataFrame:
+    """DECODED rows of the paragraphs that are not standalone: counts for problem 3, faults, furniture, counts of words.
+    `heads` (line_id, region_id) are items with the numbers of those of their lines that are repeated ones."""
+    of_item = heads.groupBy(F.col("line_id").alias("id")).agg(F.collect_set("region_id").alias("heads"))  # no more than an item's lines
+    full = prose_items(items, books).join(of_item, "id", "left")
 
-
-def _over_regions(decoded: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame:
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = loaded(name, lexicon)
+        known.count_rows()
+        number = {lang: k for k, lang in enumerate(known.langs)}
+        for batch in source:
+            ids, pages, texts, langs, offsets, heads_ = (batch.column(c).to_pylist() for c in ("id", "page", "text", "lang", "offset", "heads"))
+            whole, codes, lengths = code_points(texts)
+            counts = text_counts(codes, lengths, common, lang_numbers(langs))
+            yield _rows(len(ids), kind="counted", tbl="item", id=ids, lang=langs, counts=_int_lists(counts))
+            stop = np.flatnonzero(codes == 10)  # every line has a break behind it
+            sizes = np.diff(np.concatenate([[-1], stop])) - 1
+            item = np.repeat(np.arange(len(ids)), lengths + 1)[stop]
+            first = np.searchsorted(item, np.arange(len(ids)))
+            out = np.zeros(len(stop), bool)
+            for i, of in enumerate(heads_):
+                out[[first[i] + k for k in of or ()]] = True
+            several = np.bincount(item, minlength=len(ids)) > 1
+            for k in lines_of_one_word(codes, sizes).tolist():
+                i = item[k]
+                if several[i] and is_page_number(whole[stop[k] - sizes[k] : stop[k]], pages[i], offsets[i], 2):
+                    out[k] = True
+            dirty = np.unique(item[out]).tolist()
+            listed = [",".join(str(k - first[i]) for k in np.flatnonzero(out & (item == i)).tolist()) for i in dirty]
+            yield _rows(len(dirty), kind="furniture", tbl="item", id=[ids[i] for i in dirty], token=listed, fixed="")
+            of_lang = np.array([number.get(x, -1) for x in langs])
+            found = decode(whole, codes, sizes, item, np.where(out, -1, of_lang[item]), np.zeros(len(ids), bool), known)
+            of = item.tolist()
+            yield _fault_rows(found, "item", [ids[i] for i in of], [langs[i] for i in of], None)
+        yield _count_rows(known)
+
+    return full.select("id", "page", "text", "lang", "offset", "heads").mapInArrow(run, DECODED)
+
+
+PAIR = "lang string, tail_id long, tail_token string, between string, tail_region long, head_id long, head_token string, head_region long"
+
+
+def _over_regions(ends: DataFrame, lexicon: dict[str, set[str]], name: str) -> DataFrame:
     """Faults at the ends of text regions: the tail of each with the head of the next text region of its page, or of the
     next page that has one. The region whose head is the end of a cut word has a row 'joined'."""
-    ends = decoded.where("kind in ('head', 'tail')").groupBy("book", "page", "ord", "region_id", "lang").agg(
-        *(F.max(F.when(F.col("kind") == k, F.col(c))).alias(f"{k}_{c}") for k, c in (("head", "id"), ("head", "token"), ("tail", "id"), ("tail", "token"), ("tail", "fixed")))
-    )
     here = Window.partitionBy("book", "page").orderBy("ord", "region_id")
-    head = F.struct(F.col("head_id").alias("id"), F.col("head_token").alias("token"), "region_id")
-    linked = ends.withColumn("after", F.lead(head).over(here)).withColumn("at", F.row_number().over(here)).withColumn("last", F.lead("region_id").over(here).isNull())
-    firsts = linked.where("at = 1").select("book", "page", head.alias("first"))  # a row per page
-    following = firsts.select("book", "page", F.lead("first").over(Window.partitionBy("book").orderBy("page")).alias("next_page"))
-    linked = linked.join(following, ["book", "page"]).withColumn("after", F.when(F.col("last"), F.col("next_page")).otherwise(F.col("after")))
-    # the first text region of a book has a head that nothing goes before
-    starts = firsts.withColumn("k", F.row_number().over(Window.partitionBy("book").orderBy("page"))).where("k = 1").select("book", F.col("first.id").alias("id"), F.col("first.token").alias("token"), F.col("first.region_id").alias("head_region"))
-    langs = ends.groupBy("book").agg(F.first("lang").alias("lang"))
-    opening = starts.join(langs, "book").select("lang", F.lit(None).cast("long").alias("tail_id"), F.lit(None).cast("string").alias("tail_token"), F.lit(None).cast("string").alias("tail_fixed"), F.lit(None).cast("long").alias("region_id"), "id", "token", "head_region")
-    pairs = linked.select("lang", "tail_id", "tail_token", "tail_fixed", "region_id", F.col("after.id").alias("id"), F.col("after.token").alias("token"), F.col("after.region_id").alias("head_region")).unionByName(opening)
+    tail = (F.col("id2").alias("tail_id"), F.col("token2").alias("tail_token"), F.col("fixed").alias("between"), F.col("region_id").alias("tail_region"))
+    head = F.struct(F.col("id").alias("head_id"), F.col("token").alias("head_token"), F.col("region_id").alias("head_region"))
+    linked = ends.select("book", "page", "lang", "ord", "region_id", F.struct(*tail).alias("tail"), head.alias("head"))
+    linked = linked.withColumn("after", F.lead("head").over(here)).withColumn("at", F.row_number().over(here))
+    inside = linked.where("after is not null").select("lang", "tail.*", "after.*")
+    # of each page the first and last region only
+    by_page = Window.partitionBy("book").orderBy("page", "at")
+    outer = linked.where("at = 1 or after is null").withColumn("following", F.lead("head").over(by_page)).withColumn("k", F.row_number().over(by_page))
+    across = outer.where("after is null").select("lang", "tail.*", "following.*")
+    nothing = linked.schema["tail"].dataType.simpleString()
+    opening = outer.where("k = 1").select("lang", F.lit(None).cast(nothing).alias("tail"), "head").select("lang", "tail.*", "head.*")  # nothing goes before a book's first head
+    pairs = inside.unionByName(across).unionByName(opening)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {lang: Words(lang, w) for lang, w in lexicon.items()}
+        known = loaded(name, lexicon)
         for batch in source:
             rows = []
-            names = ("lang", "tail_id", "tail_token", "tail_fixed", "region_id", "id", "token", "head_region")
-            for lang, tail_id, tail, between, tail_region, head_id, head, head_region in zip(*(batch.column(c).to_pylist() for c in names)):
-                if lang not in words:
+            for lang, tail_id, tail, between, tail_region, head_id, head, head_region in zip(*(batch.column(c).to_pylist() for c in (f.split()[0] for f in PAIR.split(", ")))):
+                if lang not in known.of:
                     continue
-                whole = words[lang].joined(tail, between or "", head) if tail and head else None
+                words = known.of[lang]
+                whole = words.joined(tail, between or "", head) if tail and head else None
                 if whole is not None:
-                    rows.append(("hyphen", "line", tail_id, lang, tail + "|" + head, whole, None, None, None, None, tail_region))
-                    rows.append(("joined", "line", head_id, lang, None, None, None, None, None, None, head_region))
+                    rows.append(("hyphen", tail_id, lang, tail + "|" + head, whole, tail_region))
+                    rows.append(("joined", head_id, lang, None, None, head_region))
                     continue
-                if tail and not _HYPHEN.search(between or "") and (fixed := words[lang].repair(tail)) is not None:
-                    rows.append(("misread", "line", tail_id, lang, tail, fixed, None, None, None, None, tail_region))
-                if head and (fixed := words[lang].repair(head)) is not None:
-                    rows.append(("misread", "line", head_id, lang, head, fixed, None, None, None, None, head_region))
-            yield _batch(rows)
-
-    return pairs.mapInArrow(run, DECODED)
-
-
-def prose_items(items: DataFrame, excluded: DataFrame) -> DataFrame:
-    """(id, book, page, text): paragraphs that are not standalone."""
-    return items.where("type = 'para' and not coalesce(standalone, false) and text is not null").select(F.col("item_id").alias("id"), "book", "page", "text").join(excluded, "id", "left_anti")
-
+                alone = [(tail_id, tail, tail_region)] if tail and not _HYPHEN.search(between or "") else []
+                for at, token, region in alone + ([(head_id, head, head_region)] if head else []):
+                    if token.lower() in words.words:
+                        continue
+                    if (fixed := words.repair(token)) is not None:
+                        rows.append(("misread", at, lang, token, fixed, region))
+                    elif (fixed := words.split(token)) is not None:
+                        rows.append(("split", at, lang, token, fixed, region))
+            columns = dict(zip(("kind", "id", "lang", "token", "fixed", "region_id"), zip(*rows))) if rows else {}
+            yield _rows(len(rows), tbl="line", **columns)
 
-def decoded_items(items: DataFrame, books: DataFrame, heads: DataFrame, excluded: DataFrame, lexicon: dict[str, set[str]]) -> DataFrame:
-    """DECODED rows of the paragraphs that are not standalone: faults, furniture, counts. `heads` (book, heads) are
-    the fingerprints (key, bag) of each book's repeated lines."""
-    of_book = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"), F.min("page_number_offset").alias("offset"))
-    full = prose_items(items, excluded).join(of_book, "book", "left").join(heads, "book", "left")
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = {lang: Words(lang, w) for lang, w in lexicon.items()}
-        counts: dict[str, Counter] = {lang: Counter() for lang in lexicon}
-        for batch in source:
-            rows = []
-            ids, books_, pages, texts, langs, offsets, heads_ = (batch.column(c).to_pylist() for c in ("id", "book", "page", "text", "lang", "offset", "heads"))
-            split = [t.split("\n") for t in texts]
-            for item, lang, lines, out in zip(ids, langs, split, item_furniture(split, books_, pages, offsets, heads_)):
-                if out:
-                    rows.append(("furniture", "item", item, lang, ",".join(map(str, sorted(out))), "", None, None, None, None, None))
-                    lines = [line for k, line in enumerate(lines) if k not in out]
-                if lang in words:
-                    found = decode([(item, line) for line in lines], words[lang], counts[lang])
-                    rows += [(fault, "item", at, lang, token, fixed, None, None, None, None, None) for at, fault, token, fixed in found.faults]
-            yield _batch(rows)
-        yield _batch(_count_rows(counts, words))
-
-    return full.select("id", "book", "page", "text", "lang", "offset", "heads").mapInArrow(run, DECODED)
-
-
-def item_furniture(items: list[list[str]], books: list[str], pages: list[int], offsets: list[int], heads: list[list[dict]]) -> list[set[int]]:
-    """Of each item (lines, book, page, page number offset, heads of its book) the lines that are a running head of
-    the book or state the number of the item's page or of one of the two after it."""
-    out: list[set[int]] = [set() for _ in items]
-    where, keys, salts = [], [], []
-    for i, (lines, book, page, offset, known) in enumerate(zip(items, books, pages, offsets, heads)):
-        if len(lines) < 2:
-            continue
-        salt = _hash_text(book or "") if known else 0
-        for k, line in enumerate(lines):
-            if offset is not None and page is not None and len(line) <= 24 and _NUMBER_ONLY.fullmatch(line):
-                value = stated_number(line)
-                if value is not None and page + offset <= value <= page + offset + 2:
-                    out[i].add(k)
-            elif known and len(line) < 160:
-                for moved, key, digits in _variants(line, page or 0):
-                    if len(key) >= 4 and (moved is None or offset is not None and offset <= moved <= offset + 2):
-                        where.append((i, k))
-                        keys.append(key)
-                        salts.append(salt ^ _hash_text(digits) if digits else salt)
-    if not keys:
-        return out
-    whole, _, _, _, bag, _ = chunk_fingerprints(keys, np.array(salts, np.uint64))
-    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
-    parts = lambda b: (b[:, None] >> shifts & np.uint64(15)).astype(np.int16)
-    letters, exact = parts(bag), whole.view(np.int64)
-    low = 0
-    while low < len(where):  # the lines of one book and batch at a time
-        book, high = books[where[low][0]], low
-        while high < len(where) and books[where[high][0]] == book:
-            high += 1
-        known = heads[where[low][0]]
-        of = parts(np.array([h["bag"] for h in known], np.int64).view(np.uint64))
-        near = np.full(high - low, 1000, np.int64)
-        for row in of:
-            near = np.minimum(near, np.abs(letters[low:high] - row).sum(1))
-        hit = (near <= MAX_LETTER_CHANGES) | np.isin(exact[low:high], np.array([h["key"] for h in known], np.int64))
-        for at in np.flatnonzero(hit):
-            out[where[low + at][0]].add(where[low + at][1])
-        low = high
-    return out
-
-
-def repeated_heads(repeated: DataFrame) -> DataFrame:
-    """(book, heads): the fingerprints of each book's repeated lines, one of each cluster."""
-    per_cluster = repeated.groupBy("book", F.col("cluster").alias("key")).agg(F.min("bag").alias("bag"))
-    return per_cluster.groupBy("book").agg(F.collect_list(F.struct("key", "bag")).alias("heads"))
+    return pairs.select(*(f.split()[0] for f in PAIR.split(", "))).mapInArrow(run, DECODED)
 
 
 @dataclass
 class Judged:
-    """What is found in the whole corpus: furniture, regions and items that are no prose, streams of lines, DECODED rows
-    with those over regions, and of these the faults that the counts bear out."""
+    """What is found in the whole corpus: furniture (line_id, region_id), regions and items (tbl, id) that are no prose,
+    open ends of text regions, DECODED rows over them, and the faults that the counts bear out."""
 
     furniture: DataFrame
-    bad_regions: DataFrame
-    bad_items: DataFrame
-    streams: DataFrame
-    decoded: DataFrame
+    bad: DataFrame
+    ends: DataFrame
     over: DataFrame
     faults: DataFrame
 
 
-def judged_faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float, every_lang: bool = False) -> Judged:
-    found = repeated_lines(lines, regions, books).unionByName(number_lines(lines, books), allowMissingColumns=True)
-    furniture = checkpointed(found.groupBy("line_id", "region_id").agg(F.max(F.struct("cluster", "bag", "book")).alias("_f")).select("line_id", "region_id", "_f.cluster", "_f.bag", "_f.book"))
-    excluded = checkpointed(not_prose(lines, regions, items, books, form_labels, furniture))
-    bad_regions, bad_items = (excluded.where(F.col("tbl") == t).select(F.col("id").alias(c)) for t, c in (("region", "region_id"), ("item", "id")))
-    known = _lexicons(lexicon)
-    streams = region_streams(lines, regions, books, furniture, bad_regions, every_lang)
-    decoded = checkpointed(decoded_lines(streams, known, every_lang).unionByName(decoded_items(items, books, repeated_heads(furniture.where("cluster is not null")), bad_items, known)))
-    over = checkpointed(_over_regions(decoded, known))
-    seen = decoded.where("kind in ('hyphen', 'misread', 'furniture')").unionByName(over)
-    counts = decoded.where("kind = 'count'").groupBy("lang", "token").agg(F.sum("n").alias("n"))
-    misread = seen.where("kind = 'misread'").withColumn("low", F.lower("token")).withColumn("meant", F.lower("fixed"))
-    tried = misread.select("lang", "low", "meant").distinct()
-    of = counts.select("lang", F.col("token").alias("low"), F.col("n").alias("own"))
-    to = counts.select("lang", F.col("token").alias("meant"), F.col("n").alias("other"))
-    judged = tried.join(of, ["lang", "low"], "left").join(to, ["lang", "meant"], "left")
-    right = judged.where(F.coalesce("own", F.lit(0)) > F.greatest(F.lit(2.0), right_share * F.coalesce("other", F.lit(0)))).select("lang", "low")
-    columns = ("tbl", "id", "region_id", F.col("kind").alias("fault"), "token", "fixed")
-    wrong = misread.join(right, ["lang", "low"], "left_anti").select(*columns)
-    others = seen.where("kind in ('hyphen', 'furniture')").select(*columns)
-    return Judged(furniture, bad_regions, bad_items, streams, decoded, over, wrong.unionByName(others))
+def judged_faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float, runs: bool = False) -> Judged:
+    repeated = checkpointed(repeated_lines(lines, regions, books, items=items).select("item", "line_id", "region_id"))
+    common = common_words(lines, items, books)
+    known, name = _lexicons(lexicon), uuid.uuid4().hex
+    streams = region_lines(lines, regions, books, repeated.where(~F.col("item")))
+    decoded = checkpointed(decoded_lines(streams, known, name, common, runs).unionByName(decoded_items(items, books, repeated.where("item"), known, name, common)))
+    bad = checkpointed(bad_texts(decoded.where("kind = 'counted'").select("tbl", "id", "lang", "counts"), form_labels))
+    bad_regions = bad.where("tbl = 'region'").select(F.col("id").alias("region_id"))
+    ends = decoded.where("kind = 'ends'").join(bad_regions, "region_id", "left_anti")
+    over = _over_regions(ends, known, name)
+    if runs:
+        over = checkpointed(over)
+    of = F.when(F.col("tbl") == "item", F.col("id")).otherwise(F.col("region_id"))
+    here = decoded.where(F.col("kind").isin(*WORD_FAULTS, "furniture")).withColumn("_of", of).withColumn("_tbl", F.when(F.col("tbl") == "item", "item").otherwise("region"))
+    here = here.join(bad.select(F.col("tbl").alias("_tbl"), F.col("id").alias("_of")), ["_tbl", "_of"], "left_anti")
+    columns = ("tbl", "id", "region_id", F.col("kind").alias("fault"), "lang", "token", "fixed")
+    seen = here.select(*columns).unionByName(over.where("kind <> 'joined'").select(*columns))
+    unsure = seen.where("fault in ('misread', 'split')").withColumn("low", F.lower("token")).withColumn("meant", F.lower("fixed"))
+    counts = decoded.where("kind = 'count'").groupBy("lang", F.col("token").alias("meant")).agg(F.sum("n").alias("other"))
+    tried = unsure.groupBy("lang", "low", "meant").agg(F.count("*").alias("own")).join(counts, ["lang", "meant"], "left")
+    wrong = tried.where(F.col("own") <= F.greatest(F.lit(2.0), right_share * F.coalesce("other", F.lit(0)))).select("lang", "low", "meant")
+    columns = ("tbl", "id", "region_id", "fault", "token", "fixed")
+    faulty = unsure.join(wrong, ["lang", "low", "meant"], "left_semi").select(*columns)
+    furniture = repeated.where(~F.col("item")).select("line_id", "region_id").unionByName(decoded.where("kind = 'furniture' and tbl = 'line'").select(F.col("id").alias("line_id"), "region_id"))
+    return Judged(furniture, bad, ends, over, faulty.unionByName(seen.where("fault not in ('misread', 'split')").select(*columns)))
 
 
 def faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float = RIGHT_SHARE) -> DataFrame:
@@ -515,8 +687,10 @@ def faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFr
     Lines and regions delivered twice count once. Regions and items that are no prose are left out; tables, titles
     and captions have furniture only, and so has text in languages without a lexicon. Null texts hold nothing."""
     made = judged_faults(lines, regions, books, items, lexicon, form_labels, right_share)
-    of_lines = made.furniture.join(made.bad_regions, "region_id", "left_anti").select(F.lit("line").alias("tbl"), F.col("line_id").alias("id"), F.lit("furniture").alias("fault"), F.lit("").alias("fixed"))
-    return made.faults.select("tbl", "id", "fault", "fixed").unionByName(of_lines).distinct()
+    bad_regions = made.bad.where("tbl = 'region'").select(F.col("id").alias("region_id"))
+    of_lines = made.furniture.join(bad_regions, "region_id", "left_anti").select(F.lit("line").alias("tbl"), F.col("line_id").alias("id"), F.lit("furniture").alias("fault"), F.lit("").alias("fixed"))
+    of_words = made.faults.where("fault in ('hyphen', 'misread') or fault = 'furniture' and tbl = 'item'").select("tbl", "id", "fault", "fixed")
+    return of_words.unionByName(of_lines).distinct()
 
 
 def usual_length(lines: list[str]) -> int:
@@ -561,14 +735,24 @@ def paragraph_starts(lines: list[str], usual: list[int] | None = None, whole: se
     return out[::-1]
 
 
-#: Of a line: misread words with what was meant, and cut words, (left, right), with the whole.
-Fixes = tuple[dict[str, str], dict[tuple[str, str], str]]
+@dataclass
+class Fixes:
+    """Of a line: words with what was meant, cut words (left, right) with the whole, and words with a space in them."""
+
+    words: dict[str, str]
+    cut: dict[tuple[str, str], str]
+    merged: dict[tuple[str, str], str]
+
+    def mended(self, text: str) -> str:
+        for (left, right), whole in self.merged.items():
+            text = re.sub(rf"(?<![^\W_]){re.escape(left)} {re.escape(right)}(?![^\W_])", lambda _, w=whole: w, text)
+        return _WORD.sub(lambda m: self.words.get(m.group(), m.group()), text) if self.words else text
 
 
 def fixes_of(faults: list[tuple[str, str, str]]) -> Fixes:
     """`faults` are (fault, token, fixed)."""
-    cut = {tuple(token.split("|", 1)): fixed for fault, token, fixed in faults if fault == "hyphen"}
-    return {token: fixed for fault, token, fixed in faults if fault == "misread"}, cut
+    two = {kind: {tuple(token.split("|", 1)): fixed for fault, token, fixed in faults if fault == kind} for kind in ("hyphen", "merge")}
+    return Fixes({token: fixed for fault, token, fixed in faults if fault in ("misread", "split")}, two["hyphen"], two["merge"])
 
 
 def whole_paragraphs(texts: list[str], fixes: list[Fixes], usual: list[int] | None = None, lang: str | None = None) -> list[tuple[int, str]]:
@@ -581,14 +765,14 @@ def whole_paragraphs(texts: list[str], fixes: list[Fixes], usual: list[int] | No
         tokens = _WORD.findall(text)
         if not tokens:
             continue
-        if held is not None and text.startswith(tokens[0]) and (whole := fixes[held[0]][1].get((held[1], tokens[0]))) is not None:
+        if held is not None and text.startswith(tokens[0]) and (whole := fixes[held[0]].cut.get((held[1], tokens[0]))) is not None:
             ends[held[0]], wholes[held[0]], starts[k] = texts[held[0]].rindex(held[1]), whole, len(tokens[0])
             inside.update(range(held[0] + 1, k + 1))
         held = (k, tokens[-1]) if len(tokens) > 1 or not starts[k] else None
     breaks = set(paragraph_starts(texts, usual, inside, lang))
     out: list[tuple[int, list[str]]] = []
     for k, text in enumerate(texts):
-        mended = _WORD.sub(lambda m, known=fixes[k][0]: known.get(m.group(), m.group()), text[starts[k] : ends[k]]) + wholes[k]
+        mended = fixes[k].mended(text[starts[k] : ends[k]]) + wholes[k]
         if k in breaks:
             out.append((k, [mended]))
         else:
@@ -597,21 +781,26 @@ def whole_paragraphs(texts: list[str], fixes: list[Fixes], usual: list[int] | No
     return [(k, text) for k, text in made if text]
 
 
-def repaired_text(lines: list[tuple[int, str]], words: Words | None) -> list[str]:
-    """The paragraphs of lines (id, text), with every fault that is decoded put right."""
-    found = decode(lines, words, Counter()).faults if words else []
-    of = [fixes_of([f[1:] for f in found if f[0] == at]) for at, _ in lines]
-    return [text for _, text in whole_paragraphs([t for _, t in lines], of)]
+def decoded_texts(lines: list[str], lexicon: Lexicon, lang: str, open_ends: bool = False) -> Found:
+    """`decode` of the lines of one stream."""
+    whole, codes, lengths = code_points(lines)
+    n = len(lines)
+    return decode(whole, codes, lengths, np.zeros(n, np.int64), np.full(n, lexicon.langs.index(lang)), np.array([open_ends]), lexicon)
+
+
+def repaired_text(lines: list[str], lexicon: Lexicon, lang: str) -> list[str]:
+    """The paragraphs of lines, with every fault that is decoded put right."""
+    found = decoded_texts(lines, lexicon, lang).faults
+    return [text for _, text in whole_paragraphs(lines, [fixes_of([f[1:] for f in found if f[0] == k]) for k in range(len(lines))], lang=lang)]
 
 
-def chains(decoded: DataFrame, over: DataFrame) -> DataFrame:
+def chains(ends: DataFrame, over: DataFrame) -> DataFrame:
     """(region_id, chain, usual): each text region with the region in which the run of text begins that it goes on with,
     and the length of a full line, which short regions take from their page. A run ends where a paragraph does, so a region
     begins one if a break costs nothing there and no cut word spans it."""
-    kinds = ("begins", "ends", "length", "usual", "lines")
-    ends = decoded.where(F.col("kind").isin(*kinds)).groupBy("book", "page", "ord", "region_id").agg(*(F.max(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in kinds))
+    of_run = [F.get("counts", F.lit(i)).alias(c) for i, c in enumerate(("begins", "ends", "length", "usual", "lines"))]
     of_page = F.max("usual").over(Window.partitionBy("book", "page"))
-    ends = ends.withColumn("usual", F.when(F.col("lines") < FEW_LINES, of_page).otherwise(F.col("usual")))
+    ends = ends.select("book", "page", "ord", "region_id", *of_run).withColumn("usual", F.when(F.col("lines") < FEW_LINES, of_page).otherwise(F.col("usual")))
     ends = ends.withColumn("ends", F.col("ends") + FULL_COST * F.least(F.lit(1.0), F.col("length") / F.greatest(F.lit(1), F.col("usual"))) - BREAK_GAIN)
     joined = over.where("kind = 'joined'").select("region_id", F.lit(True).alias("joined")).distinct()
     here = Window.partitionBy("book", "page").orderBy("ord", "region_id")
@@ -640,11 +829,11 @@ def _fix_list(rows: list[dict] | None) -> Fixes:
     return fixes_of([(r["fault"], r["token"], r["fixed"]) for r in rows or ()])
 
 
-def line_paragraphs(made: Judged) -> DataFrame:
+def line_paragraphs(made: Judged, streams: DataFrame) -> DataFrame:
     """PARAGRAPHS of the streams of lines; a paragraph stands at the region in which it begins."""
-    fixes = made.faults.where("tbl = 'line' and fault in ('hyphen', 'misread')").groupBy("region_id").agg(F.collect_set(F.struct("id", "fault", "token", "fixed")).alias("fixes"))
-    of_region = chains(made.decoded, made.over).join(fixes, "region_id", "full_outer")
-    text = made.streams.join(of_region, "region_id", "left").withColumn("fixes", F.expr("filter(fixes, f -> f.id = line_id)")).withColumn("chain", F.coalesce("chain", "region_id"))
+    fixes = made.faults.where("tbl = 'line' and fault <> 'furniture'").groupBy("region_id").agg(F.collect_set(F.struct("id", "fault", "token", "fixed")).alias("fixes"))
+    of_region = chains(made.ends, made.over).join(fixes, "region_id", "full_outer")
+    text = streams.join(of_region, "region_id", "left").withColumn("fixes", F.expr("filter(fixes, f -> f.id = line_id)")).withColumn("chain", F.coalesce("chain", "region_id"))
     text = text.repartition("chain").sortWithinPartitions("chain", "page", "ord", "region_id", "line_no", "line_id")
     columns = ("chain", "region_id", "line_id", "book", "page", "lang", "text", "fixes", "usual")
 
@@ -682,9 +871,9 @@ def line_paragraphs(made: Judged) -> DataFrame:
 
 def item_paragraphs(made: Judged, items: DataFrame, books: DataFrame) -> DataFrame:
     """PARAGRAPHS of the items that are not standalone, each one paragraph."""
-    langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
     fixes = made.faults.where("tbl = 'item'").groupBy("id").agg(F.collect_set(F.struct("fault", "token", "fixed")).alias("fixes"))
-    full = prose_items(items, made.bad_items).join(langs, "book", "left").join(fixes, "id", "left")
+    bad = made.bad.where("tbl = 'item'").select("id")
+    full = prose_items(items, books).join(bad, "id", "left_anti").join(fixes, "id", "left")
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -704,6 +893,8 @@ def item_paragraphs(made: Judged, items: DataFrame, books: DataFrame) -> DataFra
 def repaired_paragraphs(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float = RIGHT_SHARE) -> DataFrame:
     """(book, page, region_id, item_id, par_no, text): the continuous paragraphs of lines, going on over text regions and
     pages, and of items, without furniture, in every language; words are repaired where p5_found has a fault."""
-    made = judged_faults(lines, regions, books, items, lexicon, form_labels, right_share, every_lang=True)
+    made = judged_faults(lines, regions, books, items, lexicon, form_labels, right_share, runs=True)
     made.faults = checkpointed(made.faults)
-    return line_paragraphs(made).unionByName(item_paragraphs(made, items, books))
+    bad = made.bad.where("tbl = 'region'").select(F.col("id").alias("region_id"))
+    streams = region_lines(lines, regions.join(bad, "region_id", "left_anti"), books, made.furniture).where("not out and book is not null").where(~F.coalesce(F.col("kind").isin(*NO_TEXT), F.lit(False)))
+    return line_paragraphs(made, streams).unionByName(item_paragraphs(made, items, books))
