@@ -1,11 +1,11 @@
 """Problem 4: where each sentence ends, in ten languages and seven scripts, in SQL expressions only.
 
 Full stops that end nothing (decimals, dates, initials, abbreviations, addresses, marks in brackets) give way to
-private-use characters, one for one; then a terminator pattern of the language's script marks the ends and the
-text is split there. As the placeholders are as long as what they stand for, the lengths of the pieces are the
-positions in the text itself, from which every sentence is restored by a substring. Lines are seen together with
-the beginning of the line that follows in their region, which decides whether a mark at a line's end ends a
-sentence. The only shuffle brings a sidebar's lines together.
+private-use characters, one for one, which in the text itself give way to others first; then a terminator pattern of the
+language's script marks the ends and the text is split there. As the placeholders are as long as what they stand for,
+the lengths of the pieces are the positions in the text itself, from which every sentence is restored by a
+substring. Lines are seen together with the line that follows in their region, which decides whether a mark at a line's
+end ends a sentence, and know whether a bracket is open where they begin. The only shuffle brings a sidebar's lines together.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MASK, CUT = "", ""
-#: Characters of the following line that are looked at.
-AHEAD = 80
+MASK, CUT = "\ue000", "\ue001"
+#: What stands for the placeholders where a text holds them itself; it is no letter, space or mark either.
+NO_PLACEHOLDER = "\ufffd"
 
 # Abbreviations that never end a sentence, and such that do where a capital follows.
 NEVER_LAST = (
@@ -23,7 +23,8 @@ NEVER_LAST = (
     "n", "s", "m", "i", "j", "z", "d", "c", "e\\.g", "i\\.e", "u\\.a", "z\\.B", "d\\.h", "kap", "hr", "fr", "sog", "bes", "geb", "éd", "av", "apr", "π", "π\\.χ", "δηλ", "βλ", "κ", "σ", "δρ", "αγ", "د", "डॉ", "श्री",
 )
 HUNGARIAN_NEVER_LAST = ("özv", "ifj", "id", "ún", "ill", "ld", "pl", "kb", "vö", "kr", "sz", "szt", "gr", "fej", "old", "szerk", "ford", "hl")
-BRACKETED = r"[.!?…](?=[^()\[\]]{0,80}[)\]])"
+# Marks that end no sentence inside brackets.
+MARKS = ".!?…"
 # every pattern begins with the full stop itself, so that the look-behind is only tried there
 _NUMBERED = r"\.(?<=\p{Nd}\.)(?=\s*\p{Nd})"
 _SHORT = r"\.(?<=(?<![\p{L}\p{M}\p{Nd}])(?iu:%s)\.)"
@@ -35,8 +36,15 @@ _INITIAL = r"\.(?<=(?<![\p{L}\p{M}\p{Nd}])\p{Lu}\.)(?=[\s-]*\p{Lu})"
 _ADDRESS = r"\.(?<=[\p{L}\p{Nd}]\.)(?=[a-z]{2,}(?:[/.]|\b)(?![\p{Lu}]))"
 _OPENERS = "„“”\"‚‘«»\\-–—(\\[¿¡"
 _CASED_NEXT = rf"(?=\s*\z|\s+[{_OPENERS}]*\s*[^\p{{Ll}}\s{_OPENERS}]|[\p{{Lu}}„])"
-# Words that begin a German sentence, as nouns are capitals there too.
-GERMAN_STARTS = "Der|Die|Das|Den|Dem|Ein|Eine|In|Im|Mit|Unter|Vor|Neben|Bei|Hinter|Auf|Aus|Von|Zu|Zur|Zum|Heute|Dort|Hier|Oft|Bald|Immer|Wieder|Still|Gern|Langsam|Jetzt|Zusammen|Dann|Nun|Noch|Da|Es|Er|Sie|Wir|Als|Wenn|Weil"
+# German words of the closed classes (articles, pronouns, prepositions, conjunctions, adverbs of place, time
+# and manner), capitals only where a sentence begins; nouns are capitals there too.
+GERMAN_STARTS = "|".join("""
+Der Die Das Des Dem Den Ein Eine Einer Einem Einen Eines Kein Keine Dieser Diese Dieses Diesem Diesen Jener Jene Jenes Jeder Jede Jedes Alle Manche Viele Einige Beide
+Ich Du Er Sie Es Wir Ihr Man Wer Was Wem Wen Mein Meine Dein Deine Sein Seine Unser Unsere Ihre Wo Wann Warum Wie Woher Wohin
+In Im An Am Auf Aus Bei Beim Bis Durch Für Gegen Hinter Mit Nach Neben Ohne Seit Über Um Unter Von Vom Vor Während Wegen Trotz Zu Zum Zur Zwischen
+Und Oder Aber Denn Doch Sondern Als Wenn Weil Da Dass Ob Obwohl Nachdem Bevor Damit Sobald Solange Falls Sofern
+Dann Dort Hier Heute Gestern Jetzt Nun Noch Schon Oft Immer Bald Wieder Manchmal Endlich Zuletzt Vielleicht Auch Nur So Sehr Nicht Still Gern Langsam Zusammen
+""".split())
 _LATIN_END = r"([.!?…]+[”“\"»«’'\]]*)" + _CASED_NEXT
 _GREEK_END = r"([.!?…;\x{037E}]+[”“\"»«’'\]]*)" + _CASED_NEXT
 _FRENCH_END = r"([.!?…]+(?:[\s\x{A0}\x{202F}]?»|[”“\"’'\]])*)" + _CASED_NEXT
@@ -57,13 +65,28 @@ def _replaced(text: Column, *patterns: str) -> Column:
     return text
 
 
-def with_ends(rows: DataFrame, text: Column, lang: Column) -> DataFrame:
+def masked_brackets(text: Column, opened: Column) -> Column:
+    """The text with the marks in brackets that are closed again masked; `opened` tells whether a bracket is open where the
+    text begins. The text is cut at its brackets once, however long it is."""
+    start = F.struct(F.when(opened, 1).otherwise(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+
+    def step(state: Column, piece: Column) -> Column:
+        inside = state["depth"] + F.when(piece.rlike(r"^[(\[]"), 1).otherwise(0)
+        closes = piece.rlike(r"[)\]]\z")
+        shown = F.when(closes & (inside > 0), F.translate(piece, MARKS, MASK * len(MARKS))).otherwise(piece)
+        return F.struct(F.greatest(F.lit(0), inside - F.when(closes, 1).otherwise(0)).alias("depth"), F.array_append(state["out"], shown).alias("out"))
+
+    whole = F.aggregate(F.split(text, r"(?<=[)\]])|(?=[(\[])"), start, step, lambda x: F.array_join(x["out"], ""))
+    return F.when(text.rlike(r"[)\]]"), whole).otherwise(text)
+
+
+def with_ends(rows: DataFrame, text: Column, lang: Column, opened: Column) -> DataFrame:
     """`rows` with `marked`: code points of `text` up to and with the last one of each sentence that a mark ends.
 
     The steps are columns of their own, so that no pattern is compiled into more than one branch."""
     both = "$1$2" + CUT
-    stops = ("_bracketed", *(f"_masked{i}" for i in range(1, 4)))
-    out = rows.withColumn("_lang", lang).withColumn("_bracketed", _replaced(text, BRACKETED))
+    stops = ("_own", "_bracketed", *(f"_masked{i}" for i in range(1, 4)))
+    out = rows.withColumn("_lang", lang).withColumn("_own", F.translate(text, MASK + CUT, NO_PLACEHOLDER * 2)).withColumn("_bracketed", masked_brackets(F.col("_own"), opened))
     dotted = F.col("_bracketed").contains(".")
     out = out.withColumn("_masked1", F.when(dotted, _replaced(F.col("_bracketed"), _NUMBERED, _ABBREVIATED)).otherwise(F.col("_bracketed")))
     out = out.withColumn("_masked2", F.when(dotted, _replaced(F.col("_masked1"), _ERA, _TWO_LETTER, _INITIAL, _ADDRESS)).otherwise(F.col("_masked1")))
@@ -83,34 +106,60 @@ def with_ends(rows: DataFrame, text: Column, lang: Column) -> DataFrame:
 
 
 def sentence_ends(rows: DataFrame) -> DataFrame:
-    """(tbl, id, end_pos): one row per sentence end of `rows` (tbl, id, lang, text, following).
+    """(tbl, id, end_pos): one row per sentence end of `rows` (tbl, id, lang, text, following, opened).
+
+    `following` is what comes after the text, null where nothing does, `opened` whether a bracket is open before it; a last
+    sentence without a mark ends with a text of tbl 'item', and, in Thai, with the last line of a region. Null,
+    empty and blank texts have no ends; an unknown or null language is read as Latin script; rows that occur twice count
+    once."""
+    return ends_of(rows.where("id is not null")).select("tbl", "id", F.explode("ends").alias("end_pos")).distinct()
+
 
-    `following` is what comes after the text, null where nothing does; a last sentence without a mark ends with a
-    text of tbl 'item', and, in Thai, with the last line of a region. Null, empty and blank texts have no ends; an
-    unknown or null language is read as Latin script; rows that occur twice count once."""
-    whole = F.coalesce(F.concat(F.col("text"), F.lit("\n"), F.substring("following", 1, AHEAD)), F.col("text"))
+def ends_of(rows: DataFrame) -> DataFrame:
+    """`rows` that are not blank with `ends`, the positions of sentence ends in order."""
+    whole = F.coalesce(F.concat(F.col("text"), F.lit("\n"), F.col("following")), F.col("text"))
     visible = F.length(F.regexp_replace("text", r"[\s\x{A0}\x{3000}\x{200B}]+\z", ""))
-    made = rows.where("id is not null and text is not null").withColumn("lang", F.coalesce("lang", F.lit("und"))).withColumn("visible", visible).where("visible > 0")
-    made = with_ends(made, whole, F.col("lang"))
+    made = rows.where("text is not null").withColumn("lang", F.coalesce("lang", F.lit("und"))).withColumn("visible", visible).where("visible > 0")
+    made = with_ends(made, whole, F.col("lang"), F.coalesce("opened", F.lit(False)))
     marked = F.filter("marked", lambda e: e <= F.col("visible"))
     closes = (F.col("tbl") == "item") | ((F.col("lang") == "tha") & F.col("following").isNull())
     ends = F.array_distinct(F.concat(marked, F.when(closes, F.array("visible")).otherwise(F.array().cast("array<int>"))))
-    return made.select("tbl", "id", F.explode(ends).alias("end_pos")).distinct()
+    return made.withColumn("ends", ends).drop("marked")
 
 
 def sidebar_lines(lines: DataFrame, regions: DataFrame, books: DataFrame) -> DataFrame:
-    """(tbl, id, lang, text, following) of the lines in regions of kind sidebar, each line once."""
+    """(tbl, id, lang, text, following, opened, region_id, line_no) of the lines in regions of kind sidebar, each line once."""
     sidebars = regions.where("region_id is not null").groupBy("region_id").agg(F.min("kind").alias("kind")).where("kind = 'sidebar'").select("region_id")
     kept = lines.select("line_id", "region_id", "book", "line_no", "text", "read_at").join(sidebars, "region_id")
     once = kept.groupBy("region_id", "line_id").agg(F.max_by(F.struct("book", "line_no", "text"), F.struct("read_at", "text")).alias("line")).select("region_id", "line_id", "line.*")
     order = Window.partitionBy("region_id").orderBy(F.col("line_no").asc_nulls_last(), "line_id")
     langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
-    seen = once.withColumn("following", F.lead("text").over(order))
-    return seen.join(langs, "book", "left").select(F.lit("line").alias("tbl"), F.col("line_id").alias("id"), "lang", "text", "following")
+    opened = F.coalesce(F.lag("text").over(order).rlike(r"[(\[][^)\]]*\z"), F.lit(False))
+    seen = once.withColumn("following", F.lead("text").over(order)).withColumn("opened", opened)
+    return seen.join(langs, "book", "left").select(F.lit("line").alias("tbl"), F.col("line_id").alias("id"), "lang", "text", "following", "opened", "region_id", "line_no")
 
 
 def standalone_items(items: DataFrame, books: DataFrame) -> DataFrame:
-    """(tbl, id, lang, text, following) of the standalone paragraphs."""
+    """(tbl, id, lang, text, following, opened, region_id, line_no) of the standalone paragraphs."""
     langs = books.where("book is not null").groupBy("book").agg(F.min("lang").alias("lang"))
     kept = items.where("type = 'para' and standalone").join(langs, "book", "left")
-    return kept.select(F.lit("item").alias("tbl"), F.col("item_id").alias("id"), "lang", "text", F.lit(None).cast("string").alias("following"))
+    nothing = (F.lit(None).cast("string").alias("following"), F.lit(False).alias("opened"), F.lit(None).cast("long").alias("region_id"), F.lit(None).cast("int").alias("line_no"))
+    return kept.select(F.lit("item").alias("tbl"), F.col("item_id").alias("id"), "lang", "text", *nothing)
+
+
+def sentence_units(rows: DataFrame) -> DataFrame:
+    """(tbl, id, sentence_no, text): the sentences of each item, and of each sidebar (tbl 'region', id its region_id), over
+    whose lines they go on; their texts make up the whole text but for white space at either end of each.
+
+    Only the lines of one region are brought together. What follows the last end, in a sidebar whose last sentence has no
+    mark, is a sentence too; texts without any visible character have none."""
+    made = ends_of(rows)
+    of_items = made.where("tbl = 'item' and id is not null").select("tbl", "id", "text", "ends")
+    lines = made.where("tbl = 'line' and region_id is not null").groupBy("region_id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("line_no", F.lit(2**31 - 1)).alias("line_no"), "id", "text", "ends"))).alias("l"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
+    sums = F.aggregate("l", start, lambda a, x: F.struct((a["at"] + F.length(x["text"]) + 1).alias("at"), F.concat(a["ends"], F.transform(x["ends"], lambda e: (e + a["at"]).cast("int"))).alias("ends")), lambda a: a["ends"])
+    of_regions = lines.select(F.lit("region").alias("tbl"), F.col("region_id").alias("id"), F.array_join(F.col("l.text"), "\n").alias("text"), sums.alias("ends"))
+    both = of_items.unionByName(of_regions).withColumn("ends", F.array_distinct(F.array_append("ends", F.length("text"))))
+    cut = F.transform("ends", lambda e, k: F.struct(F.when(k == 0, 0).otherwise(F.get(F.col("ends"), k - 1)).alias("a"), e.alias("b")))
+    parts = F.filter(F.transform(cut, lambda c: F.regexp_replace(F.substring(F.col("text"), c["a"] + 1, c["b"] - c["a"]), r"^[\s\x{A0}\x{3000}\x{200B}]+|[\s\x{A0}\x{3000}\x{200B}]+\z", "")), lambda x: x != "")
+    return both.select("tbl", "id", F.posexplode(parts).alias("sentence_no", "text"))

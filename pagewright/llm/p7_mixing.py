@@ -3,10 +3,10 @@
 A text that stands in several sources can be counted for any of them. Texts are grouped by the set of sources
 they stand in, their tokens added up, and the tokens routed from these patterns to the sources' quotas by
 min-cost flow, where the second use of a text costs more than the first and the third more than the second.
-The network has a node per pattern and source, none per document. Documents are then picked in seeded order. Where a
-pattern has many texts, the tokens of its hash buckets are summed, and only the bucket in which a route's tokens
-run out is ordered text by text; the error of one text does not show there. A pattern with at most FEW texts is
-filled text by text in one task, passing over texts that no longer fit.
+The network has a node per pattern and source, none per document. Documents are then picked in seeded order, by one rule
+at every size: the texts of a pattern are hashed into buckets of about BUCKET_TEXTS, the routes of a pattern take their
+stretches of the circle of its buckets, a bucket wholly inside a stretch is taken in SQL, and a bucket in which
+one begins or ends is filled text by text, passing over texts that no longer fit.
 """
 
 from __future__ import annotations
@@ -21,57 +21,98 @@ from .tables import checkpointed
 from .tokens import TOKENIZER, token_counts
 
 SEED = 42
-BUCKETS = 4096
-#: Most texts of a pattern that one task fills; 64 bytes each.
-FEW = 20_000
-#: Patterns of sources that the network takes one by one; texts of rarer patterns count for their first source only.
-MAX_PATTERNS = 5000
+#: Texts of a pattern that share a bucket, which one task fills.
+BUCKET_TEXTS = 2000
+#: Most patterns of sources that the driver's network takes; more are refused, not cut.
+MAX_PATTERNS = 1_000_000
 MIX = "source string, doc_id long, repeats int, n_tokens long"
 
 
 class MinCostFlow:
-    """Successive shortest paths on a small network with whole capacities and costs."""
+    """A network with whole capacities and small whole costs: for each distance of the sink in turn, as much as possible
+    over all shortest paths at once."""
 
     def __init__(self) -> None:
         self.ends: list[int] = []
         self.room: list[int] = []
         self.cost: list[int] = []
-        self.arcs: dict[int, list[int]] = {}
+        self.arcs: list[list[int]] = []
 
     def arc(self, a: int, b: int, room: int, cost: int = 0) -> int:
+        while len(self.arcs) <= max(a, b):
+            self.arcs.append([])
         for start, end, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
-            self.arcs.setdefault(start, []).append(len(self.ends))
+            self.arcs[start].append(len(self.ends))
             self.ends.append(end)
             self.room.append(r)
             self.cost.append(c)
         return len(self.ends) - 2
 
-    def send(self, source: int, sink: int, most: int | float = math.inf) -> int:
+    def _distances(self, source: int) -> list[float]:
+        far = [math.inf] * len(self.arcs)
+        far[source] = 0
+        waiting, queued = deque([source]), {source}
+        while waiting:
+            a = waiting.popleft()
+            queued.discard(a)
+            for i in self.arcs[a]:
+                b = self.ends[i]
+                if self.room[i] and far[a] + self.cost[i] < far[b]:
+                    far[b] = far[a] + self.cost[i]
+                    if b not in queued:
+                        queued.add(b)
+                        waiting.append(b)
+        return far
+
+    def _levels(self, source: int, far: list[float]) -> list[int]:
+        level = [-1] * len(self.arcs)
+        level[source] = 0
+        waiting = deque([source])
+        while waiting:
+            a = waiting.popleft()
+            for i in self.arcs[a]:
+                b = self.ends[i]
+                if self.room[i] and level[b] < 0 and far[a] + self.cost[i] == far[b]:
+                    level[b] = level[a] + 1
+                    waiting.append(b)
+        return level
+
+    def _push(self, source: int, sink: int, far: list[float], level: list[int]) -> int:
+        """What can be sent over arcs of shortest paths that lead one level on, until each such path has a full arc."""
+        sent, at, path = 0, [0] * len(self.arcs), []
+        a = source
+        while True:
+            if a == sink:
+                amount = min(self.room[i] for i in path)
+                sent += amount
+                for i in path:
+                    self.room[i] -= amount
+                    self.room[i ^ 1] += amount
+                back = next(k for k, i in enumerate(path) if not self.room[i])
+                a = self.ends[path[back] ^ 1]
+                del path[back:]
+                continue
+            while at[a] < len(self.arcs[a]):
+                i = self.arcs[a][at[a]]
+                b = self.ends[i]
+                if self.room[i] and level[b] == level[a] + 1 and far[a] + self.cost[i] == far[b]:
+                    break
+                at[a] += 1
+            else:
+                if not path:
+                    return sent
+                a = self.ends[path.pop() ^ 1]
+                at[a] += 1
+                continue
+            path.append(i)
+            a = b
+
+    def send(self, source: int, sink: int) -> int:
         """As much as possible, at the least cost; the amount sent."""
         sent = 0
-        while sent < most:
-            far, by, waiting, queued = {source: 0}, {}, deque([source]), {source}
-            while waiting:
-                a = waiting.popleft()
-                queued.discard(a)
-                for i in self.arcs.get(a, ()):
-                    b = self.ends[i]
-                    if self.room[i] and far[a] + self.cost[i] < far.get(b, math.inf):
-                        far[b], by[b] = far[a] + self.cost[i], i
-                        if b not in queued:
-                            queued.add(b)
-                            waiting.append(b)
-            if sink not in far:
-                break
-            path, at = [], sink
-            while at != source:
-                path.append(by[at])
-                at = self.ends[by[at] ^ 1]
-            amount = int(min(most - sent, *(self.room[i] for i in path)))
-            for i in path:
-                self.room[i] -= amount
-                self.room[i ^ 1] += amount
-            sent += amount
+        while len(self.arcs) > max(source, sink) and math.isfinite((far := self._distances(source))[sink]):
+            while (level := self._levels(source, far))[sink] >= 0:
+                sent += self._push(source, sink, far, level)
         return sent
 
     def used(self, arc: int) -> int:
@@ -96,16 +137,34 @@ def routes(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repea
     return {k: net.used(i) for k, i in out.items() if net.used(i)}
 
 
+def reaches(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int], total: float) -> bool:
+    """Whether every source can get its share of the total, at whatever cost."""
+    net, sources = MinCostFlow(), sorted(shares)
+    place = {s: i + 2 for i, s in enumerate(sources)}
+    for k, (pattern, tokens) in enumerate(sorted(patterns.items())):
+        node = len(sources) + 2 + k
+        net.arc(0, node, tokens * max((repeats[s] for s in pattern), default=0))
+        for s in pattern:
+            if s in place:
+                net.arc(node, place[s], tokens * repeats[s])
+    quotas = {s: round(shares[s] * total) for s in sources}
+    for s in sources:
+        net.arc(place[s], 1, quotas[s])
+    return net.send(0, 1) == sum(quotas.values())
+
+
 def largest_total(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int]) -> int:
     """The most tokens at which every source that has any documents still reaches its share of the total."""
     stocked = {s for pattern, tokens in patterns.items() for s in pattern if tokens > 0}
     wanted = {s: x for s, x in shares.items() if s in stocked and x > 0}
     low, high = 0, sum(t * max((repeats[s] for s in p), default=0) for p, t in patterns.items())
     high = int(high / sum(wanted.values())) + 1 if wanted else 0
+    # no source has more than all of its texts give
+    own = {s: sum(t * repeats[s] for p, t in patterns.items() if s in p) for s in wanted}
+    high = min([high, *(int(own[s] / x) + 1 for s, x in wanted.items())])
     while low < high:
         middle = (low + high + 1) // 2
-        quota = sum(round(x * middle) for x in wanted.values())
-        if sum(routes(patterns, wanted | {s: 0.0 for s in shares if s not in wanted}, repeats, middle).values()) == quota:
+        if reaches(patterns, wanted, repeats, middle):
             low = middle
         else:
             high = middle - 1
@@ -123,11 +182,6 @@ def _texts(documents: DataFrame, sources: list[str], tokenizer: str) -> DataFram
     return grouped.withColumn("pattern", F.transform("docs", lambda x: x["source"]))
 
 
-def _uses(tokens: int, texts: int) -> tuple[int, int]:
-    """How often all texts of a route are used, and the tokens that are left for one more use of some."""
-    return (tokens // texts, tokens % texts) if texts else (0, 0)
-
-
 def mixture(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED, tokenizer: str = TOKENIZER) -> DataFrame:
     """(source, doc_id, repeats, n_tokens): the chosen documents with the source they count for, how often they are
     used, and the tokens of one use.
@@ -147,24 +201,16 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: int | None =
     if not rows:
         return spark.createDataFrame([], MIX)
     texts = checkpointed(_texts(documents, sorted(shares), tokenizer))
-    listed = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("tokens")).orderBy(F.desc("tokens"), "pattern").limit(MAX_PATTERNS).collect()
+    listed = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("texts")).limit(MAX_PATTERNS + 1).collect()
+    if len(listed) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} combinations of sources")
     patterns = {tuple(r.pattern): r.tokens for r in listed}
-    rare = None
-    if len(listed) == MAX_PATTERNS:  # the rest counts for its first source
-        known = spark.createDataFrame([(list(p),) for p in patterns], "pattern array<string>")
-        rare = texts.join(F.broadcast(known), "pattern", "left_anti")
-        for r in rare.groupBy(F.col("pattern")[0].alias("source")).agg(F.sum("n_tokens").alias("tokens")).collect():
-            patterns[(r.source,)] = patterns.get((r.source,), 0) + r.tokens
-        texts = texts.join(F.broadcast(known.withColumn("listed", F.lit(True))), "pattern", "left").withColumn("pattern", F.when(F.col("listed"), F.col("pattern")).otherwise(F.slice("pattern", 1, 1))).drop("listed")
     if total_tokens is None:
         total_tokens = largest_total(patterns, shares, repeats)
     flows = routes(patterns, shares, repeats, total_tokens)
-    few = {tuple(r.pattern) for r in texts.groupBy("pattern").count().where(F.col("count") <= FEW).collect()}  # at most MAX_PATTERNS and the sources
-    chosen = {many: {k: v for k, v in flows.items() if (k[0] not in few) == many} for many in (False, True)}
-    drawn = [make(texts, patterns, chosen[many], repeats, seed) for many, make in ((False, _filled), (True, _drawn)) if chosen[many]]
-    if not drawn:
+    if not flows:
         return spark.createDataFrame([], MIX)
-    return drawn[0] if len(drawn) == 1 else drawn[0].unionByName(drawn[1])
+    return _drawn(texts, {tuple(r.pattern): r.texts for r in listed}, patterns, flows, repeats, seed)
 
 
 def fill(sizes: list[int], needs: list[tuple[str, int, int]]) -> list[tuple[int, str, int]]:
@@ -187,58 +233,43 @@ def fill(sizes: list[int], needs: list[tuple[str, int, int]]) -> list[tuple[int,
     return [(i, source, n) for (i, source), n in sorted(uses.items())]
 
 
-def _filled(texts: DataFrame, patterns: dict, flows: dict, repeats: dict[str, int], seed: int) -> DataFrame:
-    """Texts of the patterns with at most FEW of them, by `fill`."""
-    needs: dict[tuple[str, ...], list[tuple[str, int, int]]] = {}
+def _drawn(texts: DataFrame, numbers: dict, patterns: dict, flows: dict, repeats: dict[str, int], seed: int) -> DataFrame:
+    """The texts that each route takes and how often: all of a pattern's texts as often as its tokens fill, and those in
+    its own stretch of the circle of buckets once more."""
+    spark = texts.sparkSession
+    plan, begins = [], {}
     for (pattern, source), tokens in sorted(flows.items()):
-        needs.setdefault(pattern, []).append((source, tokens, repeats[source]))
+        every, rest = divmod(tokens, patterns[pattern])
+        begin = begins.get(pattern, 0)
+        begins[pattern] = begin + rest
+        plan.append((list(pattern), source, repeats[source], every, begin % patterns[pattern], begin % patterns[pattern] + rest, -(-numbers[pattern] // BUCKET_TEXTS), patterns[pattern]))
+    routed = F.broadcast(spark.createDataFrame(plan, "pattern array<string>, source string, most int, every int, begin long, end long, buckets int, all long"))  # routes: at most MAX_PATTERNS times their sources
+    hashed = texts.withColumn("u", F.xxhash64("h", "size", F.lit(seed)))
+    counts = routed.groupBy("pattern").agg(F.max("buckets").alias("buckets"))
+    ordered = hashed.join(F.broadcast(counts), "pattern").withColumn("bucket", F.pmod("u", F.col("buckets").cast("long")).cast("int")).drop("buckets")
+    sums = ordered.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("tokens"))
+    before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumn("a", F.coalesce(F.sum("tokens").over(before), F.lit(0))).withColumn("b", F.col("a") + F.col("tokens"))  # a row per bucket
+    common = lambda lap: F.greatest(F.lit(0), F.least(F.col("b") + lap, F.col("end")) - F.greatest(F.col("a") + lap, F.col("begin")))
+    needs = placed.join(routed, "pattern").withColumn("once_more", common(F.lit(0)) + common(F.col("all")))
+    needs = needs.where("every > 0 or once_more > 0").select("pattern", "bucket", F.struct("source", "most", "every", "once_more").alias("need"), F.col("once_more").isin(0, F.col("tokens")).alias("whole"))
+    needs = needs.groupBy("pattern", "bucket").agg(F.sort_array(F.collect_list("need")).alias("needs"), F.min("whole").alias("whole"), F.count("*").alias("_n")).drop("_n")  # at most a pattern's sources
+    each = ordered.join(needs, ["pattern", "bucket"])
+    all_of = each.where("whole").select("docs", "n_tokens", F.explode("needs").alias("need")).withColumn("source", F.col("need.source"))
+    taken = all_of.select("source", F.filter("docs", lambda x: x["source"] == F.col("source"))[0]["doc_id"].alias("doc_id"), (F.col("need.every") + (F.col("need.once_more") > 0).cast("int")).alias("repeats"), "n_tokens")
 
     def one(group):
         import pandas as pd
 
         group = group.sort_values(["u", "h", "size"])
-        pattern = tuple(group["pattern"].iloc[0])
         ids = [{d["source"]: d["doc_id"] for d in docs} for docs in group["docs"]]
         sizes = [int(n) for n in group["n_tokens"]]
-        made = [(source, ids[i][source], n, sizes[i]) for i, source, n in fill(sizes, needs[pattern])]
+        wanted = [(d["source"], int(d["every"]) * sum(sizes) + int(d["once_more"]), int(d["most"])) for d in group["needs"].iloc[0]]
+        made = [(source, ids[i][source], n, sizes[i]) for i, source, n in fill(sizes, wanted)]
         return pd.DataFrame(made, columns=["source", "doc_id", "repeats", "n_tokens"])
 
-    listed = texts.sparkSession.createDataFrame([(list(p),) for p in needs], "pattern array<string>")
-    kept = texts.join(F.broadcast(listed), "pattern").withColumn("u", F.xxhash64("h", "size", F.lit(seed)))
-    return kept.withColumn("of", F.concat_ws("\x1f", "pattern")).groupBy("of").applyInPandas(lambda g: one(g), MIX)
-
-
-def _drawn(texts: DataFrame, patterns: dict, flows: dict, repeats: dict[str, int], seed: int) -> DataFrame:
-    """Whole texts for every route: all of a pattern's texts as often as its tokens fill, and some once more."""
-    spark = texts.sparkSession
-    plan = []
-    for (pattern, source), tokens in sorted(flows.items()):
-        # the routes of one pattern share its texts: each takes its own stretch of the seeded order
-        plan.append((list(pattern), source, *_uses(tokens, patterns[pattern])))
-    routed = spark.createDataFrame(plan, "pattern array<string>, source string, every int, rest long")
-    ordered = texts.withColumn("u", F.xxhash64("h", "size", F.lit(seed))).withColumn("bucket", F.pmod("u", F.lit(BUCKETS)).cast("int"))
-    each = ordered.join(F.broadcast(routed), "pattern").withColumn("doc_id", F.filter("docs", lambda x: x["source"] == F.col("source"))[0]["doc_id"])
-
-    sums = ordered.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("tokens"))  # at most patterns x BUCKETS
-    stretch = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = sums.withColumn("until", F.sum("tokens").over(stretch))
-    routes_of = Window.partitionBy("pattern").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    # a route's extra uses begin where the route before it ends, round the circle of the pattern's texts
-    placed = routed.withColumn("begin", F.coalesce(F.sum("rest").over(routes_of), F.lit(0)))
-    total_of = Window.partitionBy("pattern")
-    spans = placed.join(upto.withColumn("all", F.max("until").over(total_of)), "pattern")
-    begin, end = F.col("begin") % F.col("all"), F.col("begin") % F.col("all") + F.col("rest")
-    shift = F.explode(F.array(F.lit(0), F.lit(1)))
-    spans = spans.withColumn("lap", shift).withColumn("a", F.col("until") - F.col("tokens") + F.col("lap") * F.col("all")).withColumn("b", F.col("until") + F.col("lap") * F.col("all"))
-    spans = spans.where((F.col("a") < end) & (F.col("b") > begin)).withColumn("full", (F.col("a") >= begin) & (F.col("b") <= end))
-    spans = spans.groupBy("pattern", "source", "bucket").agg(F.max("full").alias("full"), F.min(begin - F.col("a")).alias("low"), F.max(end - F.col("a")).alias("high"))
-    return_rows = each.join(spans, ["pattern", "source", "bucket"], "left")
-    inside = Window.partitionBy("pattern", "source", "bucket").orderBy("u", "h", "size")
-    cut = return_rows.where("full is not null and not full").withColumn("middle", F.sum("n_tokens").over(inside) - F.col("n_tokens") / 2)
-    some = cut.withColumn("more", ((F.col("middle") > F.col("low")) & (F.col("middle") <= F.col("high"))).cast("int"))
-    rest = return_rows.where("full is null or full").withColumn("more", F.coalesce(F.col("full"), F.lit(False)).cast("int"))
-    drawn = some.drop("middle").unionByName(rest).withColumn("repeats", F.col("every") + F.col("more"))
-    return drawn.where("repeats > 0").select("source", "doc_id", "repeats", "n_tokens")
+    cut = each.where("not whole").withColumn("of", F.concat_ws("\x1f", "pattern"))
+    return taken.unionByName(cut.groupBy("of", "bucket").applyInPandas(lambda g: one(g), MIX))
 
 
 def shares_reached(drawn: DataFrame, targets: DataFrame) -> DataFrame:
