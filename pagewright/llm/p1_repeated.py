@@ -269,27 +269,53 @@ def line_texts(lines: DataFrame, items: DataFrame | None = None) -> DataFrame:
     return out.unionByName(each.select("item", "line_id", F.col("k").cast("long").alias("region_id"), "book", "page", "text").where(known))
 
 
-def _bag_distance(a: str, b: str) -> Column:
+def bag_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Letters by which two letter bags differ."""
-    each = [f"abs((shiftrightunsigned({a}, {4 * k}) & 15) - (shiftrightunsigned({b}, {4 * k}) & 15))" for k in range(16)]
-    return F.expr(" + ".join(each))
-
-
-def _chunks(n: Column) -> Column:
-    """A line's chunks together with a length class."""
-    return F.transform(F.array("c1", "c2", "c3"), lambda c: c.bitwiseXOR(F.floor(n / LENGTH_STEP) * 1000003))
+    out = np.zeros(len(a), np.int64)
+    for k in range(0, 64, 4):
+        out += np.abs((a >> k & 15) - (b >> k & 15))
+    return out
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk, weight, key, bag), sorted by chunk and in it by weight and key, the largest first: each line that its
+    chunk's first row, if that has a weight, may be the centre of. Nothing of a chunk but its centre is kept in memory."""
+    chunk = centre = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        chunks, weight, key, bag = (batch.column(c).to_numpy() for c in ("chunk", "weight", "key", "bag"))
+        begins = np.concatenate([[True], chunks[1:] != chunks[:-1]])
+        goes_on = chunk is not None and chunks[0] == chunk
+        first = np.maximum.accumulate(np.where(begins, np.arange(len(chunks)), 0))
+        heaviest, cluster, middle = weight[first], key[first], bag[first]
+        if goes_on:
+            same = first == 0
+            heaviest[same], cluster[same], middle[same] = centre
+        chunk, centre = chunks[-1], (heaviest[-1], cluster[-1], middle[-1])
+        likely = np.flatnonzero((heaviest > 0) & ((weight == 0) | (key == cluster)))
+        near = likely[(key[likely] == cluster[likely]) | (bag_distance(bag[likely], middle[likely]) <= MAX_LETTER_CHANGES)]
+        yield pa.RecordBatch.from_arrays([pa.array(x[near]) for x in (key, heaviest, cluster)], names=["key", "rows", "cluster"])
+
+
+def _chunks(n: Column, weight: Column) -> Column:
+    """A line's chunks together with a length class, and a weight."""
+    return F.transform(F.array("c1", "c2", "c3"), lambda c: F.struct(c.bitwiseXOR(F.floor(n / LENGTH_STEP) * 1000003).alias("chunk"), weight.alias("weight")))
 
 
 def centres(prints: DataFrame) -> DataFrame:
-    """(key, cluster): each folded line with the commonest line of its chunks that its letters may be a misread copy of."""
-    own = F.when(~F.col("item"), 1)
-    keys = prints.groupBy("key", "c1", "c2", "c3", "bag", "n").agg(F.count(own).alias("rows"), F.min(F.when(own == 1, F.col("page"))).alias("low"), F.max(F.when(own == 1, F.col("page"))).alias("high"))
-    central = keys.where("low < high").select("key", "bag", "rows", F.explode(F.array_distinct(F.concat(_chunks(F.col("n") - LENGTH_SLACK), _chunks(F.col("n") + LENGTH_SLACK)))).alias("chunk"))
-    central = central.groupBy("chunk").agg(F.max(F.struct("rows", "key", "bag")).alias("centre"))
-    # always true; it keeps the same counts in both branches, so that they share one exchange
-    each = keys.where(F.coalesce(F.col("low") <= F.col("high"), F.col("rows") >= 0)).select("key", "bag", F.explode(_chunks(F.col("n"))).alias("chunk"))
-    near = each.join(central, "chunk").where((F.col("key") == F.col("centre.key")) | (_bag_distance("bag", "centre.bag") <= MAX_LETTER_CHANGES))
-    return near.groupBy("key").agg(F.max(F.struct("centre.rows", "centre.key")).alias("centre")).select("key", F.col("centre.key").alias("cluster"))
+    """(key, cluster): each folded line with the commonest line of its chunks that its letters may be a misread copy of.
+
+    Lines on two pages or more are possible centres; under each chunk they stand with their number of rows as weight."""
+    page = F.when(~F.col("item"), F.col("page"))
+    keys = prints.groupBy("key", "c1", "c2", "c3", "bag", "n").agg(F.count(page).alias("rows"), F.min(page).alias("low"), F.max(page).alias("high"))
+    n = F.col("n")
+    central = F.array_distinct(F.concat(_chunks(n - LENGTH_SLACK, F.col("rows")), _chunks(n + LENGTH_SLACK, F.col("rows"))))
+    own = _chunks(n, F.lit(0).cast("long"))
+    roles = keys.select("key", "bag", F.explode(F.when(F.col("low") < F.col("high"), F.concat(own, central)).otherwise(own)).alias("role")).select("role.chunk", "role.weight", "key", "bag")
+    placed = roles.repartition("chunk").sortWithinPartitions("chunk", F.desc("weight"), F.desc("key"))
+    near = placed.mapInArrow(_gathered, "key long, rows long, cluster long")
+    return near.groupBy("key").agg(F.max(F.struct("rows", "cluster")).alias("centre")).select("key", "centre.cluster")
 
 
 def _on_pages(members: DataFrame, min_pages: int) -> DataFrame:
@@ -303,7 +329,7 @@ def misfits(members: DataFrame, texts: DataFrame, min_pages: int) -> DataFrame:
     sample = checkpointed(likely.groupBy("cluster", "key").agg(F.min(F.struct("item", "line_id", "region_id")).alias("at")).select("cluster", F.col("key").alias("wanted"), "at.*"))
     looked_up = F.broadcast(sample) if sample.count() <= BROADCAST_ROWS else sample
     found = texts.alias("t").join(looked_up.alias("s"), F.expr("t.item = s.item and t.line_id = s.line_id and t.region_id <=> s.region_id")).select("s.cluster", "s.wanted", "t.book", "t.page", "t.text")
-    letters = found.mapInArrow(_with_letters, LETTERS).where("key = wanted").groupBy("cluster", "key").agg(F.max("letters").alias("letters"))
+    letters = checkpointed(found.mapInArrow(_with_letters, LETTERS).where("key = wanted").groupBy("cluster", "key").agg(F.max("letters").alias("letters")))
     heads = letters.where("key = cluster").select("cluster", F.col("letters").alias("head"))
     return letters.where("key <> cluster").join(heads, "cluster", "left").where(F.coalesce(F.levenshtein("letters", "head", MAX_EDITS), F.lit(-1)) < 0).select("key", "cluster")
 

@@ -15,13 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .codes import CodeTable, Rolling, code_points, spans
 from .glyphs import LOOKALIKES
 from .streams import LANGS as LANGS_OF_BOOKS
-from .streams import UNSPACED, Block, book_facts, region_blocks, region_lines
+from .streams import UNSPACED, Block, book_facts, facts_of, region_blocks, region_lines
 from .tables import checkpointed
 
 LEVELS = 1000
@@ -136,8 +136,12 @@ def text_counts(codes: np.ndarray, lengths: np.ndarray, common_words: np.ndarray
     return made
 
 
+# Counts of letters, and the one that is a language's own script; latin where none is named.
+SCRIPTS = ("latin", "odd", "greek", "devanagari", "arabic", "cjk", "thai")
+OWN_SCRIPT = {"ell": "greek", "hin": "devanagari", "ara": "arabic", "jpn": "cjk", "zho": "cjk", "tha": "thai"}
 _NUMBER = {lang: i for i, lang in enumerate((*LANGS_OF_BOOKS, "und"))}
 _SINGLE = np.array([lang in UNSPACED for lang in _NUMBER])
+_SCRIPT = np.array([SCRIPTS.index(OWN_SCRIPT.get(lang, "latin")) for lang in _NUMBER])
 
 
 def lang_numbers(langs: list[str]) -> np.ndarray:
@@ -145,10 +149,10 @@ def lang_numbers(langs: list[str]) -> np.ndarray:
 
 
 def common_words(lines: DataFrame, items: DataFrame, books: DataFrame, top: int = COMMON_TOP) -> np.ndarray:
-    """Keys of the `top` most frequent words of each language over all lines and items, sorted; of languages that do not
+    """Keys of the `top` most frequent words, met twice or more, of each language over all lines and items, sorted; of languages that do not
     part words, of characters. The driver gets `top` keys per language of a fixed list."""
     texts = lines.select("book", "text").unionByName(items.select("book", "text")).where("text is not null")
-    texts = texts.join(book_facts(books).select("book", "lang"), "book", "left").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    texts = texts.join(facts_of(books).select("book", "lang"), "book", "left").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
     def counted(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, int] = {}
@@ -175,7 +179,7 @@ def common_words(lines: DataFrame, items: DataFrame, books: DataFrame, top: int
 
     counts = texts.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-    rows = counts.withColumn("lang", F.col("key").bitwiseAND(15)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("key").collect()
+    rows = counts.where("n > 1").withColumn("lang", F.col("key").bitwiseAND(15)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("key").collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
@@ -197,25 +201,28 @@ def region_counts(block: Block, codes: np.ndarray, lengths: np.ndarray, common_w
     return wanted, np.add.reduceat(made, block.starts, axis=0)[wanted]
 
 
-def _share(a: str, b: str, most: float = 1.0) -> Column:
-    """a / b on the grid 0 … LEVELS, 0 where b is 0."""
-    return F.least(F.lit(LEVELS), F.floor(F.coalesce(F.try_divide(F.expr(a), F.expr(b)), F.lit(0.0)) * LEVELS / most)).cast("int")
+def statistics(counts: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """STATS of rows of COUNTS in languages, as whole numbers from 0 to LEVELS; shares of nothing are 0."""
+    of = {c: counts[:, i].astype(np.int64) for i, c in enumerate(COUNTS)}
+    letters = sum(of[c] for c in SCRIPTS)
+    own = np.select([_SCRIPT[langs] == k for k in range(len(SCRIPTS))], [of[c] for c in SCRIPTS])
 
+    def share(a: np.ndarray, b: np.ndarray, most: int = 1, step: int = 1) -> np.ndarray:
+        grid = np.minimum(LEVELS, a * LEVELS // np.maximum(b * most, 1))
+        return np.where(b > 0, grid, 0) // step * step
 
-def with_stats(rows: DataFrame) -> DataFrame:
-    """(tbl, id, lang, chars, stats) of rows with an array of COUNTS."""
-    counts = rows.select("tbl", "id", "lang", *(F.get("counts", F.lit(i)).alias(c) for i, c in enumerate(COUNTS)))
-    letters = "(latin + odd + greek + devanagari + arabic + cjk + thai)"
-    own = "case lang when 'ell' then greek when 'hin' then devanagari when 'ara' then arabic when 'jpn' then cjk when 'zho' then cjk when 'tha' then thai else latin end"
+    words, lines = of["words"], of["lines"]
     made = {
         # in steps of a twentieth: single foreign letters say nothing
-        "own_script": F.least(F.lit(LEVELS), (F.ceil((_share(own, letters) + 40) / 50) * 50)).cast("int"), "letters": _share(letters, "chars"), "digits": _share("digits", "chars"), "symbols": _share("symbols", "chars"),
-        "capitals": _share("capitals", "words"), "common": _share("common", f"if(lang in {UNSPACED}, chars, words)"), "commas": _share("commas", "words"), "ends": _share("ends", "words"),
-        "numbers": _share("numbers", "words"), "voiceless": _share("voiceless", "words"), "word_length": _share(letters, "words", 40.0),
-        "closed": _share("closed", "lines"), "listed": _share("listed", "lines"), "short": _share("short", "words"), "odd": (F.floor(_share("odd", letters) / 50) * 50).cast("int"),
-        "raised": _share("raised", "lines"), "repeats": _share("repeats", "words"),
+        "own_script": np.minimum(LEVELS, -(-(share(own, letters) + 40) // 50) * 50), "letters": share(letters, of["chars"]), "word_length": share(letters, words, 40), "odd": share(of["odd"], letters, 1, 50),
+        "common": share(of["common"], np.where(_SINGLE[langs], of["chars"], words)), **{c: share(of[c], of["chars"]) for c in ("digits", "symbols")},
+        **{c: share(of[c], words) for c in ("capitals", "commas", "ends", "numbers", "voiceless", "short", "repeats")}, **{c: share(of[c], lines) for c in ("closed", "listed", "raised")},
     }
-    return counts.select("tbl", "id", "lang", "chars", F.array(*(made[s] for s in STATS)).alias("stats"))
+    return np.stack([made[s] for s in STATS], 1) if len(counts) else np.zeros((0, len(STATS)), np.int64)
+
+
+def _counts_in(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column("counts").flatten().to_numpy().reshape(-1, len(COUNTS)), lang_numbers(batch.column("lang").to_pylist())
 
 
 COUNTED = "tbl string, id long, lang string, counts array<int>"
@@ -224,7 +231,7 @@ COUNTED = "tbl string, id long, lang string, counts array<int>"
 def prose_items(items: DataFrame, books: DataFrame) -> DataFrame:
     """(id, book, page, text, lang, offset): paragraphs that are not standalone; a null text counts as empty."""
     kept = items.where("type = 'para' and not coalesce(standalone, false) and item_id is not null").select(F.col("item_id").alias("id"), "book", "page", F.coalesce("text", F.lit("")).alias("text"))
-    return kept.join(book_facts(books), "book", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
+    return kept.join(facts_of(books), "book", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
 
 
 def counted_texts(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, common_words: np.ndarray, furniture: DataFrame | None = None, min_lines: int = MIN_LINES) -> DataFrame:
@@ -251,10 +258,27 @@ def counted_texts(lines: DataFrame, regions: DataFrame, items: DataFrame, books:
     return per_region.unionByName(prose_items(items, books).select("id", "text", "lang").mapInArrow(of_items, COUNTED))
 
 
-def exact_tails(stats: DataFrame) -> DataFrame:
-    """(lang, stat, level, below, above): for each level that occurs, the share of rows of the language at or
-    below it and at or above it, from exact ranks."""
-    counts = stats.select("lang", F.posexplode("stats").alias("stat", "level")).groupBy("lang", "stat", "level").agg(F.count("*").alias("n"))
+def level_counts(counted: DataFrame) -> DataFrame:
+    """(lang, stat, level, n) of COUNTED rows, from every task one row per level at most."""
+    width = LEVELS + 1
+
+    def counted_levels(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(_NUMBER), len(STATS), width), np.int64)
+        for batch in source:
+            counts, langs = _counts_in(batch)
+            place = (langs[:, None] * len(STATS) + np.arange(len(STATS))) * width + statistics(counts, langs)
+            sums += np.bincount(place.ravel(), minlength=sums.size).reshape(sums.shape)
+        lang, stat, level = np.nonzero(sums)
+        names = np.array(list(_NUMBER), object)
+        yield pa.RecordBatch.from_arrays([pa.array(names[lang].tolist(), pa.string()), pa.array(stat.astype(np.int32)), pa.array(level.astype(np.int32)), pa.array(sums[lang, stat, level])], names=["lang", "stat", "level", "n"])
+
+    made = counted.select("lang", "counts").mapInArrow(counted_levels, "lang string, stat int, level int, n long")
+    return made.groupBy("lang", "stat", "level").agg(F.sum("n").alias("n"))
+
+
+def exact_tails(counts: DataFrame) -> DataFrame:
+    """(lang, stat, level, below, above) of counts (lang, stat, level, n): the share of rows of the language at or
+    below the level and at or above it, from exact ranks; rows on one level tie."""
     parts = counts.repartitionByRange(RANGES, "lang", "stat", "level").sortWithinPartitions("lang", "stat", "level")
     parts = checkpointed(parts.withColumn("part", F.spark_partition_id()))  # both branches must see the same partitions
     offsets = parts.groupBy("lang", "stat", "part").agg(F.sum("n").alias("in_part"))
@@ -302,24 +326,23 @@ def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, steps: int
 def outliers(counted: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     """(tbl, id, lang, chars, stats, score) of checkpointed COUNTED rows: the statistics and an outlier score, above
     THRESHOLD for what is no prose."""
-    stats = with_stats(counted)
-    tails = exact_tails(stats).collect()  # at most languages x len(STATS) x (LEVELS + 1) rows, and the languages are a fixed list
-    langs = sorted({t.lang for t in tails})
-    table = tail_table(tails, langs)
-    place = {lang: i for i, lang in enumerate(langs)}
+    tails = exact_tails(level_counts(counted)).collect()  # at most languages x len(STATS) x (LEVELS + 1) rows, and the languages are a fixed list
+    table = tail_table(tails, list(_NUMBER))
     marked = labels.where("tbl is not null and id is not null and form is not null").groupBy("tbl", "id").agg(F.min(F.when(F.col("form") == "prose", 0).otherwise(1)).alias("y")).orderBy(F.xxhash64("tbl", "id")).limit(max_labels)
-    seen = stats.join(F.broadcast(marked), ["tbl", "id"]).select("stats", "lang", "y").collect()
-    x = tail_features(np.array([r.stats for r in seen], int).reshape(-1, len(STATS)), np.array([place[r.lang] for r in seen], int), table)
+    seen = counted.join(F.broadcast(marked), ["tbl", "id"]).select("counts", "lang", "y").collect()
+    langs = lang_numbers([r.lang for r in seen])
+    x = tail_features(statistics(np.array([r.counts for r in seen], np.int64).reshape(-1, len(COUNTS)), langs), langs, table)
     w, b = fit_weights(x, np.array([r.y for r in seen], float))
 
     def scored(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            values = batch.column("stats").flatten().to_numpy().reshape(-1, len(STATS))
-            lang = np.array([place[x] for x in batch.column("lang").to_pylist()], int)
-            score = tail_features(values, lang, table) @ w + b if len(lang) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
+            counts, langs = _counts_in(batch)
+            stats = statistics(counts, langs)
+            score = tail_features(stats, langs, table) @ w + b if len(langs) else np.zeros(0)
+            chars = pa.array(np.ascontiguousarray(counts[:, COUNTS.index("chars")], np.int32))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("tbl", "id", "lang")), chars, _int_lists(stats), pa.array(score)], names=["tbl", "id", "lang", "chars", "stats", "score"])
 
-    return stats.mapInArrow(scored, "tbl string, id long, lang string, chars int, stats array<int>, score double")
+    return counted.select("tbl", "id", "lang", "counts").mapInArrow(scored, "tbl string, id long, lang string, chars int, stats array<int>, score double")
 
 
 def bad_texts(counted: DataFrame, labels: DataFrame) -> DataFrame:
@@ -329,4 +352,5 @@ def bad_texts(counted: DataFrame, labels: DataFrame) -> DataFrame:
 
 def not_prose(lines: DataFrame, regions: DataFrame, items: DataFrame, books: DataFrame, labels: DataFrame, furniture: DataFrame | None = None) -> DataFrame:
     """(tbl, id) of the items and regions whose text is no running prose; without any text they are no case."""
+    books = book_facts(books)
     return bad_texts(checkpointed(counted_texts(lines, regions, items, books, common_words(lines, items, books), furniture)), labels)

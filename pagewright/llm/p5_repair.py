@@ -35,7 +35,7 @@ from .codes import CodeTable, Rolling, code_points, powers, spans
 from .glyphs import FOLD, INVISIBLE, number_value
 from .p1_repeated import repeated_lines
 from .p3_quality import _int_lists, bad_texts, common_words, lang_numbers, prose_items, region_counts, text_counts
-from .streams import UNSPACED, region_blocks, region_lines
+from .streams import UNSPACED, book_facts, region_blocks, region_lines
 from .tables import checkpointed
 
 LANGS = ("hun", "eng", "deu", "fra")
@@ -595,51 +595,83 @@ def decoded_items(items: DataFrame, books: DataFrame, heads: DataFrame, lexicon:
     return full.select("id", "page", "text", "lang", "offset", "heads").mapInArrow(run, DECODED)
 
 
-PAIR = "lang string, tail_id long, tail_token string, between string, tail_region long, head_id long, head_token string, head_region long"
+_ENDS = ("book", "page", "lang", "id", "token", "id2", "token2", "fixed", "region_id")
+_EDGES = ("book", "lang", "id", "token", "region_id", "id2", "token2", "fixed", "n")
+
+
+def _met(words: Words, tail: tuple | None, head: tuple | None) -> list[tuple]:
+    """Rows (kind, line, token, fixed, region) for what one region leaves open at its end, (line, token, what stands behind it,
+    region), and the next one at its beginning, (line, token, region)."""
+    if tail and head and (whole := words.joined(tail[1], tail[2] or "", head[1])) is not None:
+        return [("hyphen", tail[0], tail[1] + "|" + head[1], whole, tail[3]), ("joined", head[0], None, None, head[2])]
+    alone = [(tail[0], tail[1], tail[3])] if tail and not _HYPHEN.search(tail[2] or "") else []
+    rows = []
+    for at, token, region in alone + ([head] if head else []):
+        if token.lower() not in words.words:
+            if (fixed := words.repair(token)) is not None:
+                rows.append(("misread", at, token, fixed, region))
+            elif (fixed := words.split(token)) is not None:
+                rows.append(("split", at, token, fixed, region))
+    return rows
+
+
+def _met_rows(rows: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
+    """DECODED rows of _met, each behind its language, and of edges, the first and the last region of a page."""
+    first, last = [e[0] for e in edges], [e[1] for e in edges]
+    names = ("lang", "kind", "id", "token", "fixed", "region_id")
+    at = dict(zip(names, map(list, zip(*rows)))) if rows else {c: [] for c in names}
+    more = {"lang": [e[2] for e in first], "kind": ["edge"] * len(edges), "id": [e[3] for e in first], "token": [e[4] for e in first], "fixed": [e[7] for e in last], "region_id": [e[8] for e in first]}
+    later = {"id2": [e[5] for e in last], "token2": [e[6] for e in last], "n": [e[8] for e in last], "book": [e[0] for e in first], "page": [e[1] for e in first]}
+    return _rows(len(rows) + len(edges), tbl="line", **{c: at[c] + more[c] for c in names}, **{c: [None] * len(rows) + later[c] for c in later})
 
 
 def _over_regions(ends: DataFrame, lexicon: dict[str, set[str]], name: str) -> DataFrame:
     """Faults at the ends of text regions: the tail of each with the head of the next text region of its page, or of the
-    next page that has one. The region whose head is the end of a cut word has a row 'joined'."""
-    here = Window.partitionBy("book", "page").orderBy("ord", "region_id")
-    tail = (F.col("id2").alias("tail_id"), F.col("token2").alias("tail_token"), F.col("fixed").alias("between"), F.col("region_id").alias("tail_region"))
-    head = F.struct(F.col("id").alias("head_id"), F.col("token").alias("head_token"), F.col("region_id").alias("head_region"))
-    linked = ends.select("book", "page", "lang", "ord", "region_id", F.struct(*tail).alias("tail"), head.alias("head"))
-    linked = linked.withColumn("after", F.lead("head").over(here)).withColumn("at", F.row_number().over(here))
-    inside = linked.where("after is not null").select("lang", "tail.*", "after.*")
-    # of each page the first and last region only
-    by_page = Window.partitionBy("book").orderBy("page", "at")
-    outer = linked.where("at = 1 or after is null").withColumn("following", F.lead("head").over(by_page)).withColumn("k", F.row_number().over(by_page))
-    across = outer.where("after is null").select("lang", "tail.*", "following.*")
-    nothing = linked.schema["tail"].dataType.simpleString()
-    opening = outer.where("k = 1").select("lang", F.lit(None).cast(nothing).alias("tail"), "head").select("lang", "tail.*", "head.*")  # nothing goes before a book's first head
-    pairs = inside.unionByName(across).unionByName(opening)
+    next page that has one. The region whose head is the end of a cut word has a row 'joined'. Regions are brought
+    together by page; of each page a small row 'edge', with its first head and last tail, goes on by book."""
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_page(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = loaded(name, lexicon)
+        first = before = None
+        for batch in source:
+            rows, edges = [], []
+            for row in zip(*(batch.column(c).to_pylist() for c in _ENDS)):
+                if before is not None and row[:2] == before[:2]:
+                    if row[2] in known.of:
+                        tail = before[5:] if before[6] else None
+                        head = (row[3], row[4], row[8]) if row[4] else None
+                        rows += [(row[2], *r) for r in _met(known.of[row[2]], tail, head)]
+                else:
+                    edges += [(first, before)] if first is not None else []
+                    first = row
+                before = row
+            yield _met_rows(rows, edges)
+        yield _met_rows([], [(first, before)] if first is not None else [])
+
+    def by_book(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = loaded(name, lexicon)
+        book = lang = tail = None
+
+        def end() -> list[tuple]:
+            return [(lang, *r) for r in _met(known.of[lang], tail, None)] if lang in known.of else []
+
         for batch in source:
             rows = []
-            for lang, tail_id, tail, between, tail_region, head_id, head, head_region in zip(*(batch.column(c).to_pylist() for c in (f.split()[0] for f in PAIR.split(", ")))):
-                if lang not in known.of:
-                    continue
-                words = known.of[lang]
-                whole = words.joined(tail, between or "", head) if tail and head else None
-                if whole is not None:
-                    rows.append(("hyphen", tail_id, lang, tail + "|" + head, whole, tail_region))
-                    rows.append(("joined", head_id, lang, None, None, head_region))
-                    continue
-                alone = [(tail_id, tail, tail_region)] if tail and not _HYPHEN.search(between or "") else []
-                for at, token, region in alone + ([(head_id, head, head_region)] if head else []):
-                    if token.lower() in words.words:
-                        continue
-                    if (fixed := words.repair(token)) is not None:
-                        rows.append(("misread", at, lang, token, fixed, region))
-                    elif (fixed := words.split(token)) is not None:
-                        rows.append(("split", at, lang, token, fixed, region))
-            columns = dict(zip(("kind", "id", "lang", "token", "fixed", "region_id"), zip(*rows))) if rows else {}
-            yield _rows(len(rows), tbl="line", **columns)
-
-    return pairs.select(*(f.split()[0] for f in PAIR.split(", "))).mapInArrow(run, DECODED)
+            for this, of, head_id, head, head_region, tail_id, token, between, tail_region in zip(*(batch.column(c).to_pylist() for c in _EDGES)):
+                if this != book:
+                    rows += end()
+                    book, tail = this, None
+                lang = of
+                if lang in known.of:
+                    rows += [(lang, *r) for r in _met(known.of[lang], tail, (head_id, head, head_region) if head else None)]
+                tail = (tail_id, token, between, tail_region) if token else None
+            yield _met_rows(rows, [])
+        yield _met_rows(end(), [])
+
+    pages = ends.repartition("book", "page").sortWithinPartitions("book", "page", "ord", "region_id").select(*_ENDS)
+    inside = checkpointed(pages.mapInArrow(by_page, DECODED))
+    edges = inside.where("kind = 'edge'").repartition("book").sortWithinPartitions("book", "page").select(*_EDGES)
+    return inside.where("kind <> 'edge'").unionByName(edges.mapInArrow(by_book, DECODED))
 
 
 @dataclass
@@ -655,7 +687,8 @@ class Judged:
 
 
 def judged_faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items: DataFrame, lexicon: DataFrame, form_labels: DataFrame, right_share: float, runs: bool = False) -> Judged:
-    repeated = checkpointed(repeated_lines(lines, regions, books, items=items).select("item", "line_id", "region_id"))
+    books = book_facts(books)
+    repeated = checkpointed(repeated_lines(lines, regions, books.withColumnRenamed("offset", "page_number_offset"), items=items).select("item", "line_id", "region_id"))
     common = common_words(lines, items, books)
     known, name = _lexicons(lexicon), uuid.uuid4().hex
     streams = region_lines(lines, regions, books, repeated.where(~F.col("item")))
@@ -670,7 +703,7 @@ def judged_faults(lines: DataFrame, regions: DataFrame, books: DataFrame, items:
     here = decoded.where(F.col("kind").isin(*WORD_FAULTS, "furniture")).withColumn("_of", of).withColumn("_tbl", F.when(F.col("tbl") == "item", "item").otherwise("region"))
     here = here.join(bad.select(F.col("tbl").alias("_tbl"), F.col("id").alias("_of")), ["_tbl", "_of"], "left_anti")
     columns = ("tbl", "id", "region_id", F.col("kind").alias("fault"), "lang", "token", "fixed")
-    seen = here.select(*columns).unionByName(over.where("kind <> 'joined'").select(*columns))
+    seen = checkpointed(here.select(*columns).unionByName(over.where("kind <> 'joined'").select(*columns)))
     unsure = seen.where("fault in ('misread', 'split')").withColumn("low", F.lower("token")).withColumn("meant", F.lower("fixed"))
     counts = decoded.where("kind = 'count'").groupBy("lang", F.col("token").alias("meant")).agg(F.sum("n").alias("other"))
     tried = unsure.groupBy("lang", "low", "meant").agg(F.count("*").alias("own")).join(counts, ["lang", "meant"], "left")

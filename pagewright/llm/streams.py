@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import checkpointed
+
 # The languages of the books; any other counts as 'und'.
 LANGS = ("ara", "deu", "ell", "eng", "fra", "hin", "hun", "jpn", "tha", "zho")
 # Languages whose words are not parted by spaces.
@@ -18,9 +20,14 @@ COLUMNS = ("region_id", "line_no", "line_id", "text", "out", "kind", "lang", "bo
 
 
 def book_facts(books: DataFrame) -> DataFrame:
-    """(book, lang, offset), each book once; an unknown or null language is 'und'."""
+    """(book, lang, offset), each book once; an unknown or null language is 'und'. Checkpointed, as it is joined often."""
     lang = F.when(F.col("lang").isin(*LANGS), F.col("lang")).otherwise("und")
-    return books.where("book is not null").select("book", lang.alias("lang"), F.col("page_number_offset").alias("offset")).groupBy("book").agg(F.min("lang").alias("lang"), F.min("offset").alias("offset"))
+    return checkpointed(books.where("book is not null").select("book", lang.alias("lang"), F.col("page_number_offset").alias("offset")).groupBy("book").agg(F.min("lang").alias("lang"), F.min("offset").alias("offset")))
+
+
+def facts_of(books: DataFrame) -> DataFrame:
+    """`books` themselves where they are book_facts, else their book_facts."""
+    return books if books.columns == ["book", "lang", "offset"] else book_facts(books)
 
 
 def region_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, furniture: DataFrame | None = None, kind: str | None = None) -> DataFrame:
@@ -32,7 +39,7 @@ def region_lines(lines: DataFrame, regions: DataFrame, books: DataFrame, furnitu
     known = regions.where("region_id is not null").groupBy("region_id").agg(F.min("kind").alias("kind"), F.min("book").alias("book"), F.min("page").alias("page"), F.min("id").alias("ord"))
     if kind is not None:
         known = known.where(F.col("kind") == kind)
-    known = known.join(book_facts(books), "book", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
+    known = known.join(facts_of(books), "book", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
     if furniture is not None:
         of_region = furniture.where("region_id is not null").groupBy("region_id").agg(F.collect_set("line_id").alias("_out"))  # no more than the lines of a region
         known = known.join(of_region, "region_id", "left")
