@@ -1,17 +1,22 @@
 """Problem 2: text that looks the same in other characters.
 
-Rows that hold no unusual character at all stay in the JVM and keep their text. The others go through Arrow
-batches: widths, ligatures, spaces, hyphens and accents take one form, invisible characters go, and words that
-mix scripts (and words wholly in another script that are then a term's) are put into their dominant script's letters, if
-the word that comes out is in the vocabulary. Known terms are then found by an Aho-Corasick automaton with word
-borders, the longest first. There is no shuffle but the last one, on the few rows found.
+Rows that hold nothing but characters of one form, in scripts without look-alikes, stay in the JVM and keep their text. The
+others go through Arrow batches: widths, ligatures, single letters for letters, spaces, hyphens and accents take one
+form and invisible characters go. In tokens that mix scripts the dominant script, the one with most of the letters, is
+determined, and look-alikes of other scripts are replaced by its letters, if the word that comes out is in the
+vocabulary: words that stand in the corpus in one script often enough, the lexicon, and the terms. Which of the forms that
+mixed tokens could have are words of the corpus is counted first; only these forms are looked for. A word wholly in
+another script is replaced by a term's only, as the terms' mentions must be found so too. Known terms are then found by
+an Aho-Corasick automaton with word borders, the longest first.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,16 +26,65 @@ from .glyphs import INVISIBLE, LOOKALIKES
 
 #: Most terms and vocabulary words that are sent to the executors; more are refused, not cut.
 MAX_VOCABULARY = 2_000_000
-#: Characters that make a row worth a look: invisible ones, accents of their own, Greek, Cyrillic, ligatures,
-#: full-width letters and digits, unusual spaces and hyphens.
-UNUSUAL = r"[­͏؜ᅟ᠎​-‏‪-‮⁠-⁤﻿̀-ͯͰ-ԯﬀ-ﬆ－０-９Ａ-Ｚａ-ｚ  -   　‐-‒−ıɑɡᴀ-ᵿ]"
+#: How often a word must stand in the corpus, in one script, to be part of the vocabulary.
+MIN_COUNT = 3
+# Characters that have one form only and no look-alike in another script: those of ASCII, Latin letters with
+# accents, Devanagari, Arabic, Thai and common CJK signs, and usual punctuation. Rows of only these are left as they are.
+PLAIN = (
+    r"\t\n\r -~¡-§©«®°±¶»¿À-ıŃ-ňŊ-žƏƠ-ơƯ-ư\u0900-\u0957\u0960-\u097f\u060c-\u061b\u061e-\u066f\u0671-\u0674\u0679-\u06ff\u0e01-\u0e5b"
+    r"\u3001-\u302d\u3041-\u3096\u309d-\u309e\u30a1-\u30fe\u4e00-\u9fff–—‘’‚“”„†‡•…‰‹›€·×÷"
+)
+PLAIN_ROW = rf"\A[{PLAIN}&&[^ıſ\u0132\u0133\u013f\u0140\u0149\u0958-\u095f\u0675-\u0678]]*\z"
 HYPHENS = "‐‑‒−－﹣"
 _INVISIBLE = frozenset(INVISIBLE)
+# Wide punctuation that is right behind East Asian characters.
+_WIDE = frozenset("：；？！，（）［］")
+SCRIPTS = ("LATIN", "GREEK", "CYRILLIC", "ARMENIAN")
+# Armenian letters drawn as a Latin letter in common typefaces.
+ARMENIAN = {"օ": "o", "ո": "n", "ս": "u", "հ": "h", "յ": "j", "ց": "g", "զ": "q", "Տ": "S", "Օ": "O", "Ս": "U", "Լ": "L"}
+TO_LATIN = LOOKALIKES | ARMENIAN
 
 
 def script_of(char: str) -> str:
     """Latin, Cyrillic, Greek or another script's name, by the character's name."""
-    return unicodedata.name(char, "?").split(" ")[0]
+    name = unicodedata.name(char, "?").split(" ")
+    return "LATIN" if name[0] == "KELVIN" else name[0]
+
+
+def _drawn_as() -> dict[str, dict[str, str]]:
+    """Per script the letters of each look-alike group, by any letter of it."""
+    groups: dict[str, list[str]] = {}
+    for other, latin in TO_LATIN.items():
+        groups.setdefault(latin, [latin]).append(other)
+    out: dict[str, dict[str, str]] = {script: {} for script in SCRIPTS}
+    for letters in groups.values():
+        for script in SCRIPTS:
+            own = [c for c in letters if script_of(c) == script]
+            for c in letters if own else ():
+                out[script].setdefault(c, c if c in own else own[0])
+    return out
+
+
+DRAWN_AS = _drawn_as()
+
+
+@lru_cache(maxsize=20_000)
+def form_of(char: str) -> str:
+    """The consistent form of a visible character by itself: normal width, letters for ligatures and for letters in
+    special styles, plain hyphens and spaces. Signs that look different stay."""
+    if char in HYPHENS:
+        return "-"
+    if char.isspace() and char not in "\n\r":
+        return " "
+    tag = unicodedata.decomposition(char).split(" ")[0]
+    made = unicodedata.normalize("NFKC", char)
+    same_look = tag in ("<wide>", "<narrow>", "<font>", "<noBreak>") or tag == "<compat>" and unicodedata.category(char)[0] == "L" and made.isalpha()
+    return made if same_look else unicodedata.normalize("NFC", char)
+
+
+def _joins(char: str) -> bool:
+    """Whether a character is an accent that belongs to the letter before it, also the sound marks of katakana."""
+    return unicodedata.combining(char) > 0 or char in "ﾞﾟ"
 
 
 def composed(text: str) -> tuple[list[str], list[int]]:
@@ -38,52 +92,73 @@ def composed(text: str) -> tuple[list[str], list[int]]:
     out: list[str] = []
     at: list[int] = []
     for i, char in enumerate(text):
-        if char in _INVISIBLE:
-            continue
-        if char < "\x7f":
+        if "\x20" <= char < "\x7f":
             out.append(char)
             at.append(i)
-        elif "̀" <= char <= "ͯ" and out:
-            one = unicodedata.normalize("NFC", LOOKALIKES.get(out[-1], out[-1]) + char)
-            if len(one) == 1:
-                keep = unicodedata.normalize("NFC", out[-1] + char)
-                out[-1] = keep if len(keep) == 1 and out[-1] not in LOOKALIKES else one
+        elif char in _INVISIBLE:
+            continue
+        elif out and _joins(char):
+            accent = unicodedata.normalize("NFKC", char).strip()
+            keep = unicodedata.normalize("NFC", out[-1] + accent)
+            one = keep if len(keep) == 1 and out[-1] not in TO_LATIN else unicodedata.normalize("NFC", TO_LATIN.get(out[-1], out[-1]) + accent)
+            if len(keep) == 1 or len(one) == 1:
+                out[-1] = one if len(one) == 1 else keep
             else:
-                out.append(char)
+                out.append(accent)
                 at.append(i)
+        elif char in _WIDE and (not out or out[-1] >= "\u2e80"):
+            out.append(char)
+            at.append(i)
         else:
-            if char in HYPHENS:
-                form = "-"
-            elif char.isspace() and char not in "\n\r":
-                form = " "
-            elif char in "。、·…：；？！，（）［］":
-                form = char
-            else:
-                form = unicodedata.normalize("NFKC", char)
-            for part in form:
+            for part in form_of(char):
                 out.append(part)
                 at.append(i)
     return out, at
 
 
-def repaired(chars: list[str], vocabulary: frozenset[str], names: frozenset[str] = frozenset()) -> list[str]:
-    """The characters with look-alikes replaced in words of mixed script whose repair is in the vocabulary, and
-    in words wholly of another script whose repair is one of `names`."""
-    out, n, i = list(chars), len(chars), 0
+def words_in(chars: list[str]) -> Iterator[tuple[int, int]]:
+    """Where runs of letters and accents begin and end."""
+    n, i = len(chars), 0
     while i < n:
-        if not chars[i].isalpha():
-            i += 1
-            continue
         j = i
-        while j < n and (chars[j].isalpha() or "̀" <= chars[j] <= "ͯ"):
+        while j < n and (chars[j].isalpha() or j > i and unicodedata.combining(chars[j])):
             j += 1
+        if j > i:
+            yield i, j
+        i = max(j, i + 1)
+
+
+def possible_forms(word: list[str]) -> list[str]:
+    """What a token that mixes scripts can have been, in the order of likeliness: all of its letters in its dominant
+    script. That is the one with most letters that are drawn alike in none of the others; where there are as many of each, or
+    none, both are possible, that with more letters first. No form where the token is of one script, or where letters of
+    other scripts have no look-alikes in the dominant one."""
+    of = Counter(script_of(c) for c in word if c.isalpha())
+    if len(of) < 2 or not of.keys() <= set(SCRIPTS):
+        return []
+    # a letter that is drawn alike in another of the scripts speaks for none
+    sure = Counter(script_of(c) for c in word if c.isalpha() and not any(c in DRAWN_AS[s] for s in of if s != script_of(c)))
+    most = max(sure.values(), default=0)
+    ranked = sorted((s for s in of if sure[s] == most), key=lambda s: (-of[s], SCRIPTS.index(s)))
+    made = ["".join(c if script_of(c) in (script, "COMBINING") else DRAWN_AS[script].get(c, "\0") for c in word) for script in ranked]
+    return [m for m in made if "\0" not in m]
+
+
+def repaired(chars: list[str], vocabulary: frozenset[str], names: frozenset[str] = frozenset()) -> list[str]:
+    """The characters with look-alikes replaced in words of mixed script whose form in their dominant script is in the
+    vocabulary, whatever the case of its letters, and in words wholly of another script that are then one of `names`."""
+    out = list(chars)
+    for i, j in words_in(chars):
         word = chars[i:j]
-        if any("Ͱ" <= c <= "ԯ" for c in word):
-            mixed = len({script_of(c) for c in word if c.isalpha()}) > 1
-            fixed = [LOOKALIKES.get(c, c) for c in word]
-            if "".join(fixed) in (vocabulary if mixed else names):
-                out[i:j] = fixed
-        i = j
+        if all(c < "\u0370" for c in word):
+            continue
+        forms = possible_forms(word)
+        fixed = next((f for f in forms if f in names or f in vocabulary or f.lower() in vocabulary), None)
+        if fixed is None:
+            latin = "".join(TO_LATIN.get(c, c) for c in word)
+            fixed = latin if latin in names else None
+        if fixed is not None:
+            out[i:j] = list(fixed)
     return out
 
 
@@ -97,24 +172,25 @@ def _border(chars: list[str], at: int, step: int) -> bool:
     return not (chars[at] == "-" and 0 <= beyond < len(chars) and chars[beyond].isalpha())
 
 
-def _finder(terms: list[tuple[int, str]], words: list[str]):
+def _names(terms: list[tuple[int, str]]) -> frozenset[str]:
+    """The words of the terms."""
+    return frozenset(w for _, term in terms for w in re.split(r"[\W\d_]+", unicodedata.normalize("NFC", term)) if w)
+
+
+def _finder(terms: list[tuple[int, str]], words: frozenset[str]):
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
-    vocabulary: set[str] = set()
     for term_id, term in terms:
         form = unicodedata.normalize("NFC", term)
         automaton.add_word(form, (term_id, form, term))
-        vocabulary.update(w for w in re.split(r"[\W\d_]+", form) if w)
     automaton.make_automaton()
-    known, names = frozenset(vocabulary.union(words)), frozenset(vocabulary)
+    names = _names(terms)
 
     def find(text: str) -> tuple[str, list[int]]:
         chars, at = composed(text)
-        chars = repaired(chars, known, names)
+        chars = repaired(chars, words, names)
         joined = "".join(chars)
-        if len(joined) != len(chars):
-            return joined, []
         hits = []
         for end, (term_id, form, term) in automaton.iter(joined) if terms else ():
             start = end - len(form) + 1
@@ -125,9 +201,9 @@ def _finder(terms: list[tuple[int, str]], words: list[str]):
             if start < free_from:
                 continue
             free_from = end + 1
-            until = at[end] + 1
-            while until < len(text) and "̀" <= text[until] <= "ͯ":
-                until += 1
+            until = at[end + 1] if end + 1 < len(at) else len(text)
+            while until > at[end] + 1 and not _joins(text[until - 1]):
+                until -= 1
             if text[at[start] : until] != term:
                 found.append(term_id)
         return joined, sorted(set(found))
@@ -135,7 +211,31 @@ def _finder(terms: list[tuple[int, str]], words: list[str]):
     return find
 
 
-def consistent_text(rows: DataFrame, terms: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+def corpus_words(rows: DataFrame, unusual: DataFrame, min_count: int = MIN_COUNT) -> list[str]:
+    """Of the forms that the mixed tokens of `unusual` rows could have, in lower case, those that stand in `rows` in these
+    very characters `min_count` times or more."""
+
+    def forms(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            found: set[str] = set()
+            for text in batch.column("text").to_pylist():
+                chars, _ = composed(text)
+                if any(c >= "\u0370" for c in chars):
+                    for i, j in words_in(chars):
+                        found.update(f.lower() for f in possible_forms(chars[i:j]))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["word"])
+
+    wanted = unusual.select("text").mapInArrow(forms, "word string").distinct().limit(MAX_VOCABULARY + 1).collect()
+    if len(wanted) > MAX_VOCABULARY:
+        raise ValueError(f"more than {MAX_VOCABULARY} tokens of mixed script")
+    if not wanted:
+        return []
+    listed = F.broadcast(rows.sparkSession.createDataFrame([(r.word,) for r in wanted], "word string"))  # no more than MAX_VOCABULARY
+    words = rows.where("text is not null").select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}]+")).alias("word"))
+    return [r.word for r in words.join(listed, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= min_count).select("word").collect()]
+
+
+def consistent_text(rows: DataFrame, terms: DataFrame, lexicon: DataFrame | None = None, min_count: int = MIN_COUNT) -> DataFrame:
     """(tbl, id, text, term_ids): the text of each row in one consistent form, and the terms that it shows in
     other characters than their own, null where there was nothing to change.
 
@@ -146,9 +246,13 @@ def consistent_text(rows: DataFrame, terms: DataFrame, lexicon: DataFrame | None
     words = [r[0] for r in lexicon.select("word").where("word is not null").limit(MAX_VOCABULARY + 1).collect()] if lexicon is not None else []
     if max(len(listed), len(words)) > MAX_VOCABULARY:
         raise ValueError(f"more than {MAX_VOCABULARY} terms or words")
+    rows = rows.select("tbl", F.col("id").cast("long").alias("id"), "text")
+    plain = F.coalesce(F.col("text").rlike(PLAIN_ROW), F.lit(True))
+    unusual = rows.where(~plain)
+    vocabulary = frozenset(w.lower() for w in words) | frozenset(corpus_words(rows, unusual, min_count))
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _finder(listed, words)
+        find = _finder(listed, vocabulary)
         for batch in source:
             made = [find(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -156,10 +260,8 @@ def consistent_text(rows: DataFrame, terms: DataFrame, lexicon: DataFrame | None
                 names=["tbl", "id", "text", "term_ids"],
             )
 
-    rows = rows.select("tbl", F.col("id").cast("long").alias("id"), "text")
-    unusual = F.coalesce(F.col("text").rlike(UNUSUAL), F.lit(False))
-    plain = rows.where(~unusual).withColumn("term_ids", F.lit(None).cast("array<long>"))
-    return plain.unionByName(rows.where(unusual).mapInArrow(batches, "tbl string, id long, text string, term_ids array<long>"))
+    same = rows.where(plain).withColumn("term_ids", F.lit(None).cast("array<long>"))
+    return same.unionByName(unusual.mapInArrow(batches, "tbl string, id long, text string, term_ids array<long>"))
 
 
 def line_and_item_texts(lines: DataFrame, items: DataFrame) -> DataFrame:

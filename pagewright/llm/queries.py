@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .p1_repeated import repeated_lines
+from .p1_repeated import repeated_lines, without_repeated_lines
 from .p2_lookalikes import disguised_terms
 from .p3_quality import not_prose
-from .p4_sentences import sentence_ends, sidebar_lines, standalone_items
+from .p4_sentences import sentence_ends, sentence_units, sidebar_lines, standalone_items
 from .p5_repair import faults, repaired_paragraphs
 from .p6_packing import fill_report, packed
 from .p7_mixing import mixture, shares_reached
@@ -21,6 +21,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines(table(spark, d, "ocr_lines"), table(spark, d, "regions"), table(spark, d, "books")).select("line_id")
 
 
+def p1_pages(spark: SparkSession, d: str) -> DataFrame:
+    return without_repeated_lines(table(spark, d, "ocr_lines"), table(spark, d, "regions"), table(spark, d, "books"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return disguised_terms(table(spark, d, "ocr_lines"), table(spark, d, "items"), table(spark, d, "terms"), table(spark, d, "lexicon"))
 
@@ -30,9 +34,17 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return not_prose(lines, regions, items, books, labels, repeated_lines(lines, regions, books))
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
+def _sentence_texts(spark: SparkSession, d: str) -> DataFrame:
     lines, regions, items, books = (table(spark, d, t) for t in ("ocr_lines", "regions", "items", "books"))
-    return sentence_ends(standalone_items(items, books).unionByName(sidebar_lines(lines, regions, books)))
+    return standalone_items(items, books).unionByName(sidebar_lines(lines, regions, books))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentence_ends(_sentence_texts(spark, d))
+
+
+def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return sentence_units(_sentence_texts(spark, d))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -72,7 +84,8 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs, "p6_containers": p6_containers, "p6_report": p6_report, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_profile": p8_profile}
+    made = (p1_found, p1_pages, p2_found, p3_found, p4_found, p4_sentences, p5_found, p5_paragraphs, p6_containers, p6_report, p7_mixture, p7_shares, p8_found, p8_profile)
+    return {query.__name__: query for query in made}
 
 
 def oracle_sql() -> dict[str, str]:
