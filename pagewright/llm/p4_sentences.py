@@ -25,6 +25,12 @@ NEVER_LAST = (
 HUNGARIAN_NEVER_LAST = ("özv", "ifj", "id", "ún", "ill", "ld", "pl", "kb", "vö", "kr", "sz", "szt", "gr", "fej", "old", "szerk", "ford", "hl")
 # Marks that end no sentence inside brackets.
 MARKS = ".!?…"
+_GROUP = r"[(\[][^()\[\]]*+[)\]]"
+# a mark behind an opening bracket or behind a mark that was masked before, whose bracket is closed again; from each bracket
+# it is only looked to the next one, so that long texts take no longer
+_INNER = rf"(\G(?!\A)[^()\[\]{MARKS}]*+|%s[^()\[\]{MARKS}]*+)[{MARKS}](?=[^()\[\]]*+[)\]])"
+_OUTER = rf"(\G(?!\A)(?:[^()\[\]{MARKS}]|{_GROUP})*+|[(\[](?:[^()\[\]{MARKS}]|{_GROUP})*+)[{MARKS}](?=(?:[^()\[\]]|{_GROUP})*+[)\]])"
+_NESTED = r"[(\[][^()\[\]]*+[(\[]"
 # every pattern begins with the full stop itself, so that the look-behind is only tried there
 _NUMBERED = r"\.(?<=\p{Nd}\.)(?=\s*\p{Nd})"
 _SHORT = r"\.(?<=(?<![\p{L}\p{M}\p{Nd}])(?iu:%s)\.)"
@@ -66,18 +72,16 @@ def _replaced(text: Column, *patterns: str) -> Column:
 
 
 def masked_brackets(text: Column, opened: Column) -> Column:
-    """The text with the marks in brackets that are closed again masked; `opened` tells whether a bracket is open where the
-    text begins. The text is cut at its brackets once, however long it is."""
-    start = F.struct(F.when(opened, 1).otherwise(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+    """The text with the marks in brackets that are closed again masked, brackets in brackets included; `opened` tells
+    whether a bracket is open where the text begins."""
+    inner = F.when(opened, F.regexp_replace(text, _INNER % r"(?:\A|[(\[])", "$1" + MASK)).otherwise(F.regexp_replace(text, _INNER % r"[(\[]", "$1" + MASK))
+    return F.when(text.rlike(_NESTED), F.regexp_replace(inner, _OUTER, "$1" + MASK)).when(text.rlike(r"[)\]]"), inner).otherwise(text)
 
-    def step(state: Column, piece: Column) -> Column:
-        inside = state["depth"] + F.when(piece.rlike(r"^[(\[]"), 1).otherwise(0)
-        closes = piece.rlike(r"[)\]]\z")
-        shown = F.when(closes & (inside > 0), F.translate(piece, MARKS, MASK * len(MARKS))).otherwise(piece)
-        return F.struct(F.greatest(F.lit(0), inside - F.when(closes, 1).otherwise(0)).alias("depth"), F.array_append(state["out"], shown).alias("out"))
 
-    whole = F.aggregate(F.split(text, r"(?<=[)\]])|(?=[(\[])"), start, step, lambda x: F.array_join(x["out"], ""))
-    return F.when(text.rlike(r"[)\]]"), whole).otherwise(text)
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """`rows` with a column that is worked out once, however often later ones use it: a generator of one row keeps the
+    steps before and after it apart."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
 def with_ends(rows: DataFrame, text: Column, lang: Column, opened: Column) -> DataFrame:
@@ -86,7 +90,8 @@ def with_ends(rows: DataFrame, text: Column, lang: Column, opened: Column) -> Da
     The steps are columns of their own, so that no pattern is compiled into more than one branch."""
     both = "$1$2" + CUT
     stops = ("_own", "_bracketed", *(f"_masked{i}" for i in range(1, 4)))
-    out = rows.withColumn("_lang", lang).withColumn("_own", F.translate(text, MASK + CUT, NO_PLACEHOLDER * 2)).withColumn("_bracketed", masked_brackets(F.col("_own"), opened))
+    out = rows.withColumn("_lang", lang).withColumn("_own", F.translate(text, MASK + CUT, NO_PLACEHOLDER * 2))
+    out = _once(out, "_bracketed", masked_brackets(F.col("_own"), opened))
     dotted = F.col("_bracketed").contains(".")
     out = out.withColumn("_masked1", F.when(dotted, _replaced(F.col("_bracketed"), _NUMBERED, _ABBREVIATED)).otherwise(F.col("_bracketed")))
     out = out.withColumn("_masked2", F.when(dotted, _replaced(F.col("_masked1"), _ERA, _TWO_LETTER, _INITIAL, _ADDRESS)).otherwise(F.col("_masked1")))

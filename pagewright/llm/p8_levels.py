@@ -23,6 +23,8 @@ LANGS = ("hun", "eng", "deu", "fra")
 LEVELS = (1, 2, 3, 4)
 #: Most labelled documents that the models are counted on.
 MAX_LABELS = 5000
+#: Most lexicon words that are sent to the executors; a longer list is refused.
+MAX_LEXICON = 2_000_000
 #: Tokens that the shares of word lengths count for in each model.
 SMOOTHING = 100.0
 LABEL_WEIGHT = 3.0
@@ -36,11 +38,11 @@ _NO_PROSE = re.compile(r"\s*(?:#|[•▪■◆●○‣*▫◦]|[-–—]\s+\S+(
 LONGEST, LONGEST_SENTENCE = 16, 12
 
 
-def prose_paragraphs(text: str) -> Iterator[list[str]]:
+def prose_paragraphs(text: str, every_line: bool = False) -> Iterator[list[str]]:
     """The words and sentence tokens of each paragraph of running prose: headings, list entries and tables
-    aside. A sentence token is '<n>' with the number of words in steps of four."""
+    aside, unless `every_line` is set. A sentence token is '<n>' with the number of words in steps of four."""
     for paragraph in _PARAGRAPH.split(_JOINED.sub("", text)):
-        lines = [line for line in paragraph.split("\n") if not _NO_PROSE.match(line)]
+        lines = [line for line in paragraph.split("\n") if every_line or not _NO_PROSE.match(line)]
         tokens: list[str] = []
         for sentence in _SENTENCE.split("\n".join(lines)):
             words = _WORD.findall(sentence)
@@ -48,7 +50,7 @@ def prose_paragraphs(text: str) -> Iterator[list[str]]:
                 tokens += words
                 if len(words) > 2:
                     tokens.append(f"<{min(len(words) // 4, LONGEST_SENTENCE)}>")
-        if len(tokens) >= 6:
+        if tokens:
             yield [t.lower() for t in tokens]
 
 
@@ -86,20 +88,23 @@ class LevelModels:
             made = [(n + smoothing * backoff[_length_class(token)]) / (totals + smoothing) for token, n in seen.items()]
             self.tables[lang] = np.concatenate([*table, np.log(np.array(made).reshape(-1, len(LEVELS)))])
 
-    def paragraphs(self, text: str, lang: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def paragraphs(self, text: str, lang: str, every_line: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The table rows of each paragraph's tokens, and its posterior over the levels."""
         rows, table = self.rows[lang], self.tables[lang]
-        for tokens in prose_paragraphs(text):
+        for tokens in prose_paragraphs(text, every_line):
             at = np.array([rows.get(t) or _length_class(t) for t in tokens])
             score = table[at].sum(0)
             likely = np.exp(score - score.max())
             yield at, likely / likely.sum()
 
     def shares(self, text: str, lang: str) -> np.ndarray:
-        """Tokens of the text's prose by level."""
+        """Tokens of the text's prose by level; of all of its lines where it has no prose."""
         total = np.zeros(len(LEVELS))
-        for at, likely in self.paragraphs(text, lang):
-            total += likely * len(at)
+        for every_line in (False, True):
+            for at, likely in self.paragraphs(text, lang, every_line):
+                total += likely * len(at)
+            if total.any():
+                break
         return total
 
 
@@ -140,14 +145,17 @@ def expected_counts(documents: DataFrame, models: LevelModels) -> list[tuple[str
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array(np.full(len(rows), level, np.int32)), words, pa.array(n)], names=["lang", "level", "token", "n"])
 
     kept = documents.where(F.col("lang").isin(*LANGS)).select("lang", "text")
-    counts = kept.mapInArrow(batches, "lang string, level int, token string, n double").where("n > 0.01").groupBy("lang", "level", "token").agg(F.sum("n").alias("n"))
+    counts = kept.mapInArrow(batches, "lang string, level int, token string, n double").where("n > 0").groupBy("lang", "level", "token").agg(F.sum("n").alias("n"))
     return [tuple(r) for r in counts.collect()]
 
 
 def level_models(documents: DataFrame, labels: DataFrame, lexicon: DataFrame, max_labels: int = MAX_LABELS) -> LevelModels:
     """The models of the labelled sample, counted again on all documents in ROUNDS rounds."""
     words: dict[str, set[str]] = {}
-    for row in lexicon.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull()).select("lang", "word").collect():  # a fixed word list
+    rows = lexicon.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull()).select("lang", "word").limit(MAX_LEXICON + 1).collect()
+    if len(rows) > MAX_LEXICON:
+        raise ValueError(f"more than {MAX_LEXICON} words")
+    for row in rows:
         words.setdefault(row.lang, set()).add(row.word)
     sample = label_counts(documents, labels, max_labels)
     models = LevelModels(sample, words)
@@ -160,8 +168,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, lexicon: DataFrame,
     """(doc_id, lang, level, share): the level that most of a document's prose is written in, and its share.
 
     Documents in other or unknown languages and null doc_ids have no row; a null text, an empty one or one without
-    prose gets level 2 and share 0. Labels outside the scale
-    are left out."""
+    any word has a null level and share 0, one without prose the level of its other lines. Labels outside the scale are left out."""
     models = level_models(documents, labels, lexicon, max_labels)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +177,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, lexicon: DataFrame,
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 tokens = models.shares(text or "", lang)
                 best = int(tokens.argmax())
-                levels.append(best + 1 if tokens.sum() else 2)
+                levels.append(best + 1 if tokens.sum() else None)
                 shares.append(float(tokens[best] / tokens.sum()) if tokens.sum() else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(levels, pa.int32()), pa.array(shares)], names=["doc_id", "lang", "level", "share"])
 

@@ -17,17 +17,20 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 @lru_cache(maxsize=2)
 def encoding(path: str):
-    """The tokenizer of a file of base64 pieces and ranks; loaded once per Python worker."""
+    """The tokenizer of a file of base64 pieces and ranks, or of the copy that was sent to the executors; loaded once per
+    Python worker."""
     import tiktoken
+    from pyspark import SparkFiles
 
-    with open(path, "rb") as pieces:
+    with open(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)), "rb") as pieces:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, pieces)}
     return tiktoken.Encoding(os.path.basename(path), pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_counts(documents: DataFrame, keys: dict[str, str], path: str = TOKENIZER) -> DataFrame:
     """`keys` (name to type) and n_tokens of each document's whole text; a null text has none. `path` is the
-    tokenizer's file, found at the same place on every executor."""
+    tokenizer's file on the driver, which is sent to the executors."""
+    documents.sparkSession.sparkContext.addFile(path)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path).encode_ordinary
