@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from pagewright.llm import glyphs
-from pagewright.llm.p1_repeated import chunk_fingerprints, repeated_lines
+from pagewright.llm.p1_repeated import chunk_fingerprints, line_keys, repeated_lines, without_repeated_lines
 from pagewright.llm.p2_lookalikes import consistent_text, disguised_terms
-from pagewright.llm.p4_sentences import sentence_ends, sidebar_lines, standalone_items
+from pagewright.llm.p4_sentences import sentence_ends, sentence_units, sidebar_lines, standalone_items
 
 
 def found(tables, texts, kinds=None, offset=3, pages=None):
@@ -38,12 +39,48 @@ def test_tables_short_lines_and_nulls(tables):
 
 
 def test_chunks_tell_books_apart_and_follow_content():
-    import numpy as np
-
-    keys = ["abcdefghijklmnopqrst", "abcdefghijklmnopqrst", "abcdefghijklmnopqrsx"]
-    whole, first, last, middle, bag, n = chunk_fingerprints(keys, np.array([1, 2, 1], np.uint64))
+    rows, _, _, salts, letters, sizes = line_keys(["gkmopsxzgkmopsxzgkmo", "gkmopsxzgkmopsxzgkmo", "gkmopsxzgkmopsxzgkmz"], np.ones(3, np.int64), np.array([1, 2, 1], np.uint64))
+    whole, first, last, middle, bag = chunk_fingerprints(letters, sizes, salts)
     assert whole[0] != whole[1] and first[0] != first[1]
-    assert first[0] == first[2] and whole[0] != whole[2] and list(n) == [20, 20, 20]
+    assert first[0] == first[2] and whole[0] != whole[2] and list(sizes) == [20, 20, 20]
+
+
+def keys(texts, pages=None):
+    """Per text its keys: (number minus page or None, letters, salt)."""
+    rows, moved, stated, salts, letters, sizes = line_keys(texts, np.array(pages or [1] * len(texts)), np.zeros(len(texts), np.uint64))
+    text, ends = letters.astype(np.uint32).tobytes().decode("utf-32-le"), np.cumsum(sizes)
+    out = [[] for _ in texts]
+    for i, m, k, salt, n, end in zip(rows, moved, stated, salts, sizes, ends):
+        out[i].append((int(m) if k else None, text[end - n : end], int(salt)))
+    return out
+
+
+def test_keys_of_lines():
+    plain, numbered, roman, spread, longer, short, empty = keys(["A tengeri út könyve", "A tengeri út könyve | 6", "vii  A tengeri út könyve", "A t e n g e r i  ú t  k ö n y v e", "A tengeri út 12 könyve 5", "rövid", ""])
+    assert len(plain) == len(spread) == 1 and plain == spread and short == empty == []
+    assert numbered[1][0] == 5 and numbered[1][1:] == plain[0][1:] and numbered[0][2] != 0
+    assert roman[1][0] == 6 and roman[1][1:] == plain[0][1:]
+    assert len(longer) == 2 and longer[1][2] != 0 and longer[0][2] != longer[1][2]
+    pairs = keys(["a carnival", "a camival x", "rnrnrniiiiiabc", "mmmuuiabcabc"])
+    assert pairs[0][0][1] + "x" == pairs[1][0][1] and pairs[2][0][1] + pairs[3][0][1][-3:] == pairs[3][0][1]
+    assert keys(["1999 2000 2001 2002 2003 ab"]) == [[]]
+
+
+def test_the_same_letters_in_another_order_are_another_line(tables):
+    assert found(tables, ["The master of the stone east"] * 3 + ["The master of the notes seat"] * 3) == set()
+    assert found(tables, ["The master of the stone east"] * 4 + ["The master of tbe stone cast"] * 3) == set(range(7))
+
+
+def test_lines_of_items_and_pages_without_repeated_lines(tables):
+    head = "A tengeri út könyve"
+    own = ["", "a kutya futott", "szép öreg malom", "hideg tél jött", "vár és torony", "nagy erdő mély", "hosszú út porában", "könnyű szellő fúj"]
+    rows = [(2 * i + k, "b", i, i, k, t) for i in range(1, 8) for k, t in enumerate([head, own[i]])]
+    regions, books = tables.regions([(i, "b", i, 0, "text") for i in range(1, 8)]), tables.books([("b", "hun", 3)])
+    items = tables.items([(1, "b", 9, f"A szép ku-\n{head} | 13\ntya", False), (2, "b", 9, head, False), (3, "b", 9, f"x\n{head}", True), (4, "b", 9, None, False)])
+    made = repeated_lines(tables.lines(rows), regions, books, items=items).where("item").collect()
+    assert [(r.line_id, r.region_id) for r in made] == [(1, 1)]
+    pages = {r.page: (r.text, r.cut) for r in without_repeated_lines(tables.lines(rows), regions, books).collect()}
+    assert pages == {i: (own[i], 1) for i in range(1, 8)}
 
 
 def test_numerals():
@@ -77,6 +114,29 @@ def test_consistent_text_keeps_other_scripts(tables):
     assert made == {1: "Ο κήπος Kocpisco", 2: "plain", 3: None}
 
 
+def consistent(tables, texts, vocabulary=(), copies=1, terms=TERMS):
+    spark = tables.spark
+    rows = spark.createDataFrame([("item", i + 1000 * k, t) for k in range(copies) for i, t in enumerate(texts)], "tbl string, id long, text string")
+    lexicon = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    made = {r.id: r.text for r in consistent_text(rows, spark.createDataFrame(terms, "term_id long, term string"), lexicon).collect()}
+    return [made[i] for i in range(len(texts))]
+
+
+def test_mixed_tokens_take_their_dominant_script(tables):
+    mixed = ["το λόγoς", "нeбо", "Λόγoς", "нeба", "Kиcло", "a\u0581 b"]
+    assert consistent(tables, mixed, ["λόγος", "небо"]) == ["το λόγος", "небо", "Λόγος", "нeба", "Kиcло", "a\u0581 b"]
+    # the vocabulary is also the corpus: words that stand there three times in one script
+    corpus = ["небо и небо", "небо", "нeбо"]
+    assert consistent(tables, corpus)[2] == "небо" and consistent(tables, corpus[1:])[1] == "нeбо"
+    # words wholly in another script stay, but for terms
+    assert consistent(tables, ["сосна сос", "Косрisco"], ["coc"]) == ["сосна сос", "Kocpisco"]
+
+
+def test_one_form_for_every_look(tables):
+    texts = ["ｶﾞｷﾞ", "\u212aelvin", "𝐀𝐛 szó", "ﬃ", "szó！", "語！", "e\u0301 a\u0308", "ตำ", "x² ½ …", "a\u200bb\u00a0c", "plain"]
+    assert consistent(tables, texts) == ["ガギ", "Kelvin", "Ab szó", "ffi", "szó!", "語！", "é ä", "ตำ", "x² ½ …", "ab c", "plain"]
+
+
 def ends(tables, texts):
     """texts: (lang, text with | at each sentence end)"""
     items = tables.items([(i, lang, 1, t and t.replace("|", ""), True) for i, (lang, t) in enumerate(texts)])
@@ -105,6 +165,28 @@ def test_sentences(tables):
         assert got[i] == wanted(text), (lang, text, got[i])
 
 
+MORE_SENTENCES = [
+    ("eng", "A (very " + "long " * 30 + "bracket. And more) text.| Next|"), ("eng", "It ends here.| 1) Then a list.|"), ("eng", "One (two (three.) four.) five.| Six|"), ("eng", "An \ue001odd\ue000 text.| Yes.|"),
+    ("eng", "Never closed (so. Go.| On|".replace("so. ", "so.| ")), ("deu", "Am 3. Tag ging er.| Es war das Jahr 1850.| Obwohl es kalt war, blieb er|"), ("eng", "word " * 20_000 + "end.| X|"),
+]
+
+
+def test_brackets_placeholders_and_long_texts(tables):
+    got = ends(tables, MORE_SENTENCES)
+    for i, (lang, text) in enumerate(MORE_SENTENCES):
+        assert got[i] == wanted(text), (lang, text[:200], got[i])
+
+
+def test_sentence_units(tables):
+    items = tables.items([(1, "b", 1, "Az öreg dr. Kovács áll. A vége", True), (2, "b", 1, None, True), (3, "b", 1, "  ", True)])
+    lines = tables.lines([(1, "b", 1, 7, 0, "A régi dr."), (2, "b", 1, 7, 1, "Kovács (a mester. A"), (2, "b", 1, 7, 1, "Kovács (a mester. A"), (3, "b", 1, 7, 2, "régi! úr) jött. Nincs"), (4, "b", 1, 7, 3, "vége"), (5, "b", 1, 8, 0, "Más.")])
+    regions, books = tables.regions([(7, "b", 1, 0, "sidebar"), (8, "b", 1, 1, "text")]), tables.books([("b", "hun", 0)])
+    made = sentence_units(standalone_items(items, books).unionByName(sidebar_lines(lines, regions, books))).collect()
+    got = sorted((r.tbl, r.id, r.sentence_no, r.text) for r in made)
+    assert got[:2] == [("item", 1, 0, "Az öreg dr. Kovács áll."), ("item", 1, 1, "A vége")]
+    assert [r[3] for r in got[2:]][-1] == "Nincs\nvége" and all(r[0] == "region" and r[1] == 7 for r in got[2:])
+
+
 def test_line_ends_depend_on_the_next_line(tables):
     lines = tables.lines([(1, "b", 1, 1, 0, "A régi dr."), (2, "b", 1, 1, 1, "Kovács jött."), (2, "b", 1, 1, 1, "Kovács jött."), (3, "b", 1, 1, 2, "„Igen!”"), (4, "b", 1, 1, 3, "– szólt Anna."), (5, "b", 1, 2, 0, "Nem sáv."), (6, "b", 1, 1, 4, "Nincs vége")])
     regions = tables.regions([(1, "b", 1, 0, "sidebar"), (1, "b", 1, 0, "sidebar"), (2, "b", 1, 1, "text")])
