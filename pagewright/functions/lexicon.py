@@ -10,6 +10,8 @@ CLASSES = ("aá", "eé", "ií", "oóöő", "uúüű")
 FOREIGN = {"a": "àâäãāă", "e": "èêëēė", "i": "ìîïī", "o": "òôõōø", "u": "ùûūů", "y": "ýÿ"}
 ABBREVIATIONS = ("stb", "ill", "max", "min", "pl", "kb", "vö", "ún", "db", "uo", "ld", "ford", "jav")
 
+LETTER = r"[\p{L}\p{Nl}\p{No}]"
+WORD = LETTER + "+"
 TOKEN = r"[\p{L}\p{Nl}\p{No}]+(?:-[\p{L}\p{Nl}\p{No}]+)*"
 SUFFIXED = rf"[\p{{Nd}}%°]-{TOKEN}|{TOKEN}"
 LONGEST_SUFFIX = 6
@@ -47,12 +49,33 @@ def known_words(lexicon: DataFrame) -> DataFrame:
 def with_book_words(words: DataFrame, book_words: DataFrame) -> DataFrame:
     """(book, word) of `words` (book, word) that a book's own list knows: equal, or a listed word of four letters or
     more with at most LONGEST_SUFFIX letters behind it. The prefix join is an equi-join on every possible length."""
-    listed = book_words.where("word is not null").select("book", F.lower("word").alias("listed")).distinct()
-    lower = words.select("book", "word").distinct().withColumn("lower", F.lower("word"))
+    return _listed(words, book_words, ["book"])
+
+
+def with_listed_words(words: DataFrame, listed: DataFrame) -> DataFrame:
+    """(word) of `words` (word) that one list for all books knows, by the same rule."""
+    return _listed(words, listed, [])
+
+
+def _listed(words: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
+    own = listed.where("word is not null").select(*keys, F.lower("word").alias("listed")).distinct()
+    lower = words.select(*keys, "word").distinct().withColumn("lower", F.lower("word"))
     prefix = F.explode(F.transform(F.sequence(F.greatest(F.lit(1), F.length("lower") - LONGEST_SUFFIX), F.length("lower")), lambda n: F.substring(F.col("lower"), F.lit(1), n)))
     tried = lower.where("lower <> ''").withColumn("listed", prefix)
     allowed = (F.length("listed") >= 4) | (F.col("listed") == F.col("lower"))
-    return tried.where(allowed).join(listed, ["book", "listed"], "left_semi").select("book", "word").distinct()
+    return tried.where(allowed).join(own, [*keys, "listed"], "left_semi").select(*keys, "word").distinct()
+
+
+def vowels_mended(texts: DataFrame, keys: list[str], lexicon: DataFrame) -> DataFrame:
+    """`texts` (keys, text) with every word put right that vowel_repairs has a repair for. Words are looked up once each,
+    however often they stand in the texts; a text's repairs come back as one small map."""
+    words = texts.select(*keys, F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("word"))
+    repairs = vowel_repairs(words.select("word"), lexicon)
+    of_text = words.join(repairs, "word").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("word", "fixed"))).alias("_fixes"))
+    # the text as words and what stands between them, in turn
+    pieces = F.split("text", rf"(?<={LETTER})(?!{LETTER})|(?<!{LETTER})(?={LETTER})")
+    mended = F.array_join(F.transform(pieces, lambda w: F.coalesce(F.try_element_at("_fixes", w), w)), "")
+    return texts.join(of_text, keys, "left").withColumn("text", F.when(F.col("_fixes").isNull(), F.col("text")).otherwise(mended)).drop("_fixes")
 
 
 def vowel_repairs(words: DataFrame, lexicon: DataFrame) -> DataFrame:

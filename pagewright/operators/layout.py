@@ -40,10 +40,11 @@ def build_layout(regions: DataFrame, pages: DataFrame, frames: DataFrame, rules:
     keep their reason and have no order; with `notes`, margin notes come after everything else on their page."""
     raw = regions.select(*PAGE, "id", "kind", "box").withColumn("dropped", F.lit(None).cast("string"))
     kept = rg.dedupe(rg.filter_regions(raw, pages, rules), rules.inside)
-    groups = sidebar_groups(kept, rg.frame_groups(kept, frames).select(*PAGE, "id", F.col("grp").cast("int").alias("grp")))
+    used, in_frames = rg.used_frames(kept, frames)
+    groups = sidebar_groups(kept, in_frames.select(*PAGE, "id", F.col("grp").cast("int").alias("grp")))
     tail = None
     if notes:
         groups, tail = note_groups(kept, groups, rg.margin_notes(kept, pages, rules))
     grouped = kept.join(groups, [*PAGE, "id"], "left")
-    order = ordering.order_regions(grouped, pages, None, placement, tail)
+    order = ordering.order_regions(grouped, pages, used, placement, tail)
     return grouped.join(order, [*PAGE, "id"], "left").select(*PAGE, "id", "kind", "box", "dropped", "grp", "ord")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.reconcile import merged_text
 from . import geometry as g
+from .ordering import group_rows
 
 # Short Hungarian words that are no scraps, and such that stay at a line's end.
 SHORT = "a az s és is ez e ha le be ki ne se el ő ők én te mi ti ma no jó fő kő ló tó új év út id pl km kp tp ép -- – — -".split()
@@ -69,6 +71,25 @@ def paired_lines(primary: DataFrame, secondary: DataFrame, keys: list[str]) -> D
     return primary.join(found.select(*keys, "line_no", F.col("_p.text").alias("partners")), [*keys, "line_no"], "left").withColumn("partners", F.coalesce("partners", F.array().cast("array<string>")))
 
 
+def ensemble_lines(primary: DataFrame, secondary: DataFrame, keys: list[str], known: frozenset[str]) -> DataFrame:
+    """`primary` with its text mended by the second reading's lines on the same row: what two engines together read.
+    `known` is a checked, bounded list; a line without a partner stays as it is."""
+    paired = paired_lines(primary, secondary, keys)
+    return paired.withColumn("text", merged_text(F.col("text"), F.col("partners"), is_low_confidence(F.col("conf")), known)).drop("partners")
+
+
+def recogniser_rows(fragments: DataFrame, keys: list[str], min_score: float = 0.5, least: float = 4.0) -> DataFrame:
+    """`keys`, line_no, text, box, conf from a recogniser's fragments (keys, ordinal, text, score, box): without those of
+    less than `least` in width or height, empty ones and those under `min_score`, rows from the top, each from left to
+    right, with the score of its worst part."""
+    big = (g.width(F.col("box")) >= least) & (g.height(F.col("box")) >= least)
+    read = (F.coalesce(F.trim("text"), F.lit("")) != "") & (F.col("score") >= min_score)
+    kept = fragments.where(big & read).select(*keys, "ordinal", "text", "score", "box")
+    placed = group_rows(kept, keys).join(kept, [*keys, "ordinal"])
+    words = F.sort_array(F.collect_list(F.struct("place", "ordinal", "text")))
+    return placed.groupBy(*keys, F.col("row_no").alias("line_no")).agg(F.array_join(words["text"], " ").alias("text"), g.union_of(F.col("box")).alias("box"), F.round(F.min("score"), 3).alias("conf"))
+
+
 def answer_lines(answers: DataFrame, keys: list[str]) -> DataFrame:
     """`keys`, line_no, par, text: the lines of a model's answer (keys, answer); a paragraph begins after a blank
     line that follows text."""

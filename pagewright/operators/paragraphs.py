@@ -72,13 +72,13 @@ def single_line(lines: DataFrame, keys: list[str], known: frozenset[str] | None
     return pieces.select(*keys, joined(F.col("_pieces"), known).alias("text"))
 
 
-def continuation_islands(items: DataFrame) -> DataFrame:
+def continuation_islands(items: DataFrame, keys: tuple[str, ...] = ("book",)) -> DataFrame:
     """`items` (book, seq, type, text, grp, standalone) of type para and heading with `island`: the seq of the item in
     which the text that an item belongs to begins.
 
-    Texts flow on within a book's main text and within each group. A paragraph goes on with the paragraph before it in
+    Texts flow on within a book's main text, or within what else `keys` part, and within each group. A paragraph goes on with the paragraph before it in
     its flow unless that ends a sentence, a heading stands between, or it stands alone itself."""
-    flow = Window.partitionBy("book", "grp").orderBy("seq")
+    flow = Window.partitionBy(*keys, "grp").orderBy("seq")
     kept = items.where(F.col("type").isin("para", "heading"))
     before_type, before_text = F.lag("type").over(flow), F.lag("text").over(flow)
     goes_on = (F.col("type") == "para") & (before_type == "para") & ~F.coalesce("standalone", F.lit(False)) & t.should_continue(before_text, F.col("text"))
@@ -86,11 +86,11 @@ def continuation_islands(items: DataFrame) -> DataFrame:
     return marked.withColumn("island", F.last("_start", ignorenulls=True).over(flow.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_start")
 
 
-def merge_continuations(items: DataFrame, known: frozenset[str] | None = None) -> DataFrame:
-    """`items` with paragraphs that go on joined, at the place of their first piece."""
-    islands = continuation_islands(items)
-    pieces = islands.groupBy("book", "grp", "island").agg(F.sort_array(F.collect_list(F.struct("seq", "text")))["text"].alias("_pieces"))
-    first = islands.where("seq = island").join(pieces.where("size(_pieces) > 1").select("book", F.col("island").alias("seq"), "_pieces"), ["book", "seq"], "left")
+def merge_continuations(items: DataFrame, known: frozenset[str] | None = None, keys: tuple[str, ...] = ("book",)) -> DataFrame:
+    """`items` with paragraphs that go on joined, at the place of their first piece; seq is unique within `keys`."""
+    islands = continuation_islands(items, keys)
+    pieces = islands.groupBy(*keys, "grp", "island").agg(F.sort_array(F.collect_list(F.struct("seq", "text")))["text"].alias("_pieces"))
+    first = islands.where("seq = island").join(pieces.where("size(_pieces) > 1").select(*keys, F.col("island").alias("seq"), "_pieces"), [*keys, "seq"], "left")
     text = F.when(F.col("_pieces").isNotNull(), joined(F.col("_pieces"), known)).otherwise(F.col("text"))
     merged = first.withColumn("text", text).select(*items.columns)
     return merged.unionByName(items.where(~F.coalesce(F.col("type").isin("para", "heading"), F.lit(False))))

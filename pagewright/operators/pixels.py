@@ -151,19 +151,55 @@ def line_mask(marks: np.ndarray) -> np.ndarray:
     return run_filter(marks, max(3, int(0.12 * w)), 1) | run_filter(marks, max(3, int(0.06 * h)), 0)
 
 
-def ruled_frames(marks: np.ndarray, content: Box, least: float = 0.02) -> list[Box]:
-    """Boxes drawn with lines, inside the content and under half of it."""
-    whole = max(1.0, (content[2] - content[0]) * (content[3] - content[1]))
-    slack = 0.005 * max(marks.shape)
+def window_sums(marks: np.ndarray, size: int, turned: bool = False) -> np.ndarray:
+    """How much ink there is in the square of that size about each place, for even sizes one place further up and left, or
+    down and right if `turned`; outside of the image there is none."""
+    before, after = (size - 1 - size // 2, size // 2) if turned else (size // 2, size - 1 - size // 2)
+    sums = np.pad(np.pad(marks.astype(np.int32), ((before, after), (before, after))).cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+    return sums[size:, size:] - sums[:-size, size:] - sums[size:, :-size] + sums[:-size, :-size]
+
+
+def opened(marks: np.ndarray, size: int) -> np.ndarray:
+    """Only ink in which a square of that size fits."""
+    return window_sums(window_sums(marks, size) == size * size, size, True) > 0
+
+
+def closed(marks: np.ndarray, size: int) -> np.ndarray:
+    """Ink with the gaps filled in which no square of that size fits."""
+    return ~opened(~marks, size)
+
+
+def inside_frames(boxes: list[Box], content: Box, slack: float, em: float) -> list[Box]:
+    """Boxes that can be frames: large enough, under half of the content, and not at its edges, as borders are."""
+    w, h = content[2] - content[0], content[3] - content[1]
+    least_w, least_h = int(0.2 * w), int(max(3 * em, 0.04 * h))
     out = []
-    for b in components(line_mask(marks)):
-        size = (b[2] - b[0]) * (b[3] - b[1])
+    for b in boxes:
+        bw, bh = b[2] - b[0], b[3] - b[1]
         inside = b[0] > content[0] + slack and b[1] > content[1] + slack and b[2] < content[2] - slack and b[3] < content[3] - slack
-        if inside and least * whole <= size < 0.5 * whole:
+        if inside and bw >= least_w and bh >= least_h and bw * bh < 0.5 * w * h:
             out.append(b)
     return out
 
 
+def ruled_frames(marks: np.ndarray, content: Box, em: float = 20.0) -> list[Box]:
+    """Boxes drawn with lines, inside the content and under half of it."""
+    return inside_frames(components(closed(line_mask(marks), 9)), content, 0.005 * max(marks.shape), em)
+
+
+def tinted_panels(gray: np.ndarray, content: Box, em: float = 20.0, delta: float = 22.0) -> list[Box]:
+    """Boxes on a tinted ground, inside the content and under half of it: darker than the paper by `delta`, lighter than ink,
+    without the gaps that letters make."""
+    x0, y0, x1, y1 = (int(round(v)) for v in content)
+    part = gray[y0:y1, x0:x1]
+    if not part.size:
+        return []
+    size = max(3, int(1.5 * em))
+    tint = (part < np.percentile(part, 90) - delta) & (part > 90)
+    found = components(closed(opened(tint, size), 2 * size))
+    return inside_frames([(b[0] + x0, b[1] + y0, b[2] + x0, b[3] + y0) for b in found], content, 0.005 * max(gray.shape), em)
+
+
 def letter_height(parts: list[Box]) -> float:
     """Median height of parts that can be letters, 20 without any."""
     hs = [b[3] - b[1] for b in parts if 5 <= b[3] - b[1] <= 300 and b[2] - b[0] <= 5 * (b[3] - b[1])]
@@ -197,34 +233,100 @@ def smeared(marks: np.ndarray, across: int, down: int) -> np.ndarray:
     return out
 
 
+def same_rows(at: np.ndarray) -> np.ndarray:
+    """Which of the boxes share more than half of the lower one's height."""
+    shared = np.minimum(at[:, None, 3], at[None, :, 3]) - np.maximum(at[:, None, 1], at[None, :, 1])
+    height = at[:, 3] - at[:, 1]
+    return shared > 0.5 * np.minimum(height[:, None], height[None, :])
+
+
+def joined_neighbours(boxes: list[Box]) -> list[Box]:
+    """Fragments of a row as one where the gap between them is a word's for their own height, the leftmost first, until
+    none is left; a union can close a gap that was too wide before."""
+    at = np.array(sorted(boxes), float).reshape(-1, 4)
+    while True:
+        gap, height = at[None, :, 0] - at[:, None, 2], at[:, 3] - at[:, 1]
+        close = same_rows(at) & (gap >= 0) & (gap < 0.8 * np.minimum(height[:, None], height[None, :]))
+        first = np.flatnonzero(close)
+        if not len(first):
+            return [tuple(map(float, b)) for b in at]
+        i, j = divmod(int(first[0]), len(at))
+        at[i] = [*np.minimum(at[i, :2], at[j, :2]), *np.maximum(at[i, 2:], at[j, 2:])]
+        at = np.delete(at, j, 0)
+        at = at[np.argsort(at[:, 0], kind="stable")]
+
+
+def in_columns(boxes: list[Box]) -> np.ndarray:
+    """Which fragments have another one beside them on their row. Only neighbours in the order of their tops are looked
+    at, as far down as a fragment reaches."""
+    at = np.array(boxes, float).reshape(-1, 4)
+    order = np.argsort(at[:, 1], kind="stable")
+    tops, flags = at[order, 1], np.zeros(len(at), bool)
+    reach = np.searchsorted(tops, at[order, 3], "right")
+    height = at[:, 3] - at[:, 1]
+    for k, i in enumerate(order):
+        below = order[k + 1 : reach[k]]
+        shared = np.minimum(at[i, 3], at[below, 3]) - np.maximum(at[i, 1], at[below, 1])
+        beside = (shared > 0.5 * np.minimum(height[i], height[below])) & ((at[below, 0] > at[i, 2]) | (at[i, 0] > at[below, 2]))
+        flags[below[beside]] = True
+        flags[i] |= beside.any()
+    return flags
+
+
+def stacked(boxes: list[Box], columnar: np.ndarray, em: float) -> list[list[int]]:
+    """Fragments stacked into blocks from the top: each goes on the block that it is closest below, if gap, height and edges
+    agree and both stand in columns or neither does; a fragment alone on its row may also end a block in columns."""
+    out: list[list[int]] = []
+    at, line, single = np.zeros((0, 4)), np.zeros(0), np.zeros(0, bool)  # of each block: its box, line height, not in columns
+    for i in sorted(range(len(boxes)), key=lambda i: (boxes[i][1], boxes[i][0])):
+        x0, y0, x1, y1 = boxes[i]
+        high, low = np.maximum(line, y1 - y0), np.minimum(line, y1 - y0)
+        gap = y0 - at[:, 3]
+        near = (gap <= 1.1 * high) & (gap >= -0.5 * high) & (high <= 1.4 * np.maximum(1.0, low))
+        edges = np.minimum(x1, at[:, 2]) - np.maximum(x0, at[:, 0]) >= 0.5 * np.minimum(x1 - x0, at[:, 2] - at[:, 0])
+        within = (x0 >= at[:, 0] - 1.5 * em) & (x1 <= at[:, 2] + 1.5 * em)
+        alike = (single == (not columnar[i])) | (within & (not columnar[i]))
+        fits = np.flatnonzero(near & edges & alike)
+        if len(fits):
+            k = fits[np.argmin(gap[fits])]
+            out[k].append(i)
+            at[k] = [min(at[k, 0], x0), min(at[k, 1], y0), max(at[k, 2], x1), max(at[k, 3], y1)]
+            line[k] = np.median([boxes[m][3] - boxes[m][1] for m in out[k]])
+        else:
+            out.append([i])
+            at, line, single = np.vstack([at, boxes[i]]), np.append(line, y1 - y0), np.append(single, not columnar[i])
+    return out
+
+
+def block_kind(marks: np.ndarray, b: Box, fragments: int, em: float, title_ratio: float = 1.45, big_ink: float = 0.5) -> str:
+    """figure, where most ink is in parts larger than letters; title, where the letters are, in few fragments; else text."""
+    x0, y0, x1, y1 = (int(round(v)) for v in b)
+    part = marks[y0:y1, x0:x1]
+    found = np.array(components(part), float).reshape(-1, 4)
+    if not len(found):
+        return "text"
+    wide, high = found[:, 2] - found[:, 0], found[:, 3] - found[:, 1]
+    inked = np.array([part[int(c[1]) : int(c[3]), int(c[0]) : int(c[2])].sum() for c in found], float)
+    huge = (high > 3.5 * em) | (wide > 12 * em)
+    if inked[huge].sum() > big_ink * inked.sum() and (b[3] - b[1] > 6 * em or part.mean() > 0.35):
+        return "figure"
+    letters = high[high >= 4]
+    return "title" if len(letters) and np.median(letters) > title_ratio * em and fragments <= 3 else "text"
+
+
 def blocks(marks: np.ndarray) -> tuple[list[tuple[str, Box]], float]:
-    """Kinds and boxes of a page's blocks, from the top, and the letter height: lines are smeared into fragments,
-    specks left out, and fragments stacked while gap, size and edges agree."""
+    """Kinds and boxes of a page's blocks, from the top, and the letter height: lines are smeared into fragments, specks
+    left out, neighbours joined, and fragments stacked."""
     parts = components(marks)
     em = letter_height(parts)
-    reach = max(1, int(round(max(em, 1.5 * word_gap(parts, em)))))
-    fragments = [b for b in components(smeared(marks, reach, 1)) if not (b[3] - b[1] < 0.35 * em and b[2] - b[0] < 2 * em)]
-    stacks: list[list[Box]] = []
-    for f in sorted(fragments, key=lambda b: (b[1], b[0])):
-        best, best_gap = None, math.inf
-        for stack in stacks:
-            last = stack[-1]
-            lh, fh = last[3] - last[1], f[3] - f[1]
-            gap = f[1] - last[3]
-            shared = min(last[2], f[2]) - max(last[0], f[0])
-            close = -0.5 * em <= gap <= 1.1 * max(lh, fh) and max(lh, fh) <= 1.4 * min(lh, fh)
-            if close and shared >= 0.5 * min(last[2] - last[0], f[2] - f[0]) and gap < best_gap:
-                best, best_gap = stack, gap
-        if best is None:
-            stacks.append([f])
-        else:
-            best.append(f)
+    reach = int(min(max(1.5 * word_gap(parts, em), 0.8 * em), 2.5 * em)) + 1
+    large = [(b[0] + reach // 2, b[1], b[2] - reach // 2, b[3]) for b in components(smeared(marks, reach, 0)) if not (b[3] - b[1] < 0.35 * em and b[2] - b[0] < 2 * em)]
+    fragments = joined_neighbours(large)
     out = []
-    for stack in stacks:
-        b = (min(f[0] for f in stack), min(f[1] for f in stack), max(f[2] for f in stack), max(f[3] for f in stack))
-        tall = float(np.median([f[3] - f[1] for f in stack]))
-        dense = ink_ratio(marks, b) > 0.5 and b[3] - b[1] > 6 * em
-        out.append(("figure" if dense else "title" if tall > 1.45 * em * 1.2 and len(stack) <= 3 else "text", b))
+    for stack in stacked(fragments, in_columns(fragments), em):
+        at = np.array([fragments[i] for i in stack])
+        b = (*map(float, at[:, :2].min(0)), *map(float, at[:, 2:].max(0)))
+        out.append((block_kind(marks, b, len(stack), em), b))
     return sorted(out, key=lambda kb: (kb[1][1], kb[1][0])), em
 
 
@@ -301,53 +403,61 @@ def overlay(gray: np.ndarray, regions: list[tuple[str, Box, str | None]]) -> np.
         out[y0, x0 : x1 + 1] = out[y1, x0 : x1 + 1] = colour
         out[y0 : y1 + 1, x0] = out[y0 : y1 + 1, x1] = colour
         if dropped:
-            n = max(1, x1 - x0, y1 - y0)
+            n = max(x1 - x0, y1 - y0) + 1
             out[np.linspace(y0, y1, n).round().astype(int), np.linspace(x0, x1, n).round().astype(int)] = colour
     return out
 
 
-def drawn(layouts: DataFrame, regions: DataFrame, scale: float = 0.1) -> DataFrame:
-    """(book, page, height, width, data): pages with their regions drawn as bars for text and lines for frames."""
+def drawn(layouts: DataFrame, regions: DataFrame, scale: float = 0.3) -> DataFrame:
+    """(book, page, height, width, data): pages with rows of letters in their regions and lines for frames, turned by
+    their skew_deg, at a share of their size."""
     boxes = regions.where("dropped is null").groupBy("book", "page").agg(F.sort_array(F.collect_list("box")).alias("boxes"))
 
+    def page(row) -> np.ndarray:
+        image = np.full((int(row.height * scale), int(row.width * scale)), 255, np.uint8)
+        h, w = image.shape
+        for b in row.boxes if row.boxes is not None else []:
+            x0, y0, x1, y1 = (int(b[c] * scale) for c in ("x0", "y0", "x1", "y1"))
+            x = np.arange(x0, min(x1, w))
+            letters = x[((x - x0) % 5 < 3) & ((x - x0) % 40 < 33)]  # of three columns, with gaps, and wider ones between words
+            for y in range(y0, max(y0 + 1, min(y1, h) - 6), 11):
+                image[y : y + 6, letters] = 40
+        for b in row.frames if row.frames is not None else []:
+            x0, y0, x1, y1 = (int(b[c] * scale) for c in ("x0", "y0", "x1", "y1"))
+            image[y0, x0:x1] = image[min(y1, h) - 1, x0:x1] = 0
+            image[y0:y1, x0] = image[y0:y1, min(x1, w) - 1] = 0
+        return rotated(image, row.skew_deg if row.skew_deg == row.skew_deg and row.skew_deg is not None else 0.0)
+
     def batches(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in source:
-            out = []
-            for row in batch.itertuples():
-                h, w = int(row.height * scale), int(row.width * scale)
-                image = np.full((h, w), 255, np.uint8)
-                for b in row.boxes if row.boxes is not None else []:
-                    x0, y0, x1, y1 = (int(b[c] * scale) for c in ("x0", "y0", "x1", "y1"))
-                    for y in range(y0, max(y0 + 1, y1 - 2), 5):
-                        image[y : y + 3, x0:x1:2] = 40
-                for b in row.frames if row.frames is not None else []:
-                    x0, y0, x1, y1 = (int(b[c] * scale) for c in ("x0", "y0", "x1", "y1"))
-                    image[y0, x0:x1] = image[min(y1, h) - 1, x0:x1] = 0
-                    image[y0:y1, x0] = image[y0:y1, min(x1, w) - 1] = 0
-                out.append((row.book, row.page, h, w, image.tobytes()))
-            yield pd.DataFrame(out, columns=["book", "page", "height", "width", "data"])
-
-    both = layouts.select("book", "page", "width", "height", "frames").join(boxes, ["book", "page"], "left")
-    return both.mapInPandas(batches, f"book string, page int, {IMAGE}")
-
-
-def analysed(images: DataFrame) -> DataFrame:
-    """(book, page, skew, ink, letter_height, frames, blocks, error): what the pixel steps find on each page. A page
-    that cannot be read has its error and nothing else."""
+            made = [(row.book, row.page, page(row)) for row in batch.itertuples()]
+            yield pd.DataFrame([(b, p, *image.shape, image.tobytes()) for b, p, image in made], columns=["book", "page", "height", "width", "data"])
+
+    both = layouts.select("book", "page", "width", "height", "frames", "skew_deg").join(boxes, ["book", "page"], "left")
+    parts = int(layouts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a page is a heavy row: spread them, however few bytes they are
+    return both.repartition(parts, "book", "page").mapInPandas(batches, f"book string, page int, {IMAGE}")
+
+
+def analysed(images: DataFrame, most_skew: float = 3.0) -> DataFrame:
+    """(book, page, skew, ink, letter_height, frames, blocks, error): what the pixel steps find on each page, once it is evened,
+    stretched and straightened. A page that cannot be read has its error and nothing else."""
+
+    def found(row) -> tuple:
+        image, angle = prepared(np.frombuffer(row.data, np.uint8).reshape(row.height, row.width), most_skew)
+        marks = ink(image)
+        kinds, em = blocks(marks)
+        whole = (0.0, 0.0, float(row.width), float(row.height))
+        return angle, round(float(marks.mean()), 4), em, len(ruled_frames(marks, whole, em)) + len(tinted_panels(image, whole, em)), len(kinds), None
 
     def batches(source: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in source:
             out = []
             for row in batch.itertuples():
                 try:
-                    gray = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width)
-                    marks = ink(gray)
-                    found, em = blocks(marks)
-                    out.append((row.book, row.page, skew(marks, 1.0), round(float(marks.mean()), 4), em, len(ruled_frames(marks, (0, 0, row.width, row.height))), len(found), None))
+                    out.append((row.book, row.page, *found(row)))
                 except Exception as error:  # a bad scan must not end the job
                     out.append((row.book, row.page, None, None, None, None, None, f"{type(error).__name__}: {error}"))
             yield pd.DataFrame(out, columns=["book", "page", "skew", "ink", "letter_height", "frames", "blocks", "error"])
 
-    # a page is a heavy row: spread them, however few bytes they are
-    parts = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return images.repartition(parts, "book", "page").mapInPandas(batches, "book string, page int, skew double, ink double, letter_height double, frames int, blocks int, error string")
+    return images.mapInPandas(batches, "book string, page int, skew double, ink double, letter_height double, frames int, blocks int, error string")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import geometry as g
 
-# Labels of the page layout model and the kinds they stand for.
-KIND_OF_LABEL = {
-    "paragraph_title": "title", "doc_title": "title", "image": "figure", "chart": "figure", "figure": "figure", "table": "table",
-    "figure_title": "caption", "chart_title": "caption", "table_title": "caption", "header": "header", "header_image": "header",
-    "footer": "footer", "footer_image": "footer", "number": "page_number", "seal": "ornament", "text": "text",
+# Labels of the page layout model by the kinds they stand for; all others are text.
+LABELS_OF_KIND = {
+    "title": ("paragraph_title", "doc_title"), "table": ("table",), "figure": ("image", "chart", "seal"), "ornament": ("header_image", "footer_image"),
+    "caption": ("figure_title", "table_title", "chart_title", "vision_footnote"), "header": ("header",), "footer": ("footer",), "page_number": ("number",),
 }
 TEXT_KINDS = ("text", "title", "sidebar", "caption")
 MAIN_KINDS = (*TEXT_KINDS, "table")
@@ -39,7 +39,7 @@ class RegionRules:
 
 def kind_of(label: Column) -> Column:
     """The kind that a model's label stands for; unknown labels are text."""
-    pairs = [F.lit(x) for pair in KIND_OF_LABEL.items() for x in pair]
+    pairs = [F.lit(x) for kind, labels in LABELS_OF_KIND.items() for name in labels for x in (name, kind)]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), label), F.lit("text"))
 
 
@@ -78,27 +78,25 @@ def containers(regions: DataFrame, inside: float = 0.7) -> DataFrame:
     return pairs.groupBy(*PAGE, "id").agg(F.count("*").alias("parts")).where("parts >= 2")
 
 
+def common_areas(boxes: np.ndarray) -> np.ndarray:
+    """The area that each two boxes have in common; a box's own area on the diagonal."""
+    low, high = np.maximum(boxes[:, None, :2], boxes[None, :, :2]), np.minimum(boxes[:, None, 2:], boxes[None, :, 2:])
+    return np.clip(high - low, 0, None).prod(2)
+
+
 def nested_reasons(regions: list[tuple[str, float, float, float, float]], inside: float = 0.7) -> list[str | None]:
     """Why each of a page's kept regions (kind, x0, y0, x1, y1), in order, goes: containers of two or more of their
     kind first, then, one region after another, the smaller one nested in it."""
-    size = [max(0.0, r[3] - r[1]) * max(0.0, r[4] - r[2]) for r in regions]
-    reason: list[str | None] = [None] * len(regions)
-
-    def covered(i: int, j: int) -> bool:
-        a, b = regions[i], regions[j]
-        common = max(0.0, min(a[3], b[3]) - max(a[1], b[1])) * max(0.0, min(a[4], b[4]) - max(a[2], b[2]))
-        return bool(size[i]) and common / size[i] >= inside
-
-    each = range(len(regions))
-    within = [[i for i in each if i != j and regions[i][0] == regions[j][0] and covered(i, j)] for j in each]
-    for j in each:
-        if len(within[j]) >= 2:
-            reason[j] = "container"
-    for j in each:
-        for i in within[j] if reason[j] is None else ():
-            if reason[i] is None and size[i] <= size[j]:
-                reason[i] = "duplicate"
-    return reason
+    n = len(regions)
+    common = common_areas(np.array([r[1:] for r in regions], float).reshape(n, 4))
+    size, kinds = np.diag(common), np.array([r[0] for r in regions], object)
+    # holds[j, i]: region j holds region i
+    holds = (common >= inside * size[None, :]) & (size[None, :] > 0) & (kinds[:, None] == kinds[None, :]) & ~np.eye(n, dtype=bool)
+    container = holds.sum(1) >= 2
+    gone = container.copy()
+    for j, i in zip(*np.nonzero(holds & ~container[:, None] & (size[None, :] <= size[:, None]))):
+        gone[i] |= not gone[j]
+    return ["container" if c else "duplicate" if g else None for c, g in zip(container, gone)]
 
 
 def dedupe(regions: DataFrame, inside: float = 0.7) -> DataFrame:
@@ -120,19 +118,17 @@ def dedupe(regions: DataFrame, inside: float = 0.7) -> DataFrame:
 def merged_boxes(boxes: list[tuple[float, float, float, float]], pad: float = 0.0) -> list[tuple[float, float, float, float]]:
     """Boxes that overlap, after padding, united until none do; touching is no overlap. A union may reach boxes that
     neither part did, so this is no search for connected components."""
-    waiting = list(boxes)
+    at = np.array(boxes, float).reshape(-1, 4)
     while True:
-        out: list[tuple[float, float, float, float]] = []
-        for b in waiting:
-            hit = next((k for k, o in enumerate(out) if min(o[2] + pad, b[2]) > max(o[0] - pad, b[0]) and min(o[3] + pad, b[3]) > max(o[1] - pad, b[1])), None)
-            if hit is None:
-                out.append(b)
-            else:
-                o = out[hit]
-                out[hit] = (min(o[0], b[0]), min(o[1], b[1]), max(o[2], b[2]), max(o[3], b[3]))
-        if len(out) == len(waiting):
-            return out
-        waiting = out
+        wide = at + np.array([-pad, -pad, 0, 0]) + np.array([0, 0, pad, pad])
+        meets = (np.maximum(at[:, None, :2], wide[None, :, :2]) < np.minimum(at[:, None, 2:], wide[None, :, 2:])).all(2)
+        meets |= meets.T
+        np.fill_diagonal(meets, True)
+        leader = meets.argmax(1)  # the first box that each one meets
+        if (leader == np.arange(len(at))).all():
+            return [tuple(map(float, b)) for b in at]
+        groups = [at[leader == k] for k in np.unique(leader)]
+        at = np.array([[*g[:, :2].min(0), *g[:, 2:].max(0)] for g in groups])
 
 
 def merge_frames(frames: DataFrame) -> DataFrame:
@@ -148,19 +144,25 @@ def merge_frames(frames: DataFrame) -> DataFrame:
     return per_page.select(*PAGE, F.posexplode(united("_f")).alias("frame_id", "box"))
 
 
-def frame_groups(regions: DataFrame, frames: DataFrame) -> DataFrame:
-    """(book, page, id, grp): the frame that each kept region's centre lies in, the first of several, counting only
-    frames that are used. A frame is not used that pictures cover (dropped ones count), that a table or figure
-    fills, or that holds no text."""
+def used_frames(regions: DataFrame, frames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The frames that are used, (book, page, frame_id, box), numbered anew from 0, and (book, page, id, grp): the frame that
+    each kept region's centre lies in, the first of several. A frame is not used that pictures cover (dropped ones
+    count), that a table or figure fills, or that holds no text."""
     pictures = regions.where(F.col("kind").isin("figure", "ornament")).select(*PAGE, F.col("box").alias("picture"))
     covered = frames.join(pictures, list(PAGE), "left").groupBy(*PAGE, "frame_id").agg(F.first("box").alias("box"), F.sum(F.coalesce(g.area(g.intersection(F.col("box"), F.col("picture"))), F.lit(0.0))).alias("covered"))
     clear = merge_frames(covered.where(F.col("covered") < 0.3 * g.area(F.col("box"))))
     kept = regions.where("dropped is null and box is not null").select(*PAGE, "id", "kind", F.col("box").alias("region_box"))
     inside = clear.join(kept, list(PAGE)).where(g.contains(F.col("box"), g.centre_x(F.col("region_box")), g.centre_y(F.col("region_box"))))
     filled = F.max((F.col("kind").isin("table", "figure") & (g.area(F.col("region_box")) > 0.6 * g.area(F.col("box")))).cast("int"))
-    used = inside.groupBy(*PAGE, "frame_id").agg(filled.alias("filled"), F.max(F.col("kind").isin(*TEXT_KINDS).cast("int")).alias("has_text")).where("filled = 0 and has_text = 1")
-    numbered = used.withColumn("grp", F.row_number().over(Window.partitionBy(*PAGE).orderBy("frame_id")) - 1).select(*PAGE, "frame_id", "grp")
-    return inside.join(numbered, [*PAGE, "frame_id"]).groupBy(*PAGE, "id").agg(F.min("grp").alias("grp"))
+    used = inside.groupBy(*PAGE, "frame_id", "box").agg(filled.alias("filled"), F.max(F.col("kind").isin(*TEXT_KINDS).cast("int")).alias("has_text")).where("filled = 0 and has_text = 1")
+    numbered = used.withColumn("grp", F.row_number().over(Window.partitionBy(*PAGE).orderBy("frame_id")) - 1).select(*PAGE, "frame_id", "box", "grp")
+    groups = inside.select(*PAGE, "id", "frame_id").join(numbered.drop("box"), [*PAGE, "frame_id"]).groupBy(*PAGE, "id").agg(F.min("grp").alias("grp"))
+    return numbered.select(*PAGE, F.col("grp").alias("frame_id"), "box"), groups
+
+
+def frame_groups(regions: DataFrame, frames: DataFrame) -> DataFrame:
+    """(book, page, id, grp): the used frame that each kept region's centre lies in."""
+    return used_frames(regions, frames)[1]
 
 
 def margin_notes(regions: DataFrame, pages: DataFrame, rules: RegionRules = RegionRules()) -> DataFrame:

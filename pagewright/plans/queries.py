@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as t
-from ..operators import assemble, geometry as g, lines as ln, ordering, paragraphs as pg, pixels, regions as rg
+from ..operators import assemble, geometry as g, layout, lines as ln, ordering, paragraphs as pg, pixels, regions as rg
 from ..sources import config, engines, pagejson
 from ..streaming import pages as stream
 from . import oracles
@@ -117,13 +117,17 @@ def _frames(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "page_layouts").select(*PAGE, F.posexplode("frames").alias("frame_id", "box"))
 
 
+def _drawn_frames(spark: SparkSession, d: str, regions: DataFrame) -> DataFrame:
+    drawn = g.box(F.col("box.x0") - 10, F.col("box.y0") - 10, F.col("box.x1") + 10, F.col("box.y1") + 10)
+    round_sidebars = regions.where("kind = 'sidebar'").select(*PAGE, (F.col("id") + 100).alias("frame_id"), drawn.alias("box"))
+    return _frames(spark, d).unionByName(round_sidebars)
+
+
 @query
 def frame_groups(spark: SparkSession, d: str) -> DataFrame:
     """Frames drawn round the sidebars, beside those of the layouts."""
     regions = regions_of(spark, d).withColumn("dropped", F.lit(None).cast("string"))
-    drawn = g.box(F.col("box.x0") - 10, F.col("box.y0") - 10, F.col("box.x1") + 10, F.col("box.y1") + 10)
-    round_sidebars = regions.where("kind = 'sidebar'").select(*PAGE, (F.col("id") + 100).alias("frame_id"), drawn.alias("box"))
-    return rg.frame_groups(regions, _frames(spark, d).unionByName(round_sidebars))
+    return rg.frame_groups(regions, _drawn_frames(spark, d, regions))
 
 
 def _two_columns(spark: SparkSession, d: str) -> DataFrame:
@@ -157,6 +161,14 @@ def two_column_order(spark: SparkSession, d: str) -> DataFrame:
     return ordering.order_regions(_two_columns(spark, d).withColumn("grp", F.lit(None).cast("int")), pages)
 
 
+@query
+def page_layout(spark: SparkSession, d: str) -> DataFrame:
+    """All layout steps: what is dropped, what belongs together, the order in which it is read."""
+    regions = regions_of(spark, d)
+    made = layout.build_layout(regions, pages_of(spark, d), _drawn_frames(spark, d, regions), notes=True)
+    return made.select(*PAGE, "id", "kind", "dropped", "grp", "ord")
+
+
 @query
 def label_kinds(spark: SparkSession, d: str) -> DataFrame:
     label = F.element_at(F.split("source", ":"), -1)
@@ -279,6 +291,16 @@ def render_markdown(spark: SparkSession, d: str) -> DataFrame:
     return assemble.render(read(spark, d, "items"))
 
 
+@query
+def page_markdown(spark: SparkSession, d: str) -> DataFrame:
+    return assemble.page_markdown(read(spark, d, "items"))
+
+
+@query
+def book_markdown(spark: SparkSession, d: str) -> DataFrame:
+    return assemble.book_markdown(read(spark, d, "items"), read(spark, d, "books"))
+
+
 @query
 def html_tables(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "items").where("type = 'table'")
@@ -286,9 +308,22 @@ def html_tables(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("item_id", t.html_table(F.concat(F.lit("<table><tr><td>"), cells, F.lit("</td></tr></table>"))).alias("markdown"))
 
 
+def _listed_words(spark: SparkSession, d: str) -> DataFrame:
+    """The words of the terms: one list for all books."""
+    return read(spark, d, "terms").select(F.explode(F.regexp_extract_all("term", F.lit(lx.TOKEN), F.lit(0))).alias("word"))
+
+
 def _quality(spark: SparkSession, d: str) -> DataFrame:
     lines = lines_of(spark, d)
-    return assemble.page_quality(lines, lines.select(*PAGE, t.clean(F.col("text")).alias("text")), read(spark, d, "lexicon"))
+    made = assemble.page_items(lines, regions_of(spark, d).withColumn("dropped", F.lit(None).cast("string")))
+    return assemble.page_quality(lines, assemble.checked_texts(made), read(spark, d, "lexicon"), _listed_words(spark, d))
+
+
+@query
+def page_items(spark: SparkSession, d: str) -> DataFrame:
+    """The texts of the pages that have lines, those of a page that go on joined."""
+    made = assemble.page_items(lines_of(spark, d), regions_of(spark, d).withColumn("dropped", F.lit(None).cast("string")))
+    return assemble.checked_texts(made)
 
 
 @query
@@ -303,15 +338,30 @@ def unknown_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    return assemble.quality_markdown(_quality(spark, d))
+    return assemble.quality_markdown(_quality(spark, d), read(spark, d, "books"))
+
+
+@query
+def listed_word_prefixes(spark: SparkSession, d: str) -> DataFrame:
+    words = read(spark, d, "items").where("type = 'para'").select(F.explode(lx.checked_tokens(F.col("text"))).alias("word"))
+    return lx.with_listed_words(words, _listed_words(spark, d))
 
 
 @query
 def book_word_prefixes(spark: SparkSession, d: str) -> DataFrame:
-    words = read(spark, d, "items").where("type = 'para'").select("book", F.explode(lx.checked_tokens(F.col("text"))).alias("word"))
-    listed = read(spark, d, "terms").select(F.explode(F.regexp_extract_all("term", F.lit(lx.TOKEN), F.lit(0))).alias("word"))
-    books = read(spark, d, "books").select("book")
-    return lx.with_book_words(words, books.join(F.broadcast(listed.distinct()), F.lit(True)))
+    """Words of a book's paragraphs that its headings have, or words with up to six letters behind one of theirs."""
+    items = read(spark, d, "items")
+    words = items.where("type = 'para'").select("book", F.explode(lx.checked_tokens(F.col("text"))).alias("word"))
+    listed = items.where("type = 'heading'").select("book", F.explode(F.regexp_extract_all("text", F.lit(lx.TOKEN), F.lit(0))).alias("word"))
+    return lx.with_book_words(words, listed)
+
+
+@query
+def vowels_mended(spark: SparkSession, d: str) -> DataFrame:
+    """Hungarian paragraphs that lost their accents, with every word put right that has one repair."""
+    hungarian = read(spark, d, "books").where("lang = 'hun'").select("book")
+    texts = read(spark, d, "items").where("type = 'para'").join(hungarian, "book").select("item_id", F.translate("text", "áéíóöőúüű", "aeiooouuu").alias("text"))
+    return lx.vowels_mended(texts, ["item_id"], read(spark, d, "lexicon").where("lang = 'hun'"))
 
 
 @query
@@ -338,9 +388,12 @@ def page_select(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def config_resolve(spark: SparkSession, d: str) -> DataFrame:
+    """Settings of each page, from a book's own and two overrides."""
     pages = read(spark, d, "page_layouts").select(*PAGE)
     rules = config.Settings({"columns": 2, "margins": {"inner": 0.06}}, [("3-", {"margins": {"top": 0.1}}), ("4,6", {"columns": 1})])
-    return config.resolved(pages, rules)
+    of = lambda path, kind: F.get_json_object("settings", f"$.{path}").cast(kind)
+    made = config.resolved(pages, rules)
+    return made.select(*PAGE, of("columns", "int").alias("columns"), of("margins.top", "double").alias("top"), of("margins.inner", "double").alias("inner_margin"), of("margins.outer", "double").alias("outer_margin"), of("dpi", "int").alias("dpi"), of("layout_engine", "string").alias("layout_engine"))
 
 
 @query
@@ -375,12 +428,22 @@ def box_statistics(spark: SparkSession, d: str) -> DataFrame:
 @query
 def merge_words(spark: SparkSession, d: str) -> DataFrame:
     """Lines merged with a second reading of themselves that lost its accents."""
-    from ..functions.reconcile import merged_text
-
     lines = lines_of(spark, d).select("region_id", "line_no", "text", "box", "conf")
     other = lines.withColumn("text", F.translate("text", "áéíóöőúüű", "aeiooouuu"))
-    paired = ln.paired_lines(other, lines, ["region_id"])
-    return paired.select("region_id", "line_no", merged_text(F.col("text"), F.col("partners"), ln.is_low_confidence(F.col("conf")), _known(spark, d)).alias("text"))
+    return ln.ensemble_lines(other, lines, ["region_id"], _known(spark, d)).select("region_id", "line_no", "text")
+
+
+@query
+def recogniser_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Lines cut in two fragments, read again as rows."""
+    lines = lines_of(spark, d).where("box is not null and line_no is not null and length(text) > 1")
+    middle = (F.col("box.x0") + F.col("box.x1")) / 2
+    half = F.floor(F.length("text") / 2).cast("int")
+    part = lambda k, text, b: F.struct((F.col("line_no") * 2 + k).alias("ordinal"), text.alias("text"), b.alias("box"))
+    left = part(0, F.substring(F.col("text"), F.lit(1), half), g.box(F.col("box.x0"), F.col("box.y0"), middle, F.col("box.y1")))
+    right = part(1, F.substring(F.col("text"), half + 1, F.length("text")), g.box(middle, F.col("box.y0"), F.col("box.x1"), F.col("box.y1")))
+    fragments = lines.select("region_id", "conf", F.explode(F.array(left, right)).alias("f")).select("region_id", "f.*", F.greatest("conf", F.lit(0.0)).alias("score"))
+    return ln.recogniser_rows(fragments, ["region_id"]).select("region_id", "line_no", "text", "conf", F.round("box.x0", 3).alias("x0"), F.round("box.y1", 3).alias("y1"))
 
 
 @query
@@ -396,9 +459,9 @@ def recognised_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def page_images(spark: SparkSession, d: str) -> DataFrame:
-    """Drawn pages through the pixel steps: skew, frames, blocks."""
+    """Drawn pages, turned as they were scanned, through the pixel steps: light, contrast, skew, frames, blocks."""
     layouts = read(spark, d, "page_layouts").select(*PAGE, "width", "height", "frames", "skew_deg")
-    return pixels.analysed(pixels.drawn(layouts, regions_of(spark, d), scale=0.1))
+    return pixels.analysed(pixels.drawn(layouts, regions_of(spark, d)))
 
 
 def queries() -> dict[str, Query]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import re
 from pathlib import Path
 
@@ -34,7 +35,42 @@ def test_settings(spark):
     with pytest.raises(ValueError):
         config.Settings({"colums": 2})
     assert config.with_value('title: ""  # name', "title", "Könyv") == 'title: "Könyv"  # name'
-    assert config.resolved(spark.createDataFrame([(9,), (11,)], "page int"), settings).select("settings").distinct().count() == 2
+    pages = spark.createDataFrame([(p,) for p in (1, 9, 10, 11, 12, 13, 2000)], "page int")
+    made = {r.page: json.loads(r.settings) for r in config.resolved(pages, settings).collect()}
+    assert made == {p: settings.page(p) | {"side": "right" if p % 2 else "left"} for p in made} and len(made) == 7
+    many = config.Settings({"side": "left"}, [(str(k), {"dpi": k}) for k in range(2, 60)])
+    made = {r.page: json.loads(r.settings) for r in config.resolved(pages, many).collect()}
+    assert made == {p: many.page(p) for p in made} and made[12]["dpi"] == 12 and made[1]["side"] == "left"
+
+
+def test_settings_files(tmp_path, monkeypatch):
+    books = tmp_path / "books"
+    for name in ("b.yaml", "a/book.yaml", "b/book.yaml", "_hidden.yaml", "empty/other.txt"):
+        (books / name).parent.mkdir(parents=True, exist_ok=True)
+        (books / name).write_text("columns: 2\ntitle: x\npage_overrides: {'3-4': {dpi: 400}}\n", encoding="utf-8")
+    (tmp_path / "defaults.yaml").write_text("dpi: 200\nmargins: {top: 0.1}\n", encoding="utf-8")
+    assert config.list_books(tmp_path) == ["a", "b"] and config.config_path(tmp_path, "b") == books / "b.yaml" and config.config_path(tmp_path, "a") == books / "a" / "book.yaml"
+    made = config.load_settings(books / "b.yaml", tmp_path / "defaults.yaml")
+    assert made.page(3)["dpi"] == 400 and made.page(5)["dpi"] == 200 and made.page(5)["margins"]["top"] == 0.1 and made.page(5)["columns"] == 2
+    assert config.load_settings(books / "b.yaml", tmp_path / "none.yaml").page(5)["dpi"] == 300
+    monkeypatch.delenv(config.ROOT_VARIABLE, raising=False)
+    assert config.find_root(books / "a") == tmp_path
+    with pytest.raises(FileNotFoundError):
+        config.find_root(Path("/proc"))
+    monkeypatch.setenv(config.ROOT_VARIABLE, "/x")
+    assert config.find_root(books) == Path("/x")
+
+
+def test_recogniser_rows(spark):
+    rows = [(1, 0, "jobb", 0.9, (300.0, 0.0, 500.0, 30.0)), (1, 1, "bal", 0.8123, (0.0, 2.0, 250.0, 31.0)), (1, 2, "lent", 0.7, (0.0, 40.0, 400.0, 70.0)), (1, 3, "kicsi", 0.9, (0.0, 80.0, 3.0, 99.0)), (1, 4, "rossz", 0.4, (0.0, 80.0, 30.0, 99.0)), (1, 5, " ", 0.9, (0.0, 80.0, 30.0, 99.0)), (1, 6, None, 0.9, None)]
+    made = ln.recogniser_rows(spark.createDataFrame(rows, f"r int, ordinal int, text string, score double, box {BOX}"), ["r"]).orderBy("line_no").collect()
+    assert [(x.line_no, x.text, x.conf) for x in made] == [(0, "bal jobb", 0.812), (1, "lent", 0.7)]
+
+
+def test_vowels_mended(spark):
+    texts = spark.createDataFrame([(1, "A szep, szep kor; Szep kár."), (2, ""), (3, None)], "i int, text string")
+    lexicon = spark.createDataFrame([("szép",), ("kör",), ("kor",), ("kár",)], "word string")
+    assert {r.i: r.text for r in lx.vowels_mended(texts, ["i"], lexicon).collect()} == {1: "A szép, szép kor; Szep kár.", 2: "", 3: None}
 
 
 def test_tokens_and_repairs(spark):
@@ -118,6 +154,30 @@ def test_pixels():
     assert (px.stretched(flat) == flat).all() and not px.ink(flat).any()
 
 
+def test_panels_fragments_and_blocks():
+    page = np.full((800, 600), 250, np.uint8)
+    page[300:500, 100:350] = 200
+    page[340:348, 120:330:3] = 20
+    assert px.tinted_panels(page, (0, 0, 600, 800), 8.0) == [(100.0, 300.0, 350.0, 500.0)]
+    assert px.tinted_panels(page, (0, 0, 600, 800), 80.0) == [] and px.tinted_panels(page, (5, 5, 5, 5)) == []
+    marks = np.zeros((9, 9), bool)
+    marks[2:7, 2:7] = True
+    marks[0, 8] = True
+    assert px.window_sums(marks, 3)[4, 4] == 9 and px.opened(marks, 3).sum() == 25 and px.closed(~marks, 3)[0, 8] == True  # noqa: E712
+    row = [(0.0, 0.0, 10.0, 10.0), (16.0, 1.0, 30.0, 11.0), (60.0, 0.0, 80.0, 10.0), (0.0, 20.0, 30.0, 30.0)]
+    joined = px.joined_neighbours(row)
+    assert joined == [(0.0, 0.0, 30.0, 11.0), (0.0, 20.0, 30.0, 30.0), (60.0, 0.0, 80.0, 10.0)] and px.joined_neighbours([]) == []
+    assert list(px.in_columns(joined)) == [True, False, True] and len(px.in_columns([])) == 0
+    near = [(0.0, 18.0 * k, 200.0, 18.0 * k + 10) for k in range(4)] + [(0.0, 200.0, 200.0, 210.0), (300.0, 0.0, 500.0, 10.0), (300.0, 18.0, 500.0, 28.0)]
+    assert px.stacked(near, px.in_columns(near), 10.0) == [[0, 1, 2, 3], [5, 6], [4]]
+    text = np.zeros((300, 300), bool)
+    for y in range(20, 120, 16):
+        text[y : y + 9, 20:280] = np.tile(np.r_[np.ones(4, bool), np.zeros(2, bool)], 44)[:260]
+    text[180:280, 40:200] = True
+    kinds, em = px.blocks(text)
+    assert em == 9.0 and [k for k, _ in kinds] == ["text", "figure"]
+
+
 def test_images_in_files(spark, tmp_path):
     page = np.full((60, 40), 255, np.uint8)
     page[20:24, 5:35:2] = 0
