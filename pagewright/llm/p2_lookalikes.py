@@ -153,7 +153,8 @@ def repaired(chars: list[str], vocabulary: frozenset[str], names: frozenset[str]
         if all(c < "\u0370" for c in word):
             continue
         forms = possible_forms(word)
-        fixed = next((f for f in forms if f in names or f in vocabulary or f.lower() in vocabulary), None)
+        # a term's word comes first: disguised as a whole it can be frequent in another script, too
+        fixed = next((f for f in forms if f in names), None) or next((f for f in forms if f in vocabulary or f.lower() in vocabulary), None)
         if fixed is None:
             latin = "".join(TO_LATIN.get(c, c) for c in word)
             fixed = latin if latin in names else None

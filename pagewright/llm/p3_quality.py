@@ -148,36 +148,39 @@ def lang_numbers(langs: list[str]) -> np.ndarray:
     return np.array([_NUMBER[x] for x in langs], np.int64)
 
 
+def _word_sums(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n): how often each word stands in the texts (lang, text) of a task. No closure, so that the workers use their
+    own tables of characters."""
+    sums: dict[int, int] = {}
+    for batch in source:
+        for k in range(0, len(batch), TOGETHER):
+            part = batch.slice(k, TOGETHER)
+            _, codes, lengths = code_points(part.column("text").to_numpy(zero_copy_only=False).tolist())
+            _CHARS.meet(codes)
+            langs = lang_numbers(part.column("lang").to_pylist())
+            owner = np.repeat(np.arange(len(part), dtype=np.int32), lengths + 1)
+            shown = ~_CHARS["hidden"][codes]
+            codes, owner = codes[shown], owner[shown]
+            kind = _CHARS["kind"][codes]
+            first, _, hashes = word_hashes(codes, kind)
+            spaced = ~_SINGLE[langs[owner[first]]]
+            at = np.flatnonzero(((kind == 6) | (kind == 7)) & _SINGLE[langs[owner]])
+            found = np.concatenate([word_keys(hashes, langs[owner[first]])[spaced], word_keys(codes[at].astype(np.uint64) + np.uint64(7), langs[owner[at]])])
+            for key, n in zip(*(x.tolist() for x in np.unique(found, return_counts=True))):
+                sums[key] = sums.get(key, 0) + n
+        if len(sums) > 500_000:
+            yield _sums(sums)
+            sums = {}
+    yield _sums(sums)
+
+
 def common_words(lines: DataFrame, items: DataFrame, books: DataFrame, top: int = COMMON_TOP) -> np.ndarray:
     """Keys of the `top` most frequent words, met twice or more, of each language over all lines and items, sorted; of languages that do not
     part words, of characters. The driver gets `top` keys per language of a fixed list."""
     texts = lines.select("book", "text").unionByName(items.select("book", "text")).where("text is not null")
     texts = texts.join(facts_of(books).select("book", "lang"), "book", "left").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
-    def counted(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, int] = {}
-        for batch in source:
-            for k in range(0, len(batch), TOGETHER):
-                part = batch.slice(k, TOGETHER)
-                _, codes, lengths = code_points(part.column("text").to_numpy(zero_copy_only=False).tolist())
-                _CHARS.meet(codes)
-                langs = lang_numbers(part.column("lang").to_pylist())
-                owner = np.repeat(np.arange(len(part), dtype=np.int32), lengths + 1)
-                shown = ~_CHARS["hidden"][codes]
-                codes, owner = codes[shown], owner[shown]
-                kind = _CHARS["kind"][codes]
-                first, _, hashes = word_hashes(codes, kind)
-                spaced = ~_SINGLE[langs[owner[first]]]
-                at = np.flatnonzero(((kind == 6) | (kind == 7)) & _SINGLE[langs[owner]])
-                found = np.concatenate([word_keys(hashes, langs[owner[first]])[spaced], word_keys(codes[at].astype(np.uint64) + np.uint64(7), langs[owner[at]])])
-                for key, n in zip(*(x.tolist() for x in np.unique(found, return_counts=True))):
-                    sums[key] = sums.get(key, 0) + n
-            if len(sums) > 500_000:
-                yield _sums(sums)
-                sums = {}
-        yield _sums(sums)
-
-    counts = texts.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(_word_sums, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     rows = counts.where("n > 1").withColumn("lang", F.col("key").bitwiseAND(15)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("key").collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
