@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
 from . import ordering, regions as rg
 
 PAGE = ("book", "page")
@@ -39,12 +40,14 @@ def build_layout(regions: DataFrame, pages: DataFrame, frames: DataFrame, rules:
     `pages` has book, page, width, height, content and columns, `frames` book, page, frame_id and box. Dropped regions
     keep their reason and have no order; with `notes`, margin notes come after everything else on their page."""
     raw = regions.select(*PAGE, "id", "kind", "box").withColumn("dropped", F.lit(None).cast("string"))
-    kept = rg.dedupe(rg.filter_regions(raw, pages, rules), rules.inside)
-    used, in_frames = rg.used_frames(kept, frames)
+    # each step reads the one before it several times: without a cut between them the plan would double with every step
+    kept = checkpointed(rg.dedupe(rg.filter_regions(raw, pages, rules), rules.inside))
+    used, in_frames = map(checkpointed, rg.used_frames(kept, frames))
     groups = sidebar_groups(kept, in_frames.select(*PAGE, "id", F.col("grp").cast("int").alias("grp")))
     tail = None
     if notes:
-        groups, tail = note_groups(kept, groups, rg.margin_notes(kept, pages, rules))
-    grouped = kept.join(groups, [*PAGE, "id"], "left")
+        groups, tail = note_groups(kept, checkpointed(groups), rg.margin_notes(kept, pages, rules))
+        tail = checkpointed(tail)
+    grouped = checkpointed(kept.join(groups, [*PAGE, "id"], "left"))
     order = ordering.order_regions(grouped, pages, used, placement, tail)
     return grouped.join(order, [*PAGE, "id"], "left").select(*PAGE, "id", "kind", "box", "dropped", "grp", "ord")

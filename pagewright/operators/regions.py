@@ -119,7 +119,7 @@ def merged_boxes(boxes: list[tuple[float, float, float, float]], pad: float = 0.
     """Boxes that overlap, after padding, united until none do; touching is no overlap. A union may reach boxes that
     neither part did, so this is no search for connected components."""
     at = np.array(boxes, float).reshape(-1, 4)
-    while True:
+    while len(at):
         wide = at + np.array([-pad, -pad, 0, 0]) + np.array([0, 0, pad, pad])
         meets = (np.maximum(at[:, None, :2], wide[None, :, :2]) < np.minimum(at[:, None, 2:], wide[None, :, 2:])).all(2)
         meets |= meets.T
@@ -129,6 +129,7 @@ def merged_boxes(boxes: list[tuple[float, float, float, float]], pad: float = 0.
             return [tuple(map(float, b)) for b in at]
         groups = [at[leader == k] for k in np.unique(leader)]
         at = np.array([[*g[:, :2].min(0), *g[:, 2:].max(0)] for g in groups])
+    return []
 
 
 def merge_frames(frames: DataFrame) -> DataFrame:

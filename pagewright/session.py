@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -40,3 +41,17 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(name)
         _SHIPPED.add(app)
     return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` written to the shared checkpoint folder that the session names in spark.checkpoint.dir, and read from there:
+    it cuts a long lineage. Where none is named, a temporary folder is set on a single machine only; on a cluster that is
+    an error."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="pagewright-"))
+    return df.checkpoint(eager=True)
