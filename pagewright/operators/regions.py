@@ -122,6 +122,7 @@ def merged_boxes(boxes: list[tuple[float, float, float, float]], pad: float = 0.
     while len(at):
         wide = at + np.array([-pad, -pad, 0, 0]) + np.array([0, 0, pad, pad])
         meets = (np.maximum(at[:, None, :2], wide[None, :, :2]) < np.minimum(at[:, None, 2:], wide[None, :, 2:])).all(2)
+        meets = np.tril(meets, -1)  # of two boxes the earlier one is padded
         meets |= meets.T
         np.fill_diagonal(meets, True)
         leader = meets.argmax(1)  # the first box that each one meets
