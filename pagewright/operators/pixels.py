@@ -408,7 +408,7 @@ def overlay(gray: np.ndarray, regions: list[tuple[str, Box, str | None]]) -> np.
     return out
 
 
-def drawn(layouts: DataFrame, regions: DataFrame, scale: float = 0.3) -> DataFrame:
+def drawn(layouts: DataFrame, regions: DataFrame, scale: float = 0.2) -> DataFrame:
     """(book, page, height, width, data): pages with rows of letters in their regions and lines for frames, turned by
     their skew_deg, at a share of their size."""
     boxes = regions.where("dropped is null").groupBy("book", "page").agg(F.sort_array(F.collect_list("box")).alias("boxes"))
