@@ -461,7 +461,7 @@ def recognised_pages(spark: SparkSession, d: str) -> DataFrame:
 def page_images(spark: SparkSession, d: str) -> DataFrame:
     """Drawn pages, turned as they were scanned, through the pixel steps: light, contrast, skew, frames, blocks."""
     layouts = read(spark, d, "page_layouts").select(*PAGE, "width", "height", "frames", "skew_deg")
-    return pixels.analysed(pixels.drawn(layouts, regions_of(spark, d)))
+    return pixels.drawn_and_analysed(layouts, regions_of(spark, d))
 
 
 def queries() -> dict[str, Query]:
