@@ -83,7 +83,9 @@ def pair_folded(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nd
     """Letter pairs that scanners take for one letter as that letter, and single letters by their shapes."""
     for pair, one in PAIR_FOLDS:
         a, b = map(ord, pair)
-        at = np.flatnonzero((codes[:-1] == a) & (codes[1:] == b) & (owner[:-1] == owner[1:]))
+        at = np.flatnonzero(codes[:-1] == a)
+        at = at[codes[at + 1] == b]
+        at = at[owner[at] == owner[at + 1]]
         if len(at) and a == b:  # of a row of equal letters every other one begins a pair
             fresh = np.concatenate([[True], np.diff(at) > 1])
             group = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
@@ -112,14 +114,10 @@ def _end_number(word: str) -> int | None:
 
 def _stated_values(f: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The number that each word states, and whether it states any; each different word is looked at once."""
-    value, known = np.zeros(len(begin), np.int64), np.zeros(len(begin), bool)
     _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-    for k, i in enumerate(at.tolist()):
-        number = _end_number(f[begin[i] : end[i]].tobytes().decode("utf-32-le"))
-        if number is not None:
-            same = which == k
-            value[same], known[same] = number, True
-    return value, known
+    numbers = [_end_number(f[b:e].tobytes().decode("utf-32-le")) for b, e in zip(begin[at].tolist(), end[at].tolist())]
+    value = np.array([n or 0 for n in numbers], np.int64)
+    return value[which], np.array([n is not None for n in numbers], bool)[which]
 
 
 def _stretches(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -300,7 +298,8 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _chunks(n: Column, weight: Column) -> Column:
     """A line's chunks together with a length class, and a weight."""
-    return F.transform(F.array("c1", "c2", "c3"), lambda c: F.struct(c.bitwiseXOR(F.floor(n / LENGTH_STEP) * 1000003).alias("chunk"), weight.alias("weight")))
+    of_length = F.floor(n / LENGTH_STEP) * 1000003
+    return F.array(*(F.struct(F.col(c).bitwiseXOR(of_length).alias("chunk"), weight.alias("weight")) for c in ("c1", "c2", "c3")))
 
 
 def centres(prints: DataFrame) -> DataFrame:

@@ -82,9 +82,9 @@ _SHAPE = {ord(c): group[0] for group in CLASSES for c in group}
 _STROKES = str.maketrans({"n": "ll", "r": "ll", "h": "ll", "m": "llll", "d": "cl", "k": "lc"})
 
 
-def shape(word: str) -> str:
-    """A lower-case word with everything that is misread for each other drawn alike."""
-    out = word.replace("ii", "u").translate(_SHAPE)
+def shape(word: str, drawn: str | None = None) -> str:
+    """A lower-case word with everything that is misread for each other drawn alike; `drawn` are its letters, each by its class."""
+    out = word.replace("ii", "u").translate(_SHAPE) if drawn is None or "ii" in word else drawn
     for pair, one in PAIRS:
         if pair in out:
             out = out.replace(pair, one)
@@ -152,14 +152,18 @@ class Words:
         self.meant: dict[str, str | None] = {}
         self.cut: dict[tuple[str, str, str], str | None] = {}
         self.halves: dict[str, str | None] = {}
+        self.single: dict[str, tuple[str, str, str] | None] = {}
 
     def nearest(self, word: str) -> str | None:
         """The lexicon word that a lower-case word looks like, if one is nearest."""
-        cost = {w: edits(word, w) for w in self.by_shape.get(shape(word), ())}
-        for w in self.by_strokes.get(strokes(word), ()):
+        drawn = word.translate(_SHAPE)
+        cost = {w: edits(word, w) for w in self.by_shape.get(shape(word, drawn), ())}
+        for w in self.by_strokes.get(drawn.translate(_STROKES), ()):
             cost[w] = min(cost.get(w, MOST_EDITS + 1), confusion_cost(word, w))
+        if not cost:
+            return None
         found = sorted((n, w) for w, n in cost.items())
-        if not found or found[0][0] > min(MOST_EDITS, (len(word) + 1) // 2) or len(found) > 1 and found[1][0] == found[0][0]:
+        if found[0][0] > min(MOST_EDITS, (len(word) + 1) // 2) or len(found) > 1 and found[1][0] == found[0][0]:
             return None
         return found[0][1]
 
@@ -252,15 +256,29 @@ class Words:
         if token not in self.halves:
             if len(self.halves) >= 1_000_000:
                 self.halves.clear()
-            path = self.best((token,), ())
-            self.halves[token] = path[0][2] if " " in path[0][2] else None
+            cost, text = self.one_word((token,), "")
+            two = self.two_words(token) if cost >= UNKNOWN else None  # costs less than an unknown word
+            text = two[1] if two else text
+            self.halves[token] = text if " " in text else None
         return self.halves[token]
 
+    def alone(self, token: str) -> tuple[str, str, str] | None:
+        """The fault (fault, token, what was meant) of an unknown token that is in no word with its neighbours."""
+        if token not in self.single:
+            if len(self.single) >= 1_000_000:
+                self.single.clear()
+            if (fixed := self.repair(token)) is not None:
+                self.single[token] = ("misread", token, fixed)
+            else:
+                self.single[token] = None if (fixed := self.split(token)) is None else ("split", token, fixed)
+        return self.single[token]
+
     def joined(self, left: str, between: str, right: str) -> str | None:
         """The word that a line end cuts in two, or None where it stands between two words."""
         at = (left, between, right)
         if at not in self.cut:
-            path = self.best((left, right), (between,))
+            _, whole = self.one_word((left, right), over_of(between))
+            path = self.best((left, right), (between,)) if whole is not None else ()  # without that edge both words stay
             if len(self.cut) >= 1_000_000:
                 self.cut.clear()
             self.cut[at] = path[0][2] if len(path) == 1 else None
@@ -361,6 +379,19 @@ def loaded(name: str, lexicon: dict[str, set[str]]) -> Lexicon:
     return _LEXICONS[name]
 
 
+def _behind(codes: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each stretch of code points whether it holds nothing but BEHIND, and whether there is a hyphen up to where others
+    begin. Stretches are short, so they are gone through together, sign by sign."""
+    at, hyphen = begin.copy(), np.zeros(len(begin), bool)
+    on = np.flatnonzero(at < stop)
+    while len(on):
+        on = on[_CHARS["behind"][codes[at[on]]]]
+        hyphen[on] |= _CHARS["hyphen"][codes[at[on]]]
+        at[on] += 1
+        on = on[at[on] < stop[on]]
+    return at == stop, hyphen
+
+
 @dataclass
 class Found:
     """Faults (line, fault, token, word) and, per stream with open ends, its head (line, token) and tail (line, token,
@@ -394,10 +425,9 @@ def decode(whole: str, codes: np.ndarray, lengths: np.ndarray, stream: np.ndarra
     line_begin = np.cumsum(lengths + 1) - lengths - 1
     starts = begin[first] == line_begin[of_line]
     stop = line_begin[of_line] + lengths[of_line]
-    upto = lambda flags: np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
-    others, hyphens, digits = upto(~_CHARS["behind"][codes]), upto(_CHARS["hyphen"][codes]), upto(_CHARS["digit"][codes])
-    held = (others[stop] == others[end[last]]) & (digits[end[last]] - digits[begin[last]] < end[last] - begin[last])
-    hyphen = hyphens[stop] > hyphens[end[last]]
+    held, hyphen = _behind(codes, end[last], stop)
+    numbers = np.flatnonzero(_CHARS["digit"][codes[begin[last]]])
+    held[numbers] &= np.array([not whole[a:b].isdigit() for a, b in zip(begin[last[numbers]].tolist(), end[last[numbers]].tolist())], bool)
     opens = np.concatenate([[True], of_stream[1:] != of_stream[:-1]])
     closes = np.concatenate([opens[1:], [True]])
     ends_open = open_ends[of_stream]
@@ -446,12 +476,10 @@ def decode(whole: str, codes: np.ndarray, lengths: np.ndarray, stream: np.ndarra
                 out.faults.append((int(line[k]), "merge", text(k) + "|" + text(k + 1), path[0][2]))
                 left_out[k] = left_out[k + 1] = True
                 taken = k + 1
-    for k in np.flatnonzero(~known & ~left_out).tolist():
-        token, of = text(k), words[lang[line[k]]]
-        if (fixed := of.repair(token)) is not None:
-            out.faults.append((int(line[k]), "misread", token, fixed))
-        elif (split := of.split(token)) is not None:
-            out.faults.append((int(line[k]), "split", token, split))
+    alone = np.flatnonzero(~known & ~left_out)
+    for at, of_lang, a, b in zip(*(x.tolist() for x in (line[alone], lang[line[alone]], begin[alone], end[alone]))):
+        if (fault := words[of_lang].alone(whole[a:b])) is not None:
+            out.faults.append((at, *fault))
     return out
 
 
